@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from turnero.session import materialize
+
 
 def running(points: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column | None,
             values: dict[str, tuple[str, str, bool]]) -> DataFrame:
@@ -58,30 +60,30 @@ def running(points: DataFrame, keys: Sequence[str], order: Sequence[str], chunk:
 
 
 def count_overlaps(intervals: DataFrame, requests: DataFrame, keys: Sequence[str], start: str, end: str,
-                   chunk_by_day: bool = False) -> DataFrame:
-    """``requests`` plus ``solapes``: how many intervals overlap each request.
+                   id_column: str, chunk_by_day: bool = False) -> DataFrame:
+    """(id_column, solapes): how many intervals overlap each non-empty request.
 
     Both frames have ``keys``, ``start`` and ``end``.  Intervals must be
-    non-empty, as the tables' checks demand.  An empty request has no meaning
-    as an interval and gets NULL.
+    non-empty, as the tables' checks demand.
     """
     keys = list(keys)
 
-    def points(frame: DataFrame, weight: int) -> DataFrame:
-        edges = F.array(
-            F.struct(F.col(start).alias("_t"), F.lit(weight).alias("_s"), F.lit(0).alias("_e")),
-            F.struct(F.col(end).alias("_t"), F.lit(0).alias("_s"), F.lit(weight).alias("_e")))
-        return frame.select(*keys, F.inline(edges))
-
-    collapsed = (points(intervals, 1).unionByName(points(requests, 0))
-                 .groupBy(*keys, "_t").agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e")))
-    counted = running(collapsed, keys, ["_t"], F.to_date("_t") if chunk_by_day else None,
+    def edges(frame: DataFrame, *columns: str) -> DataFrame:
+        """Two rows per interval: its start (``_side`` -1) and its end (1)."""
+        sides = F.array(F.struct(F.col(start).alias("_t"), F.lit(-1).alias("_side")),
+                        F.struct(F.col(end).alias("_t"), F.lit(1).alias("_side")))
+        return frame.filter(F.col(start) < F.col(end)).select(*columns, *keys, F.inline(sides))
+
+    booked = edges(intervals).select(
+        *keys, "_t", (F.col("_side") == -1).cast("long").alias("_s"), (F.col("_side") == 1).cast("long").alias("_e"))
+    zero = F.lit(0).cast("long")
+    asked = edges(requests).select(*keys, "_t", zero.alias("_s"), zero.alias("_e"))
+    points = booked.unionByName(asked).groupBy(*keys, "_t").agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e"))
+    counted = running(points, keys, ["_t"], F.to_date("_t") if chunk_by_day else None,
                       {"_started": ("sum", "_s", False), "_ended": ("sum", "_e", True)})
-    at_end = counted.select(*keys, F.col("_t").alias(end), F.coalesce("_started", F.lit(0)).alias("_started"))
-    at_start = counted.select(*keys, F.col("_t").alias(start), F.coalesce("_ended", F.lit(0)).alias("_ended"))
-    matched = requests.join(at_end, [*keys, end], "left").join(at_start, [*keys, start], "left")
-    overlaps = F.when(F.col(start) < F.col(end), F.col("_started") - F.col("_ended"))
-    return matched.select(*requests.columns, overlaps.alias("solapes"))
+    value = F.when(F.col("_side") == 1, F.coalesce("_started", F.lit(0))).otherwise(-F.coalesce("_ended", F.lit(0)))
+    return (edges(requests, id_column).join(counted, [*keys, "_t"])
+            .groupBy(id_column).agg(F.sum(value).alias("solapes")))
 
 
 def overlapping_pairs(intervals: DataFrame, key: str, id_column: str, start: str, end: str,
@@ -134,6 +136,8 @@ def admit_in_order(requests: DataFrame, keys: Sequence[str], start: str, end: st
     useful = (first.withColumn("_shortest", F.min(end).over(same_start))
               .filter(F.col("_shortest").isNull() | (F.col(end) < F.col("_shortest"))).drop("_shortest"))
     day = F.to_date(F.col(start)) if chunk_by_day else None
+    if chunk_by_day:
+        useful = materialize(useful, "admision")  # the two chunked passes below read it four times
     reach = running(useful, keys, [start, end], day, {"_reach": ("max", end, False)})
     opens = F.when(F.col("_reach").isNull() | (F.col("_reach") <= F.col(start)), F.col(start))
     marked = running(reach.withColumn("_open", opens), keys, [start, end], day, {"_island": ("max", "_open", True)})

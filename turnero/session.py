@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on; all can be overridden by the caller.
 SETTINGS = {
@@ -45,3 +45,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="turnero-")
         spark.conf.set(CHECKPOINT_DIR, base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialize(rows: DataFrame, purpose: str) -> DataFrame:
+    """``rows`` written once to the shared folder and read back.
+
+    For a result that several branches of one plan use: they share the files
+    instead of computing it again, and a lost executor costs no recomputation.
+    """
+    path = shared_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
