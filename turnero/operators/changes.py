@@ -166,7 +166,7 @@ def crear_reserva(reservas: DataFrame, servicios: DataFrame, horarios: DataFrame
     per_day = possible.select("id_solicitud", "orden", "id_empleado", F.to_date("fecha_hora_inicio").alias("_dia"),
                               "fecha_hora_inicio", "fecha_hora_fin")
     admitted = admit_in_order(per_day, ["id_empleado", "_dia"], "fecha_hora_inicio", "fecha_hora_fin", "orden",
-                              "id_solicitud", chunk_by_day=False).withColumn("_ok", F.lit(True))
+                              "id_solicitud", by_month=False).withColumn("_ok", F.lit(True))
     decided = checked.join(admitted, "id_solicitud", "left")
     reason = (F.when(F.col("_servicio").isNull(), "SERVICIO")
               .when(~F.coalesce("disponible", F.lit(False)), "DISPONIBILIDAD")

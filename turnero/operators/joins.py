@@ -124,19 +124,19 @@ def validar_conflicto_horario(reservas: DataFrame, solicitudes: DataFrame) -> Da
     """
     booked = active_bookings(reservas).filter("fecha_hora_inicio < fecha_hora_fin").select(
         "id_reserva", "id_empleado", "fecha_hora_inicio", "fecha_hora_fin")
-    hits = count_overlaps(booked, solicitudes, ["id_empleado"], "fecha_hora_inicio", "fecha_hora_fin",
-                          "id_solicitud", chunk_by_day=True)
+    counted = count_overlaps(booked, solicitudes, ["id_empleado"], "fecha_hora_inicio", "fecha_hora_fin",
+                             by_month=True)
+    hits = F.col("solapes")
     if "id_excluir" in solicitudes.columns:
-        # A request that overlaps the booking it leaves out counts one less.
-        itself = (solicitudes.filter(F.col("id_excluir").isNotNull()).alias("q")
-                  .join(booked.alias("r"), F.expr("q.id_excluir = r.id_reserva AND q.id_empleado = r.id_empleado"))
-                  .filter("r.fecha_hora_inicio < q.fecha_hora_fin AND r.fecha_hora_fin > q.fecha_hora_inicio "
-                          "AND q.fecha_hora_inicio < q.fecha_hora_fin")
-                  .select("q.id_solicitud", F.lit(-1).cast("long").alias("solapes")))
-        hits = hits.unionByName(itself).groupBy("id_solicitud").agg(F.sum("solapes").alias("solapes"))
-    found = F.col("solapes")
-    return solicitudes.join(hits, "id_solicitud", "left").select(
-        *solicitudes.columns, found.alias("conflictos"), (found > 0).alias("conflicto"))
+        own = booked.select(F.col("id_reserva").alias("_own"), F.col("id_empleado").alias("_emp"),
+                            F.col("fecha_hora_inicio").alias("_s"), F.col("fecha_hora_fin").alias("_e"))
+        # A request that leaves nothing out gets a key of its own, so such requests spread over tasks.
+        keyed = counted.withColumn("_own", F.coalesce("id_excluir", F.concat(F.lit("~"), "id_solicitud")))
+        counted = keyed.join(own, "_own", "left")
+        itself = ((F.col("_emp") == F.col("id_empleado")) & (F.col("_s") < F.col("fecha_hora_fin"))
+                  & (F.col("_e") > F.col("fecha_hora_inicio")))
+        hits = hits - F.when(itself, 1).otherwise(0)
+    return counted.select(*solicitudes.columns, hits.alias("conflictos"), (hits > 0).alias("conflicto"))
 
 
 def conflictos_existentes(reservas: DataFrame, slot_seconds: int = 3600) -> DataFrame:
@@ -149,8 +149,8 @@ def reservas_en_conflicto(reservas: DataFrame) -> DataFrame:
     """Active bookings that overlap another one, with how many; linear in the bookings."""
     active = active_bookings(reservas).filter("fecha_hora_inicio < fecha_hora_fin").select(
         "id_reserva", "id_empleado", "fecha_hora_inicio", "fecha_hora_fin")
-    counted = count_overlaps(active, active, ["id_empleado"], "fecha_hora_inicio", "fecha_hora_fin", "id_reserva",
-                             chunk_by_day=True)
+    counted = count_overlaps(active, active, ["id_empleado"], "fecha_hora_inicio", "fecha_hora_fin",
+                             by_month=True)
     # every booking counts itself once
     return counted.filter("solapes > 1").select("id_reserva", (F.col("solapes") - 1).alias("conflictos"))
 
@@ -181,13 +181,13 @@ def empleado_disponible(horarios: DataFrame, bloqueos: DataFrame, solicitudes: D
     assigned matter.  NULL for an empty request.
     """
     asked = solicitudes.withColumn("dia_semana", weekday_name(F.col("fecha")))
-    duty = _on_duty(horarios, asked).drop("dia_semana")
+    duty = _on_duty(horarios, asked)
     blocks = bloqueos.filter(F.col("activo") & (F.col("hora_inicio") < F.col("hora_fin"))).select(
         "id_empleado", "fecha", "hora_inicio", "hora_fin")
-    hits = count_overlaps(blocks, solicitudes, ["id_empleado", "fecha"], "hora_inicio", "hora_fin", "id_solicitud")
+    counted = count_overlaps(blocks, duty, ["id_empleado", "fecha"], "hora_inicio", "hora_fin")
     free = F.col("en_horario") & (F.col("solapes") == 0)
-    return duty.join(hits, "id_solicitud", "left").select(
-        *solicitudes.columns, F.when(F.col("hora_inicio") < F.col("hora_fin"), free).alias("disponible"))
+    return counted.select(*solicitudes.columns,
+                          F.when(F.col("hora_inicio") < F.col("hora_fin"), free).alias("disponible"))
 
 
 def as_day_request(solicitudes: DataFrame) -> DataFrame:

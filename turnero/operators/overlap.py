@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from turnero.session import materialize
 
 
+def month_number(moment: str) -> Column:
+    return F.year(moment) * 12 + F.month(moment)
+
+
 def running(points: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column | None,
             values: dict[str, tuple[str, str, bool]]) -> DataFrame:
     """Running aggregates per key in ``order``, computed chunk by chunk.
@@ -30,7 +34,9 @@ def running(points: DataFrame, keys: Sequence[str], order: Sequence[str], chunk:
     """
     combine = {"sum": F.sum, "max": F.max}
     keys = list(keys)
-    cut = points if chunk is None else points.withColumn("_chunk", chunk)
+    # The explicit filter is the one the join below would infer; stating it keeps
+    # both readers of ``cut`` alike, so its shuffle is shared.
+    cut = points if chunk is None else points.withColumn("_chunk", chunk).filter("_chunk IS NOT NULL")
     group = keys if chunk is None else [*keys, "_chunk"]
     ordered = Window.partitionBy(*group).orderBy(*order)
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
@@ -60,30 +66,32 @@ def running(points: DataFrame, keys: Sequence[str], order: Sequence[str], chunk:
 
 
 def count_overlaps(intervals: DataFrame, requests: DataFrame, keys: Sequence[str], start: str, end: str,
-                   id_column: str, chunk_by_day: bool = False) -> DataFrame:
-    """(id_column, solapes): how many intervals overlap each non-empty request.
+                   by_month: bool = False) -> DataFrame:
+    """``requests`` plus ``solapes``: how many intervals overlap each; NULL for an empty request.
 
     Both frames have ``keys``, ``start`` and ``end``.  Intervals must be
-    non-empty, as the tables' checks demand.
+    non-empty, as the tables' checks demand.  ``chunk`` is the period (month,
+    day) that time is cut into; None when the keys already bound it.
     """
     keys = list(keys)
 
-    def edges(frame: DataFrame, *columns: str) -> DataFrame:
-        """Two rows per interval: its start (``_side`` -1) and its end (1)."""
-        sides = F.array(F.struct(F.col(start).alias("_t"), F.lit(-1).alias("_side")),
-                        F.struct(F.col(end).alias("_t"), F.lit(1).alias("_side")))
-        return frame.filter(F.col(start) < F.col(end)).select(*columns, *keys, F.inline(sides))
-
-    booked = edges(intervals).select(
-        *keys, "_t", (F.col("_side") == -1).cast("long").alias("_s"), (F.col("_side") == 1).cast("long").alias("_e"))
-    zero = F.lit(0).cast("long")
-    asked = edges(requests).select(*keys, "_t", zero.alias("_s"), zero.alias("_e"))
-    points = booked.unionByName(asked).groupBy(*keys, "_t").agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e"))
-    counted = running(points, keys, ["_t"], F.to_date("_t") if chunk_by_day else None,
+    def points(frame: DataFrame, weight: int) -> DataFrame:
+        one, none = F.lit(weight).cast("long"), F.lit(0).cast("long")
+        edges = F.array(F.struct(F.col(start).alias("_t"), one.alias("_s"), none.alias("_e")),
+                        F.struct(F.col(end).alias("_t"), none.alias("_s"), one.alias("_e")))
+        return frame.select(*keys, F.inline(edges))
+
+    collapsed = (points(intervals, 1).unionByName(points(requests, 0))
+                 .groupBy(*keys, "_t").agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e")))
+    counted = running(collapsed, keys, ["_t"], month_number("_t") if by_month else None,
                       {"_started": ("sum", "_s", False), "_ended": ("sum", "_e", True)})
-    value = F.when(F.col("_side") == 1, F.coalesce("_started", F.lit(0))).otherwise(-F.coalesce("_ended", F.lit(0)))
-    return (edges(requests, id_column).join(counted, [*keys, "_t"])
-            .groupBy(id_column).agg(F.sum(value).alias("solapes")))
+    # Both lookups carry the same array, so Spark plans them alike and computes them once.
+    value = F.array(F.coalesce("_started", F.lit(0)), F.coalesce("_ended", F.lit(0)))
+    at_end = counted.select(*keys, F.col("_t").alias(end), value.alias("_at_end"))
+    at_start = counted.select(*keys, F.col("_t").alias(start), value.alias("_at_start"))
+    matched = requests.join(at_end, [*keys, end], "left").join(at_start, [*keys, start], "left")
+    overlaps = F.when(F.col(start) < F.col(end), F.get("_at_end", 0) - F.get("_at_start", 1))
+    return matched.select(*requests.columns, overlaps.alias("solapes"))
 
 
 def overlapping_pairs(intervals: DataFrame, key: str, id_column: str, start: str, end: str,
@@ -113,7 +121,7 @@ def overlapping_pairs(intervals: DataFrame, key: str, id_column: str, start: str
 
 
 def admit_in_order(requests: DataFrame, keys: Sequence[str], start: str, end: str, order: str,
-                   id_column: str, chunk_by_day: bool = True) -> DataFrame:
+                   id_column: str, by_month: bool = True) -> DataFrame:
     """Ids admitted when requests are taken in ``order`` and none may overlap an admitted one.
 
     Exact and distributed:
@@ -135,12 +143,12 @@ def admit_in_order(requests: DataFrame, keys: Sequence[str], start: str, end: st
     same_start = Window.partitionBy(*keys, start).orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
     useful = (first.withColumn("_shortest", F.min(end).over(same_start))
               .filter(F.col("_shortest").isNull() | (F.col(end) < F.col("_shortest"))).drop("_shortest"))
-    day = F.to_date(F.col(start)) if chunk_by_day else None
-    if chunk_by_day:
+    period = month_number(start) if by_month else None
+    if by_month:
         useful = materialize(useful, "admision")  # the two chunked passes below read it four times
-    reach = running(useful, keys, [start, end], day, {"_reach": ("max", end, False)})
+    reach = running(useful, keys, [start, end], period, {"_reach": ("max", end, False)})
     opens = F.when(F.col("_reach").isNull() | (F.col("_reach") <= F.col(start)), F.col(start))
-    marked = running(reach.withColumn("_open", opens), keys, [start, end], day, {"_island": ("max", "_open", True)})
+    marked = running(reach.withColumn("_open", opens), keys, [start, end], period, {"_island": ("max", "_open", True)})
     islands = marked.groupBy(*keys, "_island").agg(
         F.sort_array(F.collect_list(F.struct("_o", F.col(start).alias("s"), F.col(end).alias("e"), "_id"))).alias("_q"))
 

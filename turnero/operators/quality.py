@@ -73,18 +73,19 @@ def check_all_rows(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(check_rows(rows, name) for name, rows in tables.items())
 
 
-def check_unique(rows: DataFrame, table: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """Values of a primary key or UNIQUE column that occur more than once (``clave`` is the value)."""
-    spec = TABLES[table]
-    reports = []
-    for column in columns or (spec.key, *(c for c in spec.unique if c != spec.key)):
-        repeated = rows.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n")).filter("n > 1")
-        reports.append(_report(repeated, table, f"{column}_unico", column))
-    return _union(reports)
+def check_unique(tables: dict[str, DataFrame]) -> DataFrame:
+    """Values of a primary key or UNIQUE column that occur more than once (``clave`` is the value).
 
-
-def check_all_unique(tables: dict[str, DataFrame]) -> DataFrame:
-    return _union(check_unique(rows, name) for name, rows in tables.items())
+    All columns of all tables are counted in one aggregation, combined before
+    the shuffle.
+    """
+    values = []
+    for name, rows in tables.items():
+        spec = TABLES[name]
+        for column in (spec.key, *(c for c in spec.unique if c != spec.key)):
+            values.append(_report(rows.filter(F.col(column).isNotNull()), name, f"{column}_unico", column))
+    counted = _union(values).groupBy("tabla", "regla", "clave").agg(F.count("*").alias("n"))
+    return counted.filter("n > 1").drop("n")
 
 
 def _orphans(tables: dict[str, DataFrame], kind: str) -> DataFrame:
@@ -140,7 +141,7 @@ def check_overlaps(reservas: DataFrame) -> DataFrame:
 def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Row rules, uniqueness, references and overlaps of a whole database in one frame."""
     profiles = {n: tables[n] for n in ("cliente", "proveedor", "admin") if n in tables}
-    parts = [check_all_rows(tables), check_all_unique(tables), check_foreign_keys(tables), check_logical_keys(tables)]
+    parts = [check_all_rows(tables), check_unique(tables), check_foreign_keys(tables), check_logical_keys(tables)]
     if "usuario" in tables and profiles:
         parts.append(check_subtypes(tables["usuario"], profiles))
     if "reserva" in tables:

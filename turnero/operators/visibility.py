@@ -129,44 +129,58 @@ def grants(rows: DataFrame, table: str, empleados: DataFrame | None = None) -> D
         "tabla", "id", "_g.alcance", "_g.beneficiario")
 
 
-def _owner_counts(rows: DataFrame, table: str) -> DataFrame:
-    """(uid, propias): rows an owner sees that the public does not."""
+def _union(parts: list[DataFrame]) -> DataFrame:
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def _owned(rows: DataFrame, table: str) -> DataFrame:
+    """(tabla, uid) per row and distinct owner, of the rows the public does not see."""
     rule = READ_RULES[table]
     hidden = rows.filter(~F.col(rule.public)) if rule.public else rows
-    if not rule.owners:
-        return rows.sparkSession.createDataFrame([], "tabla string, uid string, propias bigint")
-    owner = F.explode(F.array_distinct(F.array_compact(F.array(*rule.owners)))) if len(rule.owners) > 1 else (
-        F.col(rule.owners[0]))
-    per_owner = hidden.select(owner.alias("uid")).filter("uid IS NOT NULL").groupBy("uid")
-    return per_owner.agg(F.count("*").alias("propias")).select(F.lit(table).alias("tabla"), "uid", "propias")
+    owner = F.col(rule.owners[0])
+    if len(rule.owners) > 1:
+        owner = F.explode(F.array_distinct(F.array(*rule.owners)))
+    return hidden.select(F.lit(table).alias("tabla"), owner.alias("uid")).filter("uid IS NOT NULL")
+
+
+def _owner_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """(tabla, uid, propias): what each owner sees beyond the public rows."""
+    direct = [n for n in tables if READ_RULES[n].owners and not READ_RULES[n].through_employee]
+    child = [n for n in tables if READ_RULES[n].through_employee]
+    counts = [_union([_owned(tables[n], n) for n in direct]).groupBy("tabla", "uid").agg(
+        F.count("*").alias("propias"))]
+    if child:
+        # Rows are counted per employee first, so the join meets one row per employee and table.
+        rows = _union([tables[n].select(F.lit(n).alias("tabla"), "id_empleado") for n in child])
+        staff = tables["empleado"].select("id_empleado", F.col("id_proveedor").alias("uid"))
+        per_employee = rows.groupBy("tabla", "id_empleado").agg(F.count("*").alias("n"))
+        counts.append(per_employee.join(staff, "id_empleado").groupBy("tabla", "uid").agg(
+            F.sum("n").alias("propias")))
+    return _union(counts)
 
 
 def access_matrix(tables: dict[str, DataFrame], people: DataFrame) -> DataFrame:
     """(uid, tabla, visibles) for every principal, anonymous included as NULL uid."""
-    totals = owners = None
+    flags = []
     for name, rows in tables.items():
-        rule = READ_RULES[name]
-        public = F.count_if(rule.public) if rule.public else F.lit(0).cast("long")
-        total = rows.agg(F.count("*").alias("total"), public.alias("publicas")).select(
-            F.lit(name).alias("tabla"), "total", "publicas")
-        if rule.through_employee:
-            # The employee's rows are counted first, so the join meets one row per employee.
-            per_employee = rows.groupBy("id_empleado").agg(F.count("*").alias("_n"))
-            staff = tables["empleado"].select("id_empleado", F.col("id_proveedor").alias("uid"))
-            counts = per_employee.join(staff, "id_empleado").groupBy("uid").agg(F.sum("_n").alias("propias"))
-            own = counts.select(F.lit(name).alias("tabla"), "uid", "propias")
-        else:
-            own = _owner_counts(rows, name)
-        totals = total if totals is None else totals.unionByName(total)
-        owners = own if owners is None else owners.unionByName(own)
+        public = READ_RULES[name].public
+        flag = F.col(public) if public else F.lit(False)
+        flags.append(rows.select(F.lit(name).alias("tabla"), flag.alias("p")))
+    counted = _union(flags).groupBy("tabla").agg(F.count("*").alias("total"), F.count_if("p").alias("publicas"))
+    # an empty table still has its row
+    names = people.sparkSession.createDataFrame([(name,) for name in tables], "tabla string")
+    totals = names.join(counted, "tabla", "left").fillna(0, ["total", "publicas"])
     everyone = people.unionByName(people.sparkSession.createDataFrame([(None, None, None)], people.schema))
-    role_tables = F.create_map(*(
-        item for role in sorted({r for rule in READ_RULES.values() for r in rule.roles})
-        for item in (F.lit(role), F.array(*(F.lit(t) for t in tables if role in READ_RULES[t].roles)).cast(
-            "array<string>"))))
+    roles = sorted({role for rule in READ_RULES.values() for role in rule.roles})
+    seen_by = [(role, F.array(*(F.lit(t) for t in tables if role in READ_RULES[t].roles)).cast("array<string>"))
+               for role in roles]
+    role_tables = F.create_map(*(item for role, names in seen_by for item in (F.lit(role), names)))
     asked = everyone.select("uid", "role", F.explode(F.array(*(F.lit(t) for t in tables))).alias("tabla"))
     # totals has one row per table, so it is always small enough to broadcast
-    joined = asked.join(F.broadcast(totals), "tabla").join(owners, ["tabla", "uid"], "left")
+    joined = asked.join(F.broadcast(totals), "tabla").join(_owner_counts(tables), ["tabla", "uid"], "left")
     sees_all = F.coalesce(F.array_contains(F.element_at(role_tables, F.col("role")), F.col("tabla")), F.lit(False))
     seen = F.when(sees_all, F.col("total")).otherwise(F.col("publicas") + F.coalesce("propias", F.lit(0)))
     return joined.select("uid", "tabla", seen.alias("visibles"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +57,19 @@ def materialize(rows: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(rows.sparkSession, purpose)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored_once(spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table derived from ``source``, written by its first user and read by the rest.
+
+    Kept per application, in the shared folder.
+    """
+    key = (spark.sparkContext.applicationId, source, name)
+    if key not in _STORED:
+        path = shared_dir(spark, name)
+        build().write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])

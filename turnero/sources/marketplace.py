@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnero.functions.clock import plus_minutes, shifted
+from turnero.session import stored_once
 from turnero.sources.schemas import CATEGORIAS_INICIALES, DIAS_SEMANA, ESTADOS_RESERVA, RESERVA_ACTIVA
 from turnero.sources.tables import with_defaults
 
@@ -59,7 +60,8 @@ class Marketplace:
 
     def _stamped(self, rows: DataFrame, table: str, created: Column | str = REGISTERED) -> DataFrame:
         moment = _ntz(created) if isinstance(created, str) else created
-        return with_defaults(rows.withColumns({"created_at": moment, "updated_at": moment}), table, REGISTERED)
+        return with_defaults(rows.withColumns({"created_at": moment, "updated_at": moment}), table, REGISTERED,
+                             fill_nulls=False)
 
     # accounts ---------------------------------------------------------------
 
@@ -218,21 +220,28 @@ class Marketplace:
     # bookings ---------------------------------------------------------------
 
     def raw_bookings(self) -> DataFrame:
-        """Every order line as a booking, before repeated line numbers are reduced.
+        """Every order line as a booking, before repeated line numbers are reduced."""
+        return self._with_orders(self._lines())
 
-        Lines and orders meet first, on the order key, so the later reduction
-        per (order, line number) reuses that partitioning.
-        """
-        lines = self.source("lineitem").select(
+    def _lines(self) -> DataFrame:
+        return self.source("lineitem").select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
+
+    def _with_orders(self, lines: DataFrame) -> DataFrame:
         orders = self.source("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
         return lines.join(orders, "l_orderkey")
 
     def _bookings(self) -> DataFrame:
-        one = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
-            "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
-        lines = self.raw_bookings().withColumn("rn", F.row_number().over(one)).filter("rn = 1")
-        return self._as_bookings(lines)
+        """One booking per (order, line number): the first of the lines that share it.
+
+        The only derived table that needs a join and a reduction, so it is
+        stored once; map-side combine shrinks repeated lines before they move.
+        """
+        def build() -> DataFrame:
+            first = F.min(F.struct("l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"))
+            lines = self._lines().groupBy("l_orderkey", "l_linenumber").agg(first.alias("f"))
+            return self._as_bookings(self._with_orders(lines.select("l_orderkey", "l_linenumber", "f.*")))
+        return stored_once(self.spark, self.folder, "reserva", build)
 
     def _as_bookings(self, lines: DataFrame) -> DataFrame:
         order, line = F.col("l_orderkey"), F.col("l_linenumber")
@@ -313,4 +322,4 @@ def login_log(events: DataFrame) -> DataFrame:
         F.col("ts").alias("fecha_hora"), (~failed).alias("exitoso"),
         _id("10.0.0.", F.col("event_id") % 17).alias("direccion_ip"), F.lit("web").alias("info_dispositivo"),
         F.when(failed, "credenciales").alias("mensaje_error"), F.col("ts").alias("created_at"))
-    return with_defaults(rows, "intento_login", REGISTERED)
+    return with_defaults(rows, "intento_login", REGISTERED, fill_nulls=False)

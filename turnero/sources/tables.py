@@ -15,32 +15,34 @@ VERIFICATION_HOURS = 24
 
 
 def _default(column, as_of: Instant) -> Column | None:
-    if column.default is NOW or column.default == NOW:
+    if column.default == NOW:
         return instant(as_of)
     if column.default == NEW_ID:
         return F.uuid()
     return None if column.default is None else F.lit(column.default)
 
 
-def with_defaults(rows: DataFrame, table: str, as_of: Instant = None) -> DataFrame:
+def with_defaults(rows: DataFrame, table: str, as_of: Instant = None, fill_nulls: bool = True) -> DataFrame:
     """``rows`` in the table's column order and types.
 
-    Absent columns and NULLs of NOT NULL columns take the declared default; an
-    explicit NULL in a nullable column stays NULL.
+    Absent columns take the declared default.  With ``fill_nulls`` (ingest) so
+    do NULLs of NOT NULL columns; stored tables are read without it, so that
+    filters on their columns still reach the scan.  A present key is never
+    generated, and an explicit NULL in a nullable column stays NULL.
     """
     present = set(rows.columns)
+    schema = TABLES[table].schema()
     cells = []
     for column in TABLES[table].columns:
-        spark_type = TABLES[table].schema()[column.name].dataType
-        default = _default(column, as_of)
+        spark_type, default = schema[column.name].dataType, _default(column, as_of)
         if column.name not in present:
             value = F.lit(None) if default is None else default
-        elif default is not None and not column.nullable:
-            value = F.coalesce(F.col(column.name), default)
         else:
             value = F.col(column.name)
-        if isinstance(spark_type, T.TimestampNTZType) and column.name in present:
-            value = _utc(value, rows.schema[column.name].dataType)
+            if isinstance(spark_type, T.TimestampNTZType):
+                value = _utc(value, rows.schema[column.name].dataType)
+            if fill_nulls and default is not None and not column.nullable and column.default != NEW_ID:
+                value = F.coalesce(value, default)
         cells.append(value.cast(spark_type).alias(column.name))
     return rows.select(*cells)
 
@@ -51,9 +53,10 @@ def _utc(value: Column, stored: T.DataType) -> Column:
     return value
 
 
-def load_table(spark: SparkSession, path: str, table: str, as_of: Instant = None) -> DataFrame:
-    """A stored table as a typed frame with its declared defaults filled in."""
-    return with_defaults(spark.read.parquet(path), table, as_of)
+def load_table(spark: SparkSession, path: str, table: str, as_of: Instant = None,
+               fill_nulls: bool = True) -> DataFrame:
+    """A parquet table as a typed frame with its declared defaults filled in."""
+    return with_defaults(spark.read.parquet(path), table, as_of, fill_nulls)
 
 
 def insert_if_absent(existing: DataFrame, batch: DataFrame, keys: Iterable[str], order: str) -> DataFrame:
