@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from turnero.functions.clock import Instant, instant, shifted
 from turnero.sources.schemas import TABLES
+from turnero.sources.tables import literal_rows
 
 PARENT_OWNER = "_dueno"  # provider of the row's employee, joined in where needed
 
@@ -171,9 +172,10 @@ def access_matrix(tables: dict[str, DataFrame], people: DataFrame) -> DataFrame:
         flags.append(rows.select(F.lit(name).alias("tabla"), flag.alias("p")))
     counted = _union(flags).groupBy("tabla").agg(F.count("*").alias("total"), F.count_if("p").alias("publicas"))
     # an empty table still has its row
-    names = people.sparkSession.createDataFrame([(name,) for name in tables], "tabla string")
+    names = literal_rows(people.sparkSession, "tabla string", [(name,) for name in tables])
     totals = names.join(counted, "tabla", "left").fillna(0, ["total", "publicas"])
-    everyone = people.unionByName(people.sparkSession.createDataFrame([(None, None, None)], people.schema))
+    anonymous = literal_rows(people.sparkSession, "uid string, role string, tipo_usuario string", [(None,) * 3])
+    everyone = people.unionByName(anonymous)
     roles = sorted({role for rule in READ_RULES.values() for role in rule.roles})
     seen_by = [(role, F.array(*(F.lit(t) for t in tables if role in READ_RULES[t].roles)).cast("array<string>"))
                for role in roles]

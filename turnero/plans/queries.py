@@ -420,7 +420,7 @@ def _(m: Marketplace) -> DataFrame:
 @plan("t4_expiry_stream")
 def _(m: Marketplace) -> DataFrame:
     results = shared_dir(m.spark, "t4-counts")
-    step = streams.expiry_step(m.spark, m.table, results, AS_OF_AUTH)
+    step = streams.expiry_step(m.table, results, AS_OF_AUTH)
     stream = streams.read_parquet_stream(m.spark, m.folder, m.source("events").schema, only="events.parquet")
     streams.run_batches(stream, step, shared_dir(m.spark, "t4-checkpoint"))
     return m.spark.read.parquet(results).select("tabla", "eliminadas")

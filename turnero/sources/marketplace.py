@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from turnero.functions.clock import plus_minutes, shifted
 from turnero.session import stored_once
 from turnero.sources.schemas import CATEGORIAS_INICIALES, DIAS_SEMANA, ESTADOS_RESERVA, RESERVA_ACTIVA
-from turnero.sources.tables import with_defaults
+from turnero.sources.tables import literal_rows, with_defaults
 
 # Fixed clocks at which the derived tables are examined.
 AS_OF_BOOKING = "1998-06-15 00:00:00"
@@ -124,9 +124,9 @@ class Marketplace:
         people = self.usuario.select(
             F.col("id_usuario").alias("id"),
             F.when(F.col("id_usuario") == "A0", "admin").alias("role"), "tipo_usuario")
-        staff = self.spark.createDataFrame(
-            [("X1", "soporte", None), ("X2", "security", None), ("X3", "service_account", None)],
-            "id string, role string, tipo_usuario string")
+        staff = literal_rows(
+            self.spark, "id string, role string, tipo_usuario string",
+            [("X1", "soporte", None), ("X2", "security", None), ("X3", "service_account", None)])
         return people.unionByName(staff).select(
             "id", F.to_json(F.struct("role", "tipo_usuario")).alias("raw_user_meta_data"))
 
@@ -134,24 +134,23 @@ class Marketplace:
 
     @cached_property
     def categoria_servicio(self) -> DataFrame:
-        rows = self.spark.createDataFrame(
-            [(f"K{i}", name, text, i != 9) for i, (name, text) in enumerate(CATEGORIAS_INICIALES)],
-            "id_categoria string, nombre_categoria string, descripcion string, activa boolean")
+        rows = literal_rows(
+            self.spark, "id_categoria string, nombre_categoria string, descripcion string, activa boolean",
+            [(f"K{i}", name, text, i != 9) for i, (name, text) in enumerate(CATEGORIAS_INICIALES)])
         return self._stamped(rows, "categoria_servicio")
 
     @cached_property
     def servicio(self) -> DataFrame:
-        # The provider count is a one-row aggregate that joins on a constant key.
-        providers = self.source("supplier").agg(F.count("*").alias("n")).withColumn("one", F.lit(1))
+        providers = self.source("supplier").agg(F.count("*")).scalar()
         size, key = F.col("p_size"), F.col("p_partkey")
-        rows = (self.source("part").withColumn("one", F.lit(1)).join(F.broadcast(providers), "one").select(
-            _id("S", key).alias("id_servicio"), _id("P", key % F.col("n")).alias("id_proveedor"),
+        rows = self.source("part").select(
+            _id("S", key).alias("id_servicio"), _id("P", key % providers).alias("id_proveedor"),
             F.col("p_name").alias("nombre_servicio"),
             (15 * (1 + size % 8)).alias("duracion_minutos"),
             F.col("p_retailprice").cast("decimal(10,2)").alias("precio"),
             F.col("p_type").alias("descripcion"),
             (size % 5 != 0).alias("activo"),
-            F.when(size % 6 == 0, 1 + size % 10).otherwise(1).alias("capacidad_maxima")))
+            F.when(size % 6 == 0, 1 + size % 10).otherwise(1).alias("capacidad_maxima"))
         return self._stamped(rows, "servicio")
 
     # schedules --------------------------------------------------------------

@@ -53,6 +53,13 @@ def _utc(value: Column, stored: T.DataType) -> Column:
     return value
 
 
+def literal_rows(spark: SparkSession, schema: str, rows: Iterable[tuple]) -> DataFrame:
+    """A handful of fixed rows as a plan of literals, which the optimizer can size and fold."""
+    names = [field.split() for field in schema.split(",")]
+    structs = [F.struct(*(F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, names))) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def load_table(spark: SparkSession, path: str, table: str, as_of: Instant = None,
                fill_nulls: bool = True) -> DataFrame:
     """A parquet table as a typed frame with its declared defaults filled in."""

@@ -142,7 +142,7 @@ def change_step(log: ChangeLog, change: Callable[[DataFrame, DataFrame], tuple[D
     return step
 
 
-def expiry_step(spark: SparkSession, load: Callable[[str], DataFrame], results: str, as_of: Instant = None,
+def expiry_step(load: Callable[[str], DataFrame], results: str, as_of: Instant = None,
                 store: Callable[[str, DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` step that purges the token and login tables once per trigger.
 
