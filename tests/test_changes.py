@@ -101,7 +101,7 @@ def test_create_batch(spark, make):
                              for i, (q, s, a, b, _) in enumerate(cases)],
                      "id_solicitud string, orden int, id_cliente string, id_servicio string, id_empleado string, "
                      "id_proveedor string, fecha_hora_inicio timestamp_ntz, fecha_hora_fin timestamp_ntz")
-    snapshot, results = changes.crear_reserva(booked, services, week, blocks, requests, NOW)
+    snapshot, results = changes.crear_reserva(booked, services.filter("activo"), week, blocks, requests, NOW)
     assert {r.id_solicitud: r.motivo for r in results.collect()} == {c[0]: c[4] for c in cases}
     assert {r.id_reserva for r in snapshot.collect()} == {"r", "N-q5", "N-q7"}
 

@@ -151,11 +151,12 @@ def crear_reserva(reservas: DataFrame, servicios: DataFrame, horarios: DataFrame
                   solicitudes: DataFrame, as_of: Instant = None) -> Changed:
     """Admit a batch of booking requests.
 
-    A request needs an existing active service, an available employee and no
-    overlap with an active booking or with a request admitted before it.
-    Results say why a request was refused in ``motivo``.
+    A request needs a service that exists in ``servicios`` (pass the active ones
+    to demand that too), an available employee and no overlap with an active
+    booking or with a request admitted before it.  Results say why a request
+    was refused in ``motivo``.
     """
-    known = servicios.filter("activo").select("id_servicio", F.lit(True).alias("_servicio"))
+    known = servicios.select("id_servicio", F.lit(True).alias("_servicio"))
     asked = solicitudes.join(known, "id_servicio", "left")
     free = empleado_disponible(horarios, bloqueos, as_day_request(solicitudes)).select("id_solicitud", "disponible")
     slots = solicitudes.select("id_solicitud", "id_empleado", "fecha_hora_inicio", "fecha_hora_fin")

@@ -193,7 +193,8 @@ change("c2_cancelar_reserva",
 change("c3_reagendar_reserva",
        lambda m: changes.reagendar_reserva(m.reserva, req.reagendas(m), AS_OF_BOOKING), _RESERVA)
 change("c4_crear_reserva", lambda m: changes.crear_reserva(
-    m.reserva, m.servicio, m.horario_laboral, m.bloqueo_horario, req.reservas_nuevas(m), AS_OF_BOOKING), _RESERVA)
+    m.reserva, m.servicio.filter("activo"), m.horario_laboral, m.bloqueo_horario, req.reservas_nuevas(m),
+    AS_OF_BOOKING), _RESERVA)
 add("c5_mantener_sellos", lambda m: changes.mantener_sellos(
     m.reserva, req.reservas_editadas(m), "id_reserva", AS_OF_BOOKING).select(*_RESERVA))
 
