@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnero.functions.clock import Instant, instant, minute_of_day, shifted
-from turnero.operators.joins import as_day_request, empleado_disponible, validar_conflicto_horario
+from turnero.operators.joins import as_day_request, empleado_disponible, validar_conflicto_horario, with_day_columns
 from turnero.operators.overlap import admit_in_order
+from turnero.session import materialize
 from turnero.sources.schemas import RESERVA_CERRADA, TABLES
 from turnero.sources.tables import with_defaults
 
@@ -158,10 +159,10 @@ def crear_reserva(reservas: DataFrame, servicios: DataFrame, horarios: DataFrame
     """
     known = servicios.select("id_servicio", F.lit(True).alias("_servicio"))
     asked = solicitudes.join(known, "id_servicio", "left")
-    free = empleado_disponible(horarios, bloqueos, as_day_request(solicitudes)).select("id_solicitud", "disponible")
-    slots = solicitudes.select("id_solicitud", "id_empleado", "fecha_hora_inicio", "fecha_hora_fin")
-    busy = validar_conflicto_horario(reservas, slots).select("id_solicitud", "conflicto")
-    checked = asked.join(free, "id_solicitud").join(busy, "id_solicitud")
+    busy = validar_conflicto_horario(reservas, asked, probes=solicitudes)
+    free = empleado_disponible(horarios, bloqueos, with_day_columns(busy), probes=as_day_request(solicitudes))
+    # Admission and answers both read the checks; they are worked out once.
+    checked = materialize(free.select(*solicitudes.columns, "_servicio", "disponible", "conflicto"), "solicitudes")
     possible = checked.filter(F.col("_servicio") & F.col("disponible") & ~F.col("conflicto"))
     # Availability confines a request to one day, so a day is the natural cut.
     per_day = possible.select("id_solicitud", "orden", "id_empleado", F.to_date("fecha_hora_inicio").alias("_dia"),

@@ -115,17 +115,19 @@ def agenda_proveedor_dia(empleados: DataFrame, bloqueos: DataFrame, id_proveedor
 
 # conflicts ------------------------------------------------------------------
 
-def validar_conflicto_horario(reservas: DataFrame, solicitudes: DataFrame) -> DataFrame:
+def validar_conflicto_horario(reservas: DataFrame, solicitudes: DataFrame,
+                              probes: DataFrame | None = None) -> DataFrame:
     """Per request: does an active booking of the employee overlap it?
 
     ``solicitudes``: id_solicitud, id_empleado, fecha_hora_inicio,
     fecha_hora_fin and optionally id_excluir, a booking to leave out.  Adds
     ``conflictos`` (how many) and ``conflicto``; both NULL for an empty request.
+    Other columns pass through; ``probes`` as in ``count_overlaps``.
     """
     booked = active_bookings(reservas).filter("fecha_hora_inicio < fecha_hora_fin").select(
         "id_reserva", "id_empleado", "fecha_hora_inicio", "fecha_hora_fin")
     counted = count_overlaps(booked, solicitudes, ["id_empleado"], "fecha_hora_inicio", "fecha_hora_fin",
-                             by_month=True)
+                             by_month=True, probes=probes)
     hits = F.col("solapes")
     if "id_excluir" in solicitudes.columns:
         own = booked.select(F.col("id_reserva").alias("_own"), F.col("id_empleado").alias("_emp"),
@@ -157,8 +159,8 @@ def reservas_en_conflicto(reservas: DataFrame) -> DataFrame:
 
 # availability ---------------------------------------------------------------
 
-def _on_duty(horarios: DataFrame, probes: DataFrame) -> DataFrame:
-    """``probes`` (id_empleado, dia_semana, hora_inicio, hora_fin) plus ``en_horario``.
+def _on_duty(horarios: DataFrame, requests: DataFrame, probes: DataFrame) -> DataFrame:
+    """``requests`` (id_empleado, dia_semana, hora_inicio, hora_fin) plus ``en_horario``.
 
     One block must hold the whole request, so blocks are not merged: the
     furthest end among blocks that open by the requested start must reach the
@@ -170,33 +172,40 @@ def _on_duty(horarios: DataFrame, probes: DataFrame) -> DataFrame:
     points = opens.unionByName(asked).groupBy(*keys, "hora_inicio").agg(F.max("_until").alias("_until"))
     reach = running(points, keys, ["hora_inicio"], None, {"_reach": ("max", "_until", True)}).drop("_until")
     covered = F.coalesce(F.col("_reach") >= F.col("hora_fin"), F.lit(False))
-    return probes.join(reach, [*keys, "hora_inicio"], "left").withColumn("en_horario", covered).drop("_reach")
+    return requests.join(reach, [*keys, "hora_inicio"], "left").withColumn("en_horario", covered).drop("_reach")
 
 
-def empleado_disponible(horarios: DataFrame, bloqueos: DataFrame, solicitudes: DataFrame) -> DataFrame:
+def empleado_disponible(horarios: DataFrame, bloqueos: DataFrame, solicitudes: DataFrame,
+                        probes: DataFrame | None = None) -> DataFrame:
     """Per request (id_solicitud, id_empleado, fecha, hora_inicio, hora_fin in minutes): is the employee free?
 
     True when one weekly block of that weekday holds the request and no active
     dated block overlaps it.  Neither the employee's own flag nor the services
-    assigned matter.  NULL for an empty request.
+    assigned matter.  NULL for an empty request.  Other columns pass through;
+    ``probes`` as in ``count_overlaps``.
     """
-    asked = solicitudes.withColumn("dia_semana", weekday_name(F.col("fecha")))
-    duty = _on_duty(horarios, asked)
+    probes = solicitudes if probes is None else probes
+    weekday = weekday_name(F.col("fecha"))
+    duty = _on_duty(horarios, solicitudes.withColumn("dia_semana", weekday), probes.withColumn("dia_semana", weekday))
     blocks = bloqueos.filter(F.col("activo") & (F.col("hora_inicio") < F.col("hora_fin"))).select(
         "id_empleado", "fecha", "hora_inicio", "hora_fin")
-    counted = count_overlaps(blocks, duty, ["id_empleado", "fecha"], "hora_inicio", "hora_fin")
+    counted = count_overlaps(blocks, duty, ["id_empleado", "fecha"], "hora_inicio", "hora_fin", probes=probes)
     free = F.col("en_horario") & (F.col("solapes") == 0)
     return counted.select(*solicitudes.columns,
                           F.when(F.col("hora_inicio") < F.col("hora_fin"), free).alias("disponible"))
 
 
-def as_day_request(solicitudes: DataFrame) -> DataFrame:
-    """Timestamp requests as day requests; a request that leaves its day is an empty one.
+def with_day_columns(solicitudes: DataFrame) -> DataFrame:
+    """Timestamp requests plus fecha, hora_inicio and hora_fin; one that leaves its day becomes an empty one.
 
     Minutes round outwards, which is exact against blocks kept in whole minutes.
     """
     start, end = F.col("fecha_hora_inicio"), F.col("fecha_hora_fin")
     one_day = F.to_date(start) == F.to_date(end)
-    return solicitudes.select(
-        "id_solicitud", "id_empleado", F.to_date(start).alias("fecha"), minute_of_day(start).alias("hora_inicio"),
-        F.when(one_day, minute_of_day(end, up=True)).otherwise(-1).alias("hora_fin"))
+    return solicitudes.withColumns({
+        "fecha": F.to_date(start), "hora_inicio": minute_of_day(start),
+        "hora_fin": F.when(one_day, minute_of_day(end, up=True)).otherwise(-1)})
+
+
+def as_day_request(solicitudes: DataFrame) -> DataFrame:
+    return with_day_columns(solicitudes).select("id_solicitud", "id_empleado", "fecha", "hora_inicio", "hora_fin")

@@ -66,7 +66,7 @@ def running(points: DataFrame, keys: Sequence[str], order: Sequence[str], chunk:
 
 
 def count_overlaps(intervals: DataFrame, requests: DataFrame, keys: Sequence[str], start: str, end: str,
-                   by_month: bool = False) -> DataFrame:
+                   by_month: bool = False, probes: DataFrame | None = None) -> DataFrame:
     """``requests`` plus ``solapes``: how many intervals overlap each; NULL for an empty request.
 
     Both frames have ``keys``, ``start`` and ``end``.  Intervals must be
@@ -81,7 +81,7 @@ def count_overlaps(intervals: DataFrame, requests: DataFrame, keys: Sequence[str
                         F.struct(F.col(end).alias("_t"), none.alias("_s"), one.alias("_e")))
         return frame.select(*keys, F.inline(edges))
 
-    collapsed = (points(intervals, 1).unionByName(points(requests, 0))
+    collapsed = (points(intervals, 1).unionByName(points(requests if probes is None else probes, 0))
                  .groupBy(*keys, "_t").agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e")))
     counted = running(collapsed, keys, ["_t"], month_number("_t") if by_month else None,
                       {"_started": ("sum", "_s", False), "_ended": ("sum", "_e", True)})

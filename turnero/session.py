@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Runtime settings the operators rely on; all can be overridden by the caller.
 SETTINGS = {
@@ -59,7 +60,7 @@ def materialize(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def stored_once(spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -69,7 +70,8 @@ def stored_once(spark: SparkSession, source: str, name: str, build: Callable[[],
     """
     key = (spark.sparkContext.applicationId, source, name)
     if key not in _STORED:
-        path = shared_dir(spark, name)
-        build().write.parquet(path)
-        _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
+        path, rows = shared_dir(spark, name), build()
+        rows.write.parquet(path)
+        _STORED[key] = path, rows.schema
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)

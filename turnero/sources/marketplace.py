@@ -23,6 +23,20 @@ AS_OF_BOOKING = "1998-06-15 00:00:00"
 AS_OF_AUTH = "2024-01-30 00:00:00"
 REGISTERED = "2023-01-01 00:00:00"
 
+# Declared, so that reading a file starts no job to infer its schema.
+SOURCES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 TABLE_NAMES = (
     "usuario", "cliente", "proveedor", "admin", "intento_login", "token_refresh", "token_reset_password",
     "email_verification_token", "categoria_servicio", "servicio", "empleado", "empleado_servicio",
@@ -50,7 +64,7 @@ class Marketplace:
         self.folder = folder
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SOURCES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
