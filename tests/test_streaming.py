@@ -42,6 +42,8 @@ def test_change_stream_applies_batches_once(spark, make):
     before = rows(log.current())
     step(batches[1], 1)
     assert rows(log.current()) == before
+    compacted = log.compact(shared_dir(spark, "base"), shared_dir(spark, "log"))
+    assert rows(compacted.current()) == before
 
 
 def test_failed_login_window_equals_the_batch_report(spark, make):

@@ -287,6 +287,12 @@ change("c17_eliminar_bloqueo", lambda m: changes.eliminar_bloqueo(
 change("c18_update_servicio", lambda m: changes.update_fields(
     m.servicio, req.precios_nuevos(m), ["id_servicio", "id_proveedor"], ["nombre_servicio", "precio"],
     AS_OF_BOOKING), ("id_servicio", "nombre_servicio", "precio", "updated_at"))
+change("c18_update_categoria", lambda m: changes.update_fields(
+    m.categoria_servicio, req.categorias_nuevas(m), ["id_categoria"], ["nombre_categoria", "activa"], AS_OF_BOOKING),
+    ("id_categoria", "nombre_categoria", "activa", "updated_at"))
+change("c18_update_empleado", lambda m: changes.update_fields(
+    m.empleado, req.empleados_nuevos(m), ["id_empleado", "id_proveedor"], ["nombre_completo", "telefono", "notas"],
+    AS_OF_BOOKING), ("id_empleado", "nombre_completo", "telefono", "notas", "updated_at"))
 change("c18_update_horario", lambda m: changes.update_fields(
     m.horario_laboral, req.dias_libres(m), ["id_empleado", "dia_semana"], ["activo"], AS_OF_BOOKING),
     ("id_horario", *_FLAG))
@@ -370,6 +376,11 @@ writes("usuario", req.cambios_usuario, AS_OF_AUTH)
 writes("servicio", req.cambios_servicio, AS_OF_BOOKING)
 writes("horario_laboral", req.cambios_horario, AS_OF_BOOKING)
 writes("token_refresh", req.cambios_token, AS_OF_AUTH)
+writes("cliente", req.cambios_cliente, AS_OF_AUTH)
+writes("admin", req.cambios_admin, AS_OF_AUTH)
+writes("categoria_servicio", req.cambios_categoria, AS_OF_BOOKING)
+writes("bloqueo_horario", req.cambios_bloqueo, AS_OF_BOOKING)
+writes("intento_login", req.cambios_intento, "2024-04-15 00:00:00")
 add("r13_role_predicates", lambda m: visibility.role_predicates(visibility.principals(m.auth_users)))
 add("r14_access_matrix", lambda m: visibility.access_matrix(m.tables(), visibility.principals(m.auth_users)))
 

@@ -110,6 +110,23 @@ def precios_nuevos(m: Marketplace) -> DataFrame:
     return _numbered(rows, "id_servicio")
 
 
+def categorias_nuevas(m: Marketplace) -> DataFrame:
+    """Every category is renamed and switched on."""
+    rows = m.categoria_servicio.select(
+        "id_categoria", F.concat("nombre_categoria", F.lit(" y más")).alias("nombre_categoria_nuevo"),
+        F.lit(True).alias("activa_nuevo"))
+    return _numbered(rows, "id_categoria")
+
+
+def empleados_nuevos(m: Marketplace) -> DataFrame:
+    """Every employee gets new contact data; those without a phone are claimed by someone else."""
+    owner = F.when(F.col("telefono").isNull(), "P-ajeno").otherwise(F.col("id_proveedor"))
+    rows = m.empleado.select(
+        "id_empleado", owner.alias("id_proveedor"), F.concat("nombre_completo", F.lit(" López")).alias(
+            "nombre_completo_nuevo"), F.lit("+57 310").alias("telefono_nuevo"), F.lit("nota").alias("notas_nuevo"))
+    return _numbered(rows, "id_empleado")
+
+
 def dias_libres(m: Marketplace) -> DataFrame:
     """Every employee takes Saturdays off."""
     rows = m.empleado.select("id_empleado", F.lit("SABADO").alias("dia_semana"), F.lit(False).alias("activo_nuevo"))
@@ -227,3 +244,57 @@ def cambios_token(m: Marketplace) -> DataFrame:
         ("purga", own, "DELETE", None),
         ("purga_servicio", F.lit("X3"), "DELETE", None),
     ])
+
+
+def cambios_cliente(m: Marketplace) -> DataFrame:
+    own, phone = F.col("id_usuario"), {"telefono": F.lit("1")}
+    return _changes(m.cliente, "id_usuario", [
+        ("telefono", own, "UPDATE", phone),
+        ("ajeno", F.lit("C1"), "UPDATE", phone),
+        ("admin", F.lit("A0"), "UPDATE", phone),
+        ("alta", F.lit("A0"), "INSERT", None),
+        ("alta_propia", own, "INSERT", None),
+        ("baja", F.lit("A0"), "DELETE", None),
+        ("baja_servicio", F.lit("X3"), "DELETE", None),
+    ])
+
+
+def cambios_admin(m: Marketplace) -> DataFrame:
+    return _changes(m.admin, "id_usuario", [
+        ("admin", F.lit("A0"), "UPDATE", {"activo": F.lit(False)}),
+        ("propio", F.col("id_usuario"), "UPDATE", {"activo": F.lit(False)}),
+        ("soporte", F.lit("X1"), "UPDATE", {"activo": F.lit(False)}),
+        ("baja", F.lit("A0"), "DELETE", None),
+        ("baja_servicio", F.lit("X3"), "DELETE", None),
+    ])
+
+
+def cambios_categoria(m: Marketplace) -> DataFrame:
+    return _changes(m.categoria_servicio, "id_categoria", [
+        ("admin", F.lit("A0"), "UPDATE", {"activa": F.lit(False)}),
+        ("proveedor", F.lit("P1"), "UPDATE", {"activa": F.lit(False)}),
+        ("crea", F.lit("A0"), "INSERT", None),
+        ("crea_anonimo", F.lit(None).cast("string"), "INSERT", None),
+        ("borra", F.lit("A0"), "DELETE", None),
+    ])
+
+
+def cambios_bloqueo(m: Marketplace) -> DataFrame:
+    return _changes(m.bloqueo_horario, "id_bloqueo", [
+        ("crea", F.lit(None).cast("string"), "INSERT", None),
+        ("propio", F.lit("P1"), "UPDATE", {"activo": F.lit(False)}),
+        ("admin", F.lit("A0"), "UPDATE", {"activo": F.lit(False)}),
+        ("borra", F.lit("A0"), "DELETE", None),
+        ("borra_servicio", F.lit("X3"), "DELETE", None),
+    ])
+
+
+def cambios_intento(m: Marketplace) -> DataFrame:
+    own = F.col("id_usuario")
+    return _changes(m.intento_login, "id_intento", [
+        ("registra", F.lit(None).cast("string"), "INSERT", None),
+        ("edita", own, "UPDATE", {"exitoso": F.lit(True)}),
+        ("purga_propia", own, "DELETE", None),
+        ("purga_ajena", F.lit("C1"), "DELETE", None),
+        ("purga_admin", F.lit("A0"), "DELETE", None),
+    ])

@@ -117,6 +117,11 @@ class ChangeLog:
         last = images.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").select(*base.columns)
         return base.join(last.select(self.key), self.key, "left_anti").select(*base.columns).unionByName(last)
 
+    def compact(self, base: str, log: str) -> ChangeLog:
+        """Write the current table to a new base and start an empty log over it."""
+        self.current().write.parquet(base)
+        return ChangeLog.create(self.spark, base, log, self.key)
+
     def write(self, images: DataFrame, batch_id: int) -> None:
         images.write.mode("overwrite").parquet(f"{self.log}/batch={batch_id}")
 
