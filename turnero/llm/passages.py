@@ -32,11 +32,13 @@ SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
 PARAGRAPH_WORDS, RUN_WORDS, NEIGHBOURS = 20, 20, 4
 #: Members of a bucket that are checked pair by pair at a time.
 CHUNK = 256
+#: Words of a piece or paragraph that its place can tell.
+MOST = (1 << 20) - 1
 _STEP = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
-def tuned(similarity: float = SIMILARITY, recall: float = RECALL, rows: int = 4) -> tuple[int, int]:
+def tuned(similarity: float = SIMILARITY, recall: float = RECALL, rows: int = 3) -> tuple[int, int]:
     """(bands, rows): the fewest bands of ``rows`` hashes that catch a pair of ``similarity`` with chance ``recall``."""
     miss = 1 - similarity ** rows
     return int(np.ceil(np.log(1 - recall) / np.log(miss))), rows
@@ -60,6 +62,10 @@ def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.array(hashes, np.uint64), np.array(lines, np.int64)
 
 
+def words_of(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
 def shingles(words: np.ndarray) -> np.ndarray:
     """Hash of every run of five words; of fewer words the whole run."""
     n = max(1, len(words) - SHINGLE + 1)
@@ -80,25 +86,41 @@ def identity(words: np.ndarray) -> int:
     return int(np.frombuffer(xxhash.xxh64_digest(words.tobytes(), 1), ">i8")[0])
 
 
-def bands_of(found: np.ndarray, bands: int, rows: int) -> list[int]:
-    """One signed hash per band of the MinHash of a shingle set."""
-    seeds = mixed(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(_STEP))
-    low = np.full(len(seeds), _MASK, np.uint64)
-    for at in range(0, len(found), 4096):
-        part = found[at:at + 4096]
-        product = (part[None, :] ^ seeds[:, None]) * (seeds[:, None] | np.uint64(1))
-        low = np.minimum(low, (product ^ (product >> np.uint64(31))).min(axis=1))
-    key = np.zeros(bands, np.uint64)
+def bands_of(words: np.ndarray, spans: list[tuple[int, int]], bands: int, rows: int) -> list[list[int]]:
+    """For each paragraph (of five words or more) one signed hash per band of the MinHash of its shingles.
+
+    All paragraphs of a text are taken together: one row of the array is one
+    hash function over all shingles, cut at the paragraphs for the minima.
+    """
+    if not spans:
+        return []
+    found = np.append(shingles(words), np.uint64(0))
+    seeds = mixed(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(_STEP))[:, None]
+    low = np.empty((len(seeds), len(spans)), np.uint64)
+    at = 0
+    while at < len(spans):
+        upto = at + 1  # whole paragraphs of some ten thousand words at a time
+        while upto < len(spans) and spans[upto][0] + spans[upto][1] - spans[at][0] < 16_384:
+            upto += 1
+        first = spans[at][0]
+        part = found[first:spans[upto - 1][0] + spans[upto - 1][1] - SHINGLE + 2]
+        product = (part ^ seeds) * (seeds | np.uint64(1))
+        product ^= product >> np.uint64(31)
+        borders = np.array([(a - first, a - first + n - SHINGLE + 1) for a, n in spans[at:upto]]).ravel()
+        low[:, at:upto] = np.minimum.reduceat(product, borders, axis=1)[:, ::2]
+        at = upto
+    key = np.zeros((bands, len(spans)), np.uint64)
     for r in range(rows):
         key = mixed(key * np.uint64(_STEP) + low[r::rows])
-    return mixed(key + np.arange(bands, dtype=np.uint64)).view(np.int64).tolist()
+    return mixed(key + np.arange(bands, dtype=np.uint64)[:, None]).view(np.int64).T.tolist()
 
 
-def pieces(words: np.ndarray) -> list[tuple[int, int, int]]:
-    """(first word, number of words, hash) of the pieces between cuts that depend on nearby words alone."""
+def pieces(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, number of words and hash of the pieces between cuts that depend on nearby words alone."""
     n, w = len(words), NEIGHBOURS
+    none = np.zeros(0, np.int64)
     if n < 2 * w + 1:
-        return []
+        return none, none, none
     x = mixed(words)
     inner = x[w:n - w]
     cut = np.ones(len(inner), bool)
@@ -106,31 +128,45 @@ def pieces(words: np.ndarray) -> list[tuple[int, int, int]]:
         cut &= (inner < x[w - k:n - w - k]) & (inner <= x[w + k:n - w + k])
     at = np.flatnonzero(cut) + w
     if len(at) < 2:
-        return []
+        return none, none, none
     powers = np.cumprod(np.full(n, _STEP, np.uint64))
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(x + np.uint64(1)) * powers)))
     inverse = pow(_STEP, -1, 1 << 64)
     back = np.cumprod(np.full(n, inverse, np.uint64))
     hashes = mixed((sums[at[1:]] - sums[at[:-1]]) * back[at[:-1]]).view(np.int64)
-    return list(zip(at[:-1].tolist(), np.diff(at).tolist(), hashes.tolist()))
+    return at[:-1], np.diff(at), hashes
 
 
-def _by_document(docs: DataFrame, made, schema: str) -> DataFrame:
-    """Rows that ``made`` gives for each (doc_id, text), as a data frame of ``schema`` after doc_id."""
-    names = ["doc_id"] + [c.split()[0] for c in schema.split(", ")]
+def cut_up(docs: DataFrame, bands: int, rows: int, least: int = PARAGRAPH_WORDS) -> DataFrame:
+    """``doc_id, hash, place, bands`` of every paragraph, and without bands of every piece; stored.
 
+    ``place`` is the first word times 2 ** 20 plus the number of words.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"]):
-                rows += [(int(doc), *row) for row in made(text or "")]
-                if len(rows) > 100_000:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=names)
-
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id bigint, " + schema)
+            paras, found, held = [], [], 0
+            for doc, text in zip(batch["doc_id"].tolist(), batch["text"]):
+                words, lines = word_hashes(text or "")
+                spans = paragraphs(words, lines, least)
+                for (a, n), keys in zip(spans, bands_of(words, spans, bands, rows)):
+                    paras.append((doc, identity(words[a:a + n]), a << 20 | min(n, MOST), keys))
+                first, size, hashes = pieces(words)
+                found.append((np.full(len(first), doc, np.int64), hashes, first << 20 | np.minimum(size, MOST)))
+                held += len(first) + 16 * len(spans)
+                if held > 200_000:
+                    yield from frames(paras, found)
+                    paras, found, held = [], [], 0
+            yield from frames(paras, found)
+
+    def frames(paras: list, found: list) -> Iterator[pd.DataFrame]:
+        if paras:
+            yield pd.DataFrame(paras, columns=names)
+        if found:
+            doc, hashes, place = map(np.concatenate, zip(*found))
+            yield pd.DataFrame({"doc_id": doc, "hash": hashes, "place": place, "bands": None})
+
+    names = ["doc_id", "hash", "place", "bands"]
+    return stored(docs.select("doc_id", "text").mapInPandas(run, "doc_id bigint, hash bigint, place bigint, bands array<bigint>"), "cut-up")
 
 
 def _check(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -175,30 +211,27 @@ def _check_buckets(members: DataFrame, sets: DataFrame, similarity: float) -> Da
     return rows.groupBy("key", "c1", "c2").applyInPandas(compare, "a bigint, b bigint")
 
 
-def paragraph_classes(docs: DataFrame, similarity: float = SIMILARITY, least: int = PARAGRAPH_WORDS) -> DataFrame:
-    """``doc_id, first_word, n_words, pid, component`` of every paragraph; copies share a pid, similar ones a component."""
-    bands, rows = tuned(similarity)
-
-    def filed(text: str) -> list[tuple]:
-        words, lines = word_hashes(text)
-        return [(a, n, identity(words[a:a + n]), bands_of(shingles(words[a:a + n]), bands, rows)) for a, n in paragraphs(words, lines, least)]
-
-    found = stored(_by_document(docs, filed, "first_word bigint, n_words bigint, pid bigint, bands array<bigint>"), "paragraphs")
-    where = found.select("doc_id", "first_word", "n_words", "pid")
-    unique = found.groupBy("pid").agg(F.min(F.struct("doc_id", "first_word", "n_words", "bands")).alias("x"))
-    keys = unique.select("pid", "x.doc_id", "x.first_word", "x.n_words", F.explode("x.bands").alias("key"))
+def paragraph_classes(docs: DataFrame, cut: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id, place, pid, component`` of every paragraph; copies share a pid, similar ones a component."""
+    found = cut.where("bands is not null").withColumnRenamed("hash", "pid")
+    where = found.select("doc_id", "place", "pid")
+    unique = found.groupBy("pid").agg(F.min(F.struct("doc_id", "place", "bands")).alias("x"))
+    keys = unique.select("pid", "x.doc_id", "x.place", F.explode("x.bands").alias("key"))
     hubs = keys.groupBy("key").agg(F.min("pid").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "hub")
     met = stored(keys.join(hubs, "key"), "met-paragraphs")
     # The shingle sets of the paragraphs that met another, cut anew from one document that has them.
-    need = met.groupBy("doc_id").agg(F.collect_set(F.struct("first_word", "n_words", "pid")).alias("spans"))  # of one document
+    need = met.groupBy("doc_id").agg(F.collect_set(F.struct("place", "pid")).alias("spans"))  # of one document
     wanted = docs.select("doc_id", "text").join(need, "doc_id")
 
     def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for text, spans in zip(batch["text"], batch["spans"]):
-                words, _ = word_hashes(text or "")
-                out = [(s["pid"], np.unique(shingles(words[s["first_word"]:s["first_word"] + s["n_words"]])).view(np.int64)) for s in spans
-                       if identity(words[s["first_word"]:s["first_word"] + s["n_words"]]) == s["pid"]]
+                words, out = (text or "").encode("utf-8", "surrogatepass").lower().split(), []
+                for span in spans:
+                    first = span["place"] >> 20
+                    part = words_of(words[first:first + (span["place"] & MOST)])
+                    if identity(part) == span["pid"]:  # rows that repeat an id may hold another text
+                        out.append((span["pid"], np.unique(shingles(part)).view(np.int64)))
                 yield pd.DataFrame(out, columns=["pid", "found"])
 
     sets = stored(wanted.mapInPandas(sets_of, "pid bigint, found array<bigint>").dropDuplicates(["pid"]), "shingle-sets")
@@ -209,30 +242,27 @@ def paragraph_classes(docs: DataFrame, similarity: float = SIMILARITY, least: in
     more = _check_buckets(members, sets, similarity)
     final = connected_components(links.unionByName(more), "a", "b")
     return where.join(final, F.col("pid") == F.col("node"), "left").select(
-        "doc_id", "first_word", "n_words", "pid", F.coalesce("component", "pid").alias("component"))
+        "doc_id", "place", "pid", F.coalesce("component", "pid").alias("component"))
 
 
-def repeated_paragraphs(docs: DataFrame) -> DataFrame:
+def repeated_paragraphs(docs: DataFrame, cut: DataFrame) -> DataFrame:
     """Paragraphs whose class spans documents: ``doc_id, kind, first_word, n_words, class_id, removed``."""
-    found = stored(paragraph_classes(docs), "paragraph-classes")
-    classes = found.groupBy("component").agg(F.min(F.struct("doc_id", "first_word")).alias("first"), F.max("doc_id").alias("last")).where(
+    found = stored(paragraph_classes(docs, cut), "paragraph-classes")
+    classes = found.groupBy("component").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.max("doc_id").alias("last")).where(
         F.col("first.doc_id") != F.col("last")).select(F.col("component").alias("of"), "first")
     return found.join(classes, F.col("component") == F.col("of")).select(
-        "doc_id", F.lit("paragraph").alias("kind"), "first_word", "n_words", F.col("first.doc_id").alias("class_id"),
-        ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("first_word") != F.col("first.first_word"))).alias("removed")).distinct()
+        "doc_id", F.lit("paragraph").alias("kind"), F.shiftright("place", 20).alias("first_word"),
+        F.col("place").bitwiseAND(F.lit(MOST)).cast("bigint").alias("n_words"), F.col("first.doc_id").alias("class_id"),
+        ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("place") != F.col("first.place"))).alias("removed")).distinct()
 
 
-def repeated_passages(docs: DataFrame, least: int = RUN_WORDS) -> DataFrame:
+def repeated_passages(cut: DataFrame, least: int = RUN_WORDS) -> DataFrame:
     """Runs of pieces that other documents hold too: ``doc_id, kind, first_word, n_words, class_id, removed``."""
-    def cut(text: str) -> list[tuple]:
-        words, _ = word_hashes(text)
-        return [(h, a << 20 | min(n, (1 << 20) - 1)) for a, n, h in pieces(words)]
-
-    found = stored(_by_document(docs, cut, "piece bigint, place bigint"), "pieces")
+    found = cut.where("bands is null").select("doc_id", F.col("hash").alias("piece"), "place")
     shared = found.groupBy("piece").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where(
         "owner <> last").select(F.col("piece").alias("of"), "owner")
     hits = found.join(shared, F.col("piece") == F.col("of")).select(
-        "doc_id", F.shiftright("place", 20).alias("at"), F.col("place").bitwiseAND(F.lit((1 << 20) - 1)).alias("words"), "owner").distinct()
+        "doc_id", F.shiftright("place", 20).alias("at"), F.col("place").bitwiseAND(F.lit(MOST)).cast("bigint").alias("words"), "owner").distinct()
     order = Window.partitionBy("doc_id").orderBy("at")  # the pieces of one document
     starts = F.when(F.col("at") == F.lag(F.col("at") + F.col("words")).over(order), 0).otherwise(1)
     runs = hits.withColumn("start", starts).withColumn("run", F.sum("start").over(order)).groupBy("doc_id", "run").agg(
@@ -251,7 +281,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     all of them; other columns are ignored; an empty table gives no rows.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    return repeated_paragraphs(rows).unionByName(repeated_passages(rows))
+    cut = cut_up(rows, *tuned())
+    return repeated_paragraphs(rows, cut).unionByName(repeated_passages(cut))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

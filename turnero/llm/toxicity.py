@@ -248,8 +248,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", sample: tuple
     return Model(units, fit_curve(second[[f"f{i}" for i in range(5)]].to_numpy(float), toxic, weights * len(toxic) / weights.sum()))
 
 
-def score(docs: DataFrame, model: Model, keep: list[str], threshold: float = PREDICTED_FROM) -> DataFrame:
-    """``keep`` columns, ``score`` (0 to 1), ``predicted`` (1 from ``threshold``), ``clause_weight``, ``clauses``."""
+def score(docs: DataFrame, model: Model, keep: list[str], threshold: float = PREDICTED_FROM, prefix: str = "") -> DataFrame:
+    """``keep`` columns, ``score`` (0 to 1), ``predicted`` (1 from ``threshold``), ``clause_weight``, ``clauses``, named with ``prefix``."""
     kinds = dict(docs.dtypes)
     units, beta = model.units, model.beta
 
@@ -259,10 +259,11 @@ def score(docs: DataFrame, model: Model, keep: list[str], threshold: float = PRE
             rows = np.array([grammar.features(t or "") for t in batch["text"]], float).reshape(-1, 5)
             value = 1 / (1 + np.exp(-np.clip(design(rows) @ beta, -30, 30)))
             yield pd.DataFrame({k: batch[k].array for k in keep} | {
-                "score": value, "predicted": (value >= threshold).astype("int32"),
-                "clause_weight": rows[:, 0], "clauses": rows[:, 1].astype("int64")})
+                f"{prefix}score": value, f"{prefix}predicted": (value >= threshold).astype("int32"),
+                f"{prefix}clause_weight": rows[:, 0], f"{prefix}clauses": rows[:, 1].astype("int64")})
 
-    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keep) + ", score double, predicted int, clause_weight double, clauses bigint"
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keep) + "".join(
+        f", {prefix}{c}" for c in ("score double", "predicted int", "clause_weight double", "clauses bigint"))
     columns = list(dict.fromkeys([*keep, "text"]))
     return docs.withColumn("text", F.col("text").cast("string")).select(*columns).mapInPandas(run, schema)
 
@@ -281,5 +282,5 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, with all their columns; null texts stay."""
-    rows = score(docs, train(docs, labels), docs.columns)
-    return rows.where("predicted = 0").select(*docs.columns)
+    rows = score(docs, train(docs, labels), docs.columns, prefix="_toxicity_")
+    return rows.where("_toxicity_predicted = 0").select(*docs.columns)

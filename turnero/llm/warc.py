@@ -75,39 +75,44 @@ def write(pages: DataFrame, least_bytes: int = 0, archive_bytes: int = ARCHIVE_B
     body = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select("page_id", F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), body.alias("body"))
     rows = rows.withColumn("digest", base32_sha1(F.col("body").cast("binary"))).withColumn("size", F.octet_length("body").cast("bigint"))
-    owners = stored(rows.groupBy("digest", "size").agg(F.min("page_id").alias("owner"), F.count(F.lit(1)).alias("n")), "warc-owners")
+    name = F.md5(F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("null")), "url", "digest").cast("binary"))
+    rows = rows.withColumn("name", name)
+    facts = stored(rows.drop("body"), "warc-facts")
+    owners = stored(facts.groupBy("digest", "size").agg(F.min("page_id").alias("owner"), F.count(F.lit(1)).alias("n")), "warc-owners")
     repeats = owners.where((F.col("n") > 1) & (F.col("size") >= least_bytes)).select(F.col("digest").alias("d"), F.col("size").alias("z"), "owner")
     totals = owners.agg(F.sum(F.col("size") + 500 * F.col("n")), F.sum("n")).first()
     archives = max(1, -(-(totals[0] or 0) // archive_bytes))
-    rows = rows.join(repeats, (F.col("digest") == F.col("d")) & (F.col("size") == F.col("z")), "left")
-    revisit = F.col("owner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("owner"))
-    name = F.md5(F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("null")), "url", "digest").cast("binary"))
+    archive = F.pmod(F.xxhash64("name"), F.lit(archives)).cast("int")
+    # Decisions are made without the texts, which are moved once: to their archive, behind their decision.
+    facts = facts.join(repeats, (F.col("digest") == F.col("d")) & (F.col("size") == F.col("z")), "left")
+    facts = facts.withColumn("revisit", F.col("owner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("owner"))).withColumn("archive", archive)
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: "), F.col("size"), F.lit(END))
-    block = F.when(F.col("revisit"), http).otherwise(F.concat(http, F.col("body")))
+    length = F.octet_length(http) + F.when(F.col("revisit"), 0).otherwise(F.col("size"))
     one_line = F.regexp_replace("url", "[\\r\\n]", "%0A")
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     head = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.when(F.col("revisit"), "revisit").otherwise("response"),
-        F.lit("\r\nWARC-Record-ID: <urn:md5:"), name, F.lit(">\r\nWARC-Date: " + DATE + "\r\nWARC-Target-URI: "), one_line,
+        F.lit("\r\nWARC-Record-ID: <urn:md5:"), F.col("name"), F.lit(">\r\nWARC-Date: " + DATE + "\r\nWARC-Target-URI: "), one_line,
         F.lit("\r\nWARC-Page-ID: "), page, F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("digest"),
         F.when(F.col("revisit"), F.concat(
             F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nWARC-Refers-To-Page-ID: "),
             F.col("owner").cast("string"))).otherwise(""),
-        F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "))
-    records = rows.withColumn("revisit", revisit).withColumn("block", block)
-    records = records.select(
-        "page_id", host_key(one_line).alias("url_key"), name.alias("name"),
-        F.pmod(F.xxhash64("page_id", "url", "digest"), F.lit(archives)).cast("int").alias("archive"),
-        F.concat(head, F.octet_length("block").cast("string"), F.lit(END), F.col("block")).alias("record"))
+        F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), length, F.lit(END), http)
+    heads = stored(facts.select("page_id", host_key(one_line).alias("url_key"), "name", "archive", "revisit", head.alias("head"),
+                                (F.octet_length(head) + F.when(F.col("revisit"), 0).otherwise(F.col("size"))).cast("bigint").alias("length")), "warc-heads")
     order = Window.partitionBy("archive").orderBy("page_id", "name")  # one archive, of bounded size
-    lengths = records.select("url_key", "page_id", "name", "archive", F.octet_length("record").cast("bigint").alias("length"))
-    placed = lengths.withColumn("offset", F.coalesce(F.sum(F.col("length") + len(END)).over(
-        order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    placed = heads.select("url_key", "page_id", "name", "archive", "length").withColumn(
+        "offset", F.coalesce(F.sum(F.col("length") + len(END)).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     folder = shared_dir(spark, "warc")
-    # A partition of the writer is sorted by archive and page, as the window numbers it.
-    (records.select("archive", "page_id", "name", "record")
-     .repartition(max(1, min(archives, 4096)), "archive").sortWithinPartitions("archive", "page_id", "name")
-     .select("archive", F.col("record").alias("value")).write.partitionBy("archive").option("lineSep", END).text(folder))
+    # In an archive every text stands before its head; repeated rows have as many equal texts as heads.
+    keyed = [heads.select("archive", "page_id", "name", F.lit(0).alias("kind"), F.col("head").alias("value"), "revisit"),
+             rows.select(archive.alias("archive"), "page_id", "name", F.lit(1).alias("kind"), F.col("body").alias("value"), F.lit(False).alias("revisit"))]
+    both = keyed[0].unionByName(keyed[1]).repartition(max(1, min(archives, 4096)), "archive")
+    pairs = Window.partitionBy("archive").orderBy("page_id", "name", F.col("kind").desc())
+    text = F.last(F.when(F.col("kind") == 1, F.col("value")), ignorenulls=True).over(pairs.rowsBetween(Window.unboundedPreceding, 0))
+    both = both.withColumn("body", text).where("kind = 0")
+    value = F.when(F.col("revisit"), F.col("value")).otherwise(F.concat("value", F.col("body")))
+    both.select("archive", value.alias("value")).write.partitionBy("archive").option("lineSep", END).text(folder)
     blocks = index(placed, totals[1] or 0, lines)
     return Archives(folder, blocks, archives)
 
