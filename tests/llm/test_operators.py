@@ -290,3 +290,13 @@ def test_pipeline_stages_keep_the_columns(spark):
         made = stage(spark, docs, SF)
         assert made.columns == docs.columns
     assert corpus_pipeline.run(spark, SF).count() <= docs.count()
+
+
+def test_pii_gate_lets_every_match_through(spark, docs):
+    texts = ["mail a@b.co", "Mr. John Smith", "Κυρία Άννα", 'k: "ABCDEFGHabcdefgh"', "f" * 32, "AKIA" + "A" * 16, "sk-" + "a" * 20, "xoxb-" + "a" * 10,
+             "ghp_" + "a" * 36, "DE12ABCDABCDABCD", "1.2.3.4", "078-05-1120", "4111 1111 1111 1111", "3782 822463 10005", "4111111111111",
+             "(017) 555 7713", "+1 555 77", "555.123.4567"]
+    planted = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("planted", F.lit(True))
+    rows = planted.unionByName(docs.select("text").withColumn("planted", F.lit(False)))
+    matching = rows.where(F.col("text").rlike(pii.PATTERN))
+    assert matching.where("planted").count() == len(texts) and matching.where(~pii.may_hold("text")).count() == 0

@@ -55,6 +55,12 @@ PATTERNS = {
 }
 PATTERN = "|".join(PATTERNS.values())
 BY_DIGITS = ("ssn", "card", "phone", "iban")
+# What every match of the patterns holds, beside an @, a title or a mark: without any of it a text is not searched.
+CORES = ("[0-9](?:(?<=[+][0-9])|(?<=[(][0-9])[0-9]{1,3}[)]|(?<=[A-Z]{2}[0-9])[0-9]|[.][0-9]{1,3}[.]|-[0-9]{2}-[0-9]"
+         "|[0-9]{3}[ -]?[0-9]{4}|[0-9]{2}[ .-][0-9]{3}[ .-])",
+         "[\"'](?<=[=:] ?[\"'])[A-Za-z0-9+/_=-]{16}",
+         "[0-9a-fA-F]{32}")
+MARKS = ("@", "AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox")
 
 
 def quoted(text: str) -> str:
@@ -125,15 +131,16 @@ def _luhn(number: str) -> str:
 def surrogate_of(kind: str, canon: str, attempt: str, key: str) -> str:
     """SQL for the canonical surrogate of a canonical entity."""
     seed = f"concat({quoted(key)}, '|', {kind}, '|', {canon}, '|', {attempt}, '|'"
-    stream = f"concat(sha2({seed}, '0'), 256), sha2({seed}, '1'), 256))"
+    drawn, stream = f"concat(sha2({seed}, '0'), 256), sha2({seed}, '1'), 256))", "stream"  # drawn once, bound by the outer lambda
     octets = ", ".join(f"cast(1 + cast(conv(substr({stream}, {1 + 4 * k}, 4), 16, 10) as int) % 254 as string)" for k in range(4))
     letters = _letters(kind, canon, stream)
     # A card that satisfies the checksum gets a last digit that satisfies it too.
     body = "substr(x, 1, length(x) - 1)"
     summed = _luhn(f"concat({body}, '0')")
     checked = f"element_at(transform(array({letters}), x -> concat({body}, cast((10 - {summed} % 10) % 10 as string))), 1)"
-    return (f"CASE WHEN {kind} = 'ip' THEN concat_ws('.', {octets}) WHEN {kind} = 'person' THEN {_person(canon, stream, attempt)} "
+    made = (f"CASE WHEN {kind} = 'ip' THEN concat_ws('.', {octets}) WHEN {kind} = 'person' THEN {_person(canon, stream, attempt)} "
             f"WHEN {kind} = 'card' AND {_luhn(canon)} % 10 = 0 THEN {checked} ELSE {letters} END")
+    return f"element_at(transform(array({drawn}), stream -> {made}), 1)"
 
 
 def rendered(kind: str, e: str, surrogate: str) -> str:
@@ -149,6 +156,17 @@ def rendered(kind: str, e: str, surrogate: str) -> str:
             f"WHEN {kind} = 'person' THEN concat({title}, {name}) ELSE {surrogate} END")
 
 
+def may_hold(text: str) -> Column:
+    """False only where no pattern can match: plain searches, far cheaper than the patterns."""
+    body = F.col(text)
+    found = F.lit(False)
+    for word in (*MARKS, *(f"{t}{end}" for t in TITLES["m"] + TITLES["f"] for end in (" ", ". "))):
+        found = found | F.contains(body, F.lit(word))
+    for core in CORES:
+        found = found | body.rlike(core)
+    return F.coalesce(found, F.lit(False))
+
+
 def entities(text: str) -> Column:
     """Array of ``(e, kind, canon)`` in the order of the text in column ``text``."""
     found = f"regexp_extract_all(`{text}`, {quoted(PATTERN)}, 0)"
@@ -177,7 +195,7 @@ def distinct_surrogates(found: DataFrame, key: str = KEY, rounds: int = 64) -> D
         taken = rows.where("fresh").withColumn("own", as_canon).join(real, (F.col("kind") == F.col("k")) & (F.col("own") == F.col("real")))
         return shared.select("kind", "canon").unionByName(taken.select("kind", "canon")).distinct()
 
-    current = draw(found, 0).withColumn("fresh", F.lit(True))
+    current = stored(draw(found, 0).withColumn("fresh", F.lit(True)), "surrogates")
     again = stored(losers(current), "surrogates")
     settled = None
     for attempt in range(1, rounds):
@@ -205,8 +223,8 @@ def replace(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
     surrogate wherever it occurs; different entities have different ones.
     """
     body = F.col(text)
-    found = docs.select(F.xxhash64(body).alias("text_hash"), entities(text).alias("entities")).where(F.size("entities") > 0)
-    found = stored(found.groupBy("text_hash").agg(F.first("entities").alias("entities")), "entities")
+    # A filter on the entities would find them twice; texts without any are few behind may_hold.
+    found = stored(docs.where(may_hold(text)).select(F.xxhash64(body).alias("text_hash"), entities(text).alias("entities")), "entities")
     listed = found.select("text_hash", F.explode("entities").alias("x")).select("text_hash", "x.kind", "x.canon")
     distinct = stored(listed.select("kind", "canon").distinct(), "entity-table")
     redrawn = distinct_surrogates(distinct, key)
@@ -214,7 +232,8 @@ def replace(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
     own = stored(listed.distinct().join(redrawn, ["kind", "canon"]).groupBy("text_hash").agg(F.map_from_entries(F.collect_list(
         F.struct(F.concat_ws("|", "kind", "canon").alias("k"), F.col("surrogate").alias("v")))).alias("redrawn")), "redrawn")
     marked = docs.withColumn("_hash", F.xxhash64(body)).join(own, F.col("_hash") == F.col("text_hash"), "left")
-    marked = marked.withColumn("_found", entities(text))
+    none = F.array().cast("array<struct<e:string,kind:string,canon:string>>")
+    marked = marked.withColumn("_may", may_hold(text)).withColumn("_found", F.when(F.col("_may"), entities(text)).otherwise(none))
     mine = f"coalesce(element_at(redrawn, concat(x.kind, '|', x.canon)), {surrogate_of('x.kind', 'x.canon', '0', key)})"
     drawn = F.expr(f"transform(_found, x -> named_struct('e', x.e, 'kind', x.kind, 's', {mine}))")
     marked = marked.withColumn("_drawn", drawn)
