@@ -181,3 +181,27 @@ def test_cascade(spark, make):
              "horario_laboral": make("horario_laboral", [{"id_empleado": "e"}, {"id_empleado": "f"}])}
     left = changes.delete_cascade(staff, "empleado", spark.createDataFrame([("e",)], "id string"), NOW)
     assert left["horario_laboral"].agg(F.max("id_empleado")).first()[0] == "f"
+
+
+def test_repeated_requests_answer_with_their_own_values(spark, make):
+    users = make("usuario", [{"id_usuario": "u", "estado": "ACTIVO"}])
+    asked = spark.createDataFrame(
+        [("q1", 1, "u", at("2026-06-01 01:00"), "SUSPENDIDO"), ("q2", 2, "u", at("2026-06-01 02:00"), "BLOQUEADO"),
+         ("q3", 3, "nobody", at("2026-06-01 03:00"), "BLOQUEADO")],
+        "id_solicitud string, orden int, id_usuario string, hasta timestamp_ntz, nuevo_estado string")
+    after, answers = changes.bloquear_usuario(users, asked, "2026-06-01")
+    got = {r.id_solicitud: (r.aplicado, r.estado, r.bloqueado_hasta) for r in answers.collect()}
+    assert got == {"q1": (True, "SUSPENDIDO", at("2026-06-01 01:00")), "q2": (True, "BLOQUEADO", at("2026-06-01 02:00")),
+                   "q3": (False, None, None)}
+    assert after.first().estado == "BLOQUEADO"
+
+
+def test_purges_keep_rows_that_a_null_leaves_undecided(spark, make):
+    unknown = [{"id_token": "a", "fecha_expiracion": at("2026-01-02")}]
+    tokens = make("token_refresh", unknown).withColumn("revocado", F.lit(None).cast("boolean"))
+    kept, removed = changes.limpiar_tokens_expirados(tokens, "2026-06-01")
+    assert (kept.count(), removed.count()) == (1, 0)
+    undated = make("token_refresh", unknown).withColumn("fecha_expiracion", F.lit(None).cast("timestamp_ntz"))
+    left, counts = changes.limpiar_datos_expirados(
+        undated, make("token_reset_password", []), make("email_verification_token", []), make("intento_login", []), "2026-06-01")
+    assert left["token_refresh"].count() == 1 and counts.agg(F.sum("eliminadas")).first()[0] == 0

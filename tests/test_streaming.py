@@ -6,8 +6,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tests.conftest import at
+from tests.conftest import SF, at
 from turnero.operators import changes, stats
+from turnero.plans import queries
 from turnero.session import shared_dir
 from turnero.streaming import streams
 
@@ -79,3 +80,26 @@ def test_expiry_step_stores_what_is_kept(spark, make):
                         shared_dir(spark, "checkpoint"))
     assert kept == {"token_refresh": 0, "token_reset_password": 0, "email_verification_token": 0, "intento_login": 1}
     assert spark.read.parquet(counts).agg(F.sum("eliminadas")).first()[0] == 1
+
+
+def test_streams_read_a_folder_of_files_and_keep_open_windows(spark):
+    one, parts = SF, shared_dir(spark, "parts")
+    spark.read.parquet(f"{one}/events.parquet").repartition(3).write.parquet(f"{parts}/events.parquet")
+    whole = rows(queries.build("t2_failed_login_monitor")(spark, one))
+    assert whole and rows(queries.build("t2_failed_login_monitor")(spark, parts)) == whole
+    counts = queries.build("t4_expiry_stream")
+    assert [r for r in rows(counts(spark, parts)) if r[0] == "intento_login"] == [
+        r for r in rows(counts(spark, one)) if r[0] == "intento_login"]
+
+
+def test_windows_keep_the_last_state_over_triggers(spark, make):
+    def booked(n, moment):
+        return make("reserva", [{"id_reserva": f"{moment}{i}", "id_proveedor": "p", "estado": "PENDIENTE",
+                                 "fecha_creacion": at(moment)} for i in range(n)])
+
+    frames = [booked(2, "2026-06-01 10:10"), booked(3, "2026-06-01 10:40"), booked(1, "2026-06-01 11:05")]
+    feed, sink = files(spark, frames, "bookings"), shared_dir(spark, "sink")
+    hourly = streams.hourly_bookings(streams.read_parquet_stream(spark, feed, frames[0].schema, files_per_trigger=1))
+    streams.run_windows(hourly, sink, shared_dir(spark, "checkpoint"))
+    last = streams.newest_windows(spark, sink, hourly.schema, ["inicio", "id_proveedor", "estado"])
+    assert rows(last) == [(at("2026-06-01 10:00"), "p", "PENDIENTE", 5), (at("2026-06-01 11:00"), "p", "PENDIENTE", 1)]

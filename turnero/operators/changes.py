@@ -92,15 +92,22 @@ def transition(table: DataFrame, requests: DataFrame, keys: Sequence[str], guard
 
 def overwrite(table: DataFrame, requests: DataFrame, keys: Sequence[str], sets: dict[str, Column], as_of: Instant,
               returning: Sequence[str] = (), args: Sequence[str] = ()) -> Changed:
-    """An unguarded change: every request that finds its row applies and the last one stays."""
+    """An unguarded change: every request that finds its row applies and the last one stays.
+
+    ``sets`` looks at the request alone, so each request is answered with the
+    values that it set itself, also when a later one replaced them.
+    """
     applied = _apply(table, requests, keys, sets, as_of, None, args, last=True)
     # Rows that share the keys (a weekday's blocks) answer a request once.
-    found = applied.filter("_hit").groupBy(*keys).agg(
-        F.lit(True).alias("_done"), *(F.any_value(c).alias(c) for c in returning if c not in keys))
+    values = _with_stamps(table, sets, as_of)
     columns = [c for c in returning if c not in keys]
-    asked = requests.select("id_solicitud", *keys)
+    found = applied.filter("_hit").groupBy(*keys).agg(
+        F.lit(True).alias("_done"), *(F.any_value(c).alias(c) for c in columns if c not in values))
+    asked = requests.select("id_solicitud", *keys, *(F.col(a).alias(f"_{a}") for a in args))
+    cells = [F.when(F.col("_done"), values[c].cast(table.schema[c].dataType)).alias(c) if c in values else F.col(c)
+             for c in columns]
     answers = asked.join(found, list(keys), "left").select(
-        "id_solicitud", F.coalesce("_done", F.lit(False)).alias("aplicado"), *columns)
+        "id_solicitud", F.coalesce("_done", F.lit(False)).alias("aplicado"), *cells)
     return _snapshot(applied), answers
 
 
@@ -310,8 +317,8 @@ def resetear_intentos_fallidos(usuarios: DataFrame, solicitudes: DataFrame, as_o
 # retention ------------------------------------------------------------------
 
 def limpiar_tokens_expirados(refresh: DataFrame, as_of: Instant = None) -> Changed:
-    """Drop expired refresh tokens that were not revoked: (kept, removed)."""
-    gone = (F.col("fecha_expiracion") < instant(as_of)) & ~F.col("revocado")
+    """Drop expired refresh tokens that were not revoked: (kept, removed); rows a NULL leaves undecided are kept."""
+    gone = F.coalesce((F.col("fecha_expiracion") < instant(as_of)) & ~F.col("revocado"), F.lit(False))
     return refresh.filter(~gone), refresh.filter(gone)
 
 
@@ -320,7 +327,8 @@ def limpiar_datos_expirados(refresh: DataFrame, reset: DataFrame, verification:
     """Purge expired or used tokens and old login attempts.
 
     Returns the kept tables by name and one row per table with the number of
-    rows removed.  Rows stamped after ``as_of`` are left alone and not counted.
+    rows removed.  Rows stamped after ``as_of``, and rows a NULL leaves
+    undecided, are kept and not counted.
     """
     now = instant(as_of)
     expired = F.col("fecha_expiracion") < now
@@ -332,7 +340,7 @@ def limpiar_datos_expirados(refresh: DataFrame, reset: DataFrame, verification:
     }
     kept, counts = {}, None
     for name, (rows, gone) in rules.items():
-        removed = gone & (F.col(TABLES[name].created) <= now)
+        removed = F.coalesce(gone & (F.col(TABLES[name].created) <= now), F.lit(False))
         kept[name] = rows.filter(~removed)
         count = rows.agg(F.count_if(removed).alias("eliminadas")).select(F.lit(name).alias("tabla"), "eliminadas")
         counts = count if counts is None else counts.unionByName(count)

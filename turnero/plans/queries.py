@@ -408,11 +408,11 @@ def _(m: Marketplace) -> DataFrame:
 
 @plan("t2_failed_login_monitor")
 def _(m: Marketplace) -> DataFrame:
-    stream = streams.read_parquet_stream(m.spark, m.folder, m.source("events").schema, only="events.parquet")
+    stream = streams.read_table_stream(m.spark, m.folder, "events", m.source("events").schema)
     sink = shared_dir(m.spark, "t2-sink")
     monitor = streams.failed_login_monitor(login_log(stream), "24 hours", "6 hours", minimo=3)
-    streams.run(monitor, sink, shared_dir(m.spark, "t2-checkpoint"))
-    return m.spark.read.schema(monitor.schema).parquet(sink)
+    streams.run_windows(monitor, sink, shared_dir(m.spark, "t2-checkpoint"))
+    return streams.newest_windows(m.spark, sink, monitor.schema, ["inicio", "fin", "id_usuario"])
 
 
 @plan("t3_audit_stream")
@@ -433,7 +433,7 @@ def _(m: Marketplace) -> DataFrame:
 def _(m: Marketplace) -> DataFrame:
     results = shared_dir(m.spark, "t4-counts")
     step = streams.expiry_step(m.table, results, AS_OF_AUTH)
-    stream = streams.read_parquet_stream(m.spark, m.folder, m.source("events").schema, only="events.parquet")
+    stream = streams.read_table_stream(m.spark, m.folder, "events", m.source("events").schema)
     streams.run_batches(stream, step, shared_dir(m.spark, "t4-checkpoint"))
     return m.spark.read.parquet(results).select("tabla", "eliminadas")
 
@@ -443,8 +443,8 @@ def _(m: Marketplace) -> DataFrame:
     feed = _stored(m, m.reserva, "t5-feed")
     hourly = streams.hourly_bookings(streams.read_parquet_stream(m.spark, feed, m.reserva.schema), "24 hours")
     sink = shared_dir(m.spark, "t5-sink")
-    streams.run(hourly, sink, shared_dir(m.spark, "t5-checkpoint"))
-    return m.spark.read.schema(hourly.schema).parquet(sink)
+    streams.run_windows(hourly, sink, shared_dir(m.spark, "t5-checkpoint"))
+    return streams.newest_windows(m.spark, sink, hourly.schema, ["inicio", "id_proveedor", "estado"])
 
 
 # entry ----------------------------------------------------------------------

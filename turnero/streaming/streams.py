@@ -1,8 +1,9 @@
 """Structured Streaming forms of the monitors, the change log and the audit.
 
 Each function declares a streaming plan over an unbounded frame; ``run`` starts
-one and waits.  Aggregations are bounded by a watermark and emit a window once
-it has closed.
+one and waits.  Aggregations are bounded by a watermark.  ``run_windows`` writes
+each window whenever it changes, so the windows still open at the end are there
+too; ``newest_windows`` reads the last state of each.
 """
 
 from __future__ import annotations
@@ -31,11 +32,9 @@ def wall_clock(moment: Column) -> Column:
 
 
 def read_parquet_stream(spark: SparkSession, path: str, schema: T.StructType,
-                        files_per_trigger: int | None = None, only: str | None = None) -> DataFrame:
-    """Files that land in ``path``; ``only`` is a glob on their names."""
+                        files_per_trigger: int | None = None) -> DataFrame:
+    """Files that land in ``path``, which may be a glob."""
     reader = spark.readStream.schema(schema)
-    if only:
-        reader = reader.option("pathGlobFilter", only)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)
@@ -48,6 +47,32 @@ def run(stream: DataFrame, sink: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def read_table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
+    """Table ``name`` of a folder as a stream, one file or a folder of part files.
+
+    A stream wants a folder or a glob, so the last letter is written as a class.
+    """
+    return read_parquet_stream(spark, f"{folder.rstrip('/')}/{name}.parque[t]", schema)
+
+
+def run_windows(stream: DataFrame, sink: str, checkpoint: str) -> None:
+    """Process what is available, then stop: a batch writes the windows it changed under its id, again on replay."""
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    query = (stream.writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+
+
+def newest_windows(spark: SparkSession, sink: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """The last state that ``run_windows`` wrote of each window, open ones included; fails if no batch ever ran."""
+    rows = spark.read.schema(_with_batch(schema)).parquet(sink)
+    values = [c for c in schema.names if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_last"))
+    return last.select(*(c if c in keys else F.col(f"_last.{c}") for c in schema.names))
+
+
 def run_batches(stream: DataFrame, step: Callable[[DataFrame, int], Any], checkpoint: str) -> StreamingQuery:
     """Process what is available with ``step(batch, batch_id)``, then stop."""
     query = (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
