@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnero.llm import ann, bpe, mixing, passages, pii, quality, sharding, simhash, toxicity, warc
+from turnero.llm import ann, bpe, decontaminate, mixing, oracle, passages, pii, quality, sharding, simhash, toxicity, warc
 from turnero.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -55,6 +55,12 @@ def op10_passages(spark: SparkSession, folder: str) -> DataFrame:
     return passages.repeats(table(spark, folder, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_mixing, op3_bpe, op4_quality, op5_simhash, op6_sharding, op7_pii, op8_ann, op9_warc, op10_passages)}
-ORACLES: dict[str, str] = {}
+    f.__name__: f for f in (op1_toxicity, op2_mixing, op3_bpe, op4_quality, op5_simhash, op6_sharding, op7_pii, op8_ann, op9_warc,
+                            op10_passages, op11_decontamination)}
+ORACLES: dict[str, str] = oracle.STATEMENTS
