@@ -25,6 +25,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -279,9 +280,7 @@ _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 def _without(texts: Column, spans: Column) -> Column:
-    def cut(batches: Iterator[tuple]) -> Iterator:
-        import pandas as pd
-
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for text, span in batches:
             out = []
             for t, s in zip(text, span):

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnero.llm import ann, bpe, decontaminate, mixing, oracle, passages, pii, quality, sharding, simhash, toxicity, warc
+from turnero.llm import ann, bpe, decontaminate, lexical, mixing, negatives, oracle, passages, pii, quality, sharding, simhash, toxicity, warc
 from turnero.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -60,7 +60,18 @@ def op11_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("spans")
 
 
+def op12_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """A seventh of the rows are given the next label, so that some neighbours are of another one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.prepared(table(spark, folder, "embeddings"), label=label)
+    return negatives.mine(rows, F.col("id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_mixing, op3_bpe, op4_quality, op5_simhash, op6_sharding, op7_pii, op8_ann, op9_warc,
-                            op10_passages, op11_decontamination)}
+                            op10_passages, op11_decontamination, op12_lexical, op13_negatives)}
 ORACLES: dict[str, str] = oracle.STATEMENTS
