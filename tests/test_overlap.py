@@ -36,7 +36,7 @@ def overlap(a: tuple, b: tuple) -> bool:
 def test_counts_and_pairs_match_brute_force(spark, seed):
     base, asked = intervals(seed, 120), intervals(seed + 100, 80)
     frame = spark.createDataFrame(base, SLOT)
-    counted = count_overlaps(frame, spark.createDataFrame(asked, SLOT), ["k"], "s", "e", by_month=True)
+    counted = count_overlaps(frame, spark.createDataFrame(asked, SLOT), ["k"], "s", "e", "id", F.to_date)
     assert {r.id: r.solapes for r in counted.collect()} == {q[1]: sum(overlap(q, b) for b in base) for q in asked}
     pairs = overlapping_pairs(frame, "k", "id", "s", "e").collect()
     expected = {tuple(sorted((a[1], b[1]))) for a in base for b in base if a[1] < b[1] and overlap(a, b)}
@@ -51,7 +51,7 @@ def test_admission_is_first_come_first_served(spark, seed):
     for row in sorted(rows, key=lambda r: r[2]):
         if not any(overlap(row, t) for t in taken):
             taken.append(row)
-    admitted = admit_in_order(spark.createDataFrame(rows, SLOT), ["k"], "s", "e", "orden", "id")
+    admitted = admit_in_order(spark.createDataFrame(rows, SLOT), "k", "s", "e", "orden", "id")
     assert sorted(r.id for r in admitted.collect()) == sorted(t[1] for t in taken)
 
 
@@ -114,7 +114,7 @@ def test_requests_with_seconds_round_outwards(spark):
         [("a", "E", at("2026-06-15 10:00:30"), at("2026-06-15 10:59:30")),
          ("b", "E", at("2026-06-15 23:00:00"), at("2026-06-16 00:30:00"))],
         "id_solicitud string, id_empleado string, fecha_hora_inicio timestamp_ntz, fecha_hora_fin timestamp_ntz")
-    rows = {r.id_solicitud: (r.hora_inicio, r.hora_fin) for r in joins.as_day_request(asked).collect()}
+    rows = {r.id_solicitud: (r.hora_inicio, r.hora_fin) for r in joins.with_day_columns(asked).collect()}
     assert rows["a"] == (600, 660)
     assert rows["b"][1] < rows["b"][0]
 

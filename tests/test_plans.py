@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from tests.conftest import SF
@@ -86,3 +88,19 @@ def test_predicates_match_the_registered_functions(spark, market):
 def test_pairs_join_on_equality(market, capsys):
     plan = physical(joins.conflictos_existentes(market.reserva), capsys)
     assert "_slot" in plan and "Join" in plan
+
+
+def exchanges(plan: str) -> int:
+    return len(re.findall(r"^\(\d+\) Exchange", plan, re.M))
+
+
+@pytest.mark.parametrize("name", ["j10_validar_conflicto_horario", "j12_empleado_disponible", "v7_check_overlaps"])
+def test_overlaps_are_counted_in_one_sweep(spark, capsys, name):
+    assert exchanges(physical(queries.build(name)(spark, SF), capsys)) <= 4
+
+
+def test_sql_functions_push_their_filters(spark, market, capsys):
+    sql.register(spark, market.tables())
+    plan = physical(spark.sql("SELECT * FROM reservas_de_cliente('C7', 'COMPLETADA')"), capsys)
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    assert "EqualTo(id_cliente,C7)" in pushed and "EqualTo(estado,COMPLETADA)" in pushed

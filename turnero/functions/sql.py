@@ -1,119 +1,140 @@
-"""The user-callable functions as temporary SQL functions.
+"""The user-callable functions as temporary SQL functions, made from the operators.
 
-``register(spark, tables)`` publishes each table as a temporary view and
-defines functions over them, so SQL users can write
-``SELECT * FROM servicios_de_proveedor('P1', false)``.  Bodies are plain SQL
-and are inlined into the caller's plan.
+A listing is declared by the operator that lists all rows, the column that the
+function's first argument picks, and what each further argument asks of a column.
+``register`` publishes the operator's rows as a view, reads the result's columns
+off it, and writes the function as a filter of that view, which Spark inlines into
+the caller's plan and pushes to the scan:
+
+    SELECT * FROM servicios_de_proveedor('P1', false)
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 
-from turnero.sources.schemas import DIAS_SEMANA, RESERVA_ACTIVA
-
-
-def _in(values: tuple[str, ...]) -> str:
-    return ", ".join(f"'{v}'" for v in values)
-
-
-_ACTIVE = _in(RESERVA_ACTIVA)
-_WEEKDAY = f"element_at(array({_in(DIAS_SEMANA)}), weekday(p_fecha) + 1)"
-
-
-def _count(state: str) -> str:
-    return f"count_if(r.estado = '{state}')"
-
-
-# name -> (parameters, result columns or scalar type, body)
-TABLE_FUNCTIONS: dict[str, tuple[str, str, str]] = {
-    "servicios_de_proveedor": (
-        "p_id STRING, p_solo_activos BOOLEAN DEFAULT TRUE",
-        "id_servicio STRING, nombre_servicio STRING, duracion_minutos INT, precio DECIMAL(10,2), descripcion STRING, "
-        "capacidad_maxima INT, activo BOOLEAN",
-        """SELECT s.id_servicio, s.nombre_servicio, s.duracion_minutos, s.precio, s.descripcion, s.capacidad_maxima,
-                  s.activo FROM servicio AS s WHERE s.id_proveedor = p_id AND s.activo >= p_solo_activos"""),
-    "servicios_de_empleado": (
-        "p_id STRING, p_solo_activos BOOLEAN DEFAULT TRUE",
-        "id_servicio STRING, activo BOOLEAN, fecha_asignacion TIMESTAMP_NTZ",
-        """SELECT a.id_servicio, a.activo, a.fecha_asignacion FROM empleado_servicio AS a
-           WHERE a.id_empleado = p_id AND a.activo >= p_solo_activos"""),
-    "horario_de_empleado": (
-        "p_id STRING, p_dia STRING DEFAULT NULL, p_solo_activos BOOLEAN DEFAULT TRUE",
-        "id_horario STRING, dia_semana STRING, hora_inicio INT, hora_fin INT, activo BOOLEAN",
-        """SELECT h.id_horario, h.dia_semana, h.hora_inicio, h.hora_fin, h.activo FROM horario_laboral AS h
-           WHERE h.id_empleado = p_id AND h.dia_semana = coalesce(p_dia, h.dia_semana)
-             AND h.activo >= p_solo_activos"""),
-    "bloqueos_de_empleado": (
-        "p_id STRING, p_desde DATE DEFAULT current_date(), p_hasta DATE DEFAULT NULL",
-        "id_bloqueo STRING, fecha DATE, hora_inicio INT, hora_fin INT, tipo_bloqueo STRING, id_reserva STRING",
-        """SELECT b.id_bloqueo, b.fecha, b.hora_inicio, b.hora_fin, b.tipo_bloqueo, b.id_reserva
-           FROM bloqueo_horario AS b
-           WHERE b.activo AND b.id_empleado = p_id AND b.fecha BETWEEN p_desde AND coalesce(p_hasta, b.fecha)"""),
-    "reservas_de_cliente": (
-        "p_id STRING, p_estado STRING DEFAULT NULL",
-        "id_reserva STRING, id_servicio STRING, id_empleado STRING, id_proveedor STRING, "
-        "fecha_hora_inicio TIMESTAMP_NTZ, fecha_hora_fin TIMESTAMP_NTZ, estado STRING, fecha_creacion TIMESTAMP_NTZ",
-        """SELECT r.id_reserva, r.id_servicio, r.id_empleado, r.id_proveedor, r.fecha_hora_inicio, r.fecha_hora_fin,
-                  r.estado, r.fecha_creacion FROM reserva AS r
-           WHERE r.id_cliente = p_id AND r.estado = coalesce(p_estado, r.estado)"""),
-    "reservas_de_empleado": (
-        "p_id STRING, p_inicio TIMESTAMP_NTZ, p_fin TIMESTAMP_NTZ",
-        "id_reserva STRING, id_cliente STRING, id_servicio STRING, fecha_hora_inicio TIMESTAMP_NTZ, "
-        "fecha_hora_fin TIMESTAMP_NTZ, estado STRING",
-        """SELECT r.id_reserva, r.id_cliente, r.id_servicio, r.fecha_hora_inicio, r.fecha_hora_fin, r.estado
-           FROM reserva AS r WHERE r.id_empleado = p_id AND r.fecha_hora_inicio BETWEEN p_inicio AND p_fin"""),
-    "estadisticas_de_proveedor": (
-        "p_id STRING, p_inicio TIMESTAMP_NTZ, p_fin TIMESTAMP_NTZ",
-        "total_reservas BIGINT, reservas_pendientes BIGINT, reservas_confirmadas BIGINT, reservas_completadas BIGINT, "
-        "reservas_canceladas BIGINT, tasa_cancelacion DECIMAL(7,2)",
-        f"""SELECT count(*), {_count('PENDIENTE')}, {_count('CONFIRMADA')}, {_count('COMPLETADA')},
-                   {_count('CANCELADA')},
-                   CAST(coalesce(round({_count('CANCELADA')} * 100.0 / nullif(count(*), 0), 2), 0) AS DECIMAL(7,2))
-            FROM reserva AS r WHERE r.id_proveedor = p_id AND r.fecha_creacion BETWEEN p_inicio AND p_fin"""),
-    "empleados_de_proveedor": (
-        "p_id STRING, p_solo_activos BOOLEAN DEFAULT TRUE",
-        "id_empleado STRING, nombre_completo STRING, telefono STRING, activo BOOLEAN, "
-        "total_servicios_asignados BIGINT",
-        """SELECT e.id_empleado, e.nombre_completo, e.telefono, e.activo, coalesce(n.servicios, 0)
-           FROM empleado AS e LEFT JOIN (
-               SELECT a.id_empleado, count(DISTINCT a.id_servicio) AS servicios FROM empleado_servicio AS a
-               WHERE a.activo GROUP BY a.id_empleado) AS n ON n.id_empleado = e.id_empleado
-           WHERE e.id_proveedor = p_id AND e.activo >= p_solo_activos"""),
-}
+from turnero.operators import lists, stats
+from turnero.sources.schemas import DIAS_SEMANA
+
+Tables = dict[str, DataFrame]
+
+_WEEKDAYS = "array(" + ", ".join(f"'{d}'" for d in DIAS_SEMANA) + ")"
+
+
+@dataclass(frozen=True)
+class Ask:
+    """An argument: ``column test argument``; the test ``only`` keeps rows whose flag is set unless the argument is FALSE."""
+
+    name: str
+    kind: str
+    column: str
+    test: str = "="
+    default: str | None = None
+
+    def parameter(self) -> str:
+        return f"{self.name} {self.kind}" + (f" DEFAULT {self.default}" if self.default else "")
+
+    def clause(self) -> str:
+        if self.test == "only":
+            return f"(NOT {self.name} OR {self.column})"
+        plain = f"{self.column} {self.test} {self.name}"
+        return f"({self.name} IS NULL OR {plain})" if self.default == "NULL" else plain
+
+
+@dataclass(frozen=True)
+class Listing:
+    rows: Callable[[Tables], DataFrame]
+    key: str
+    asks: tuple[Ask, ...] = ()
 
-SCALAR_FUNCTIONS: dict[str, tuple[str, str, str]] = {
-    "hay_conflicto": (
-        "p_id STRING, p_inicio TIMESTAMP_NTZ, p_fin TIMESTAMP_NTZ, p_excluir STRING DEFAULT NULL", "BOOLEAN",
-        f"""EXISTS (SELECT 1 FROM reserva AS r WHERE r.id_empleado = p_id AND r.estado IN ({_ACTIVE})
-             AND p_inicio < r.fecha_hora_fin AND p_fin > r.fecha_hora_inicio
-             AND NOT r.id_reserva <=> p_excluir)"""),
-    "esta_disponible": (
-        "p_id STRING, p_fecha DATE, p_inicio INT, p_fin INT", "BOOLEAN",
-        f"""EXISTS (SELECT 1 FROM horario_laboral AS h WHERE h.activo AND h.id_empleado = p_id
-             AND h.dia_semana = {_WEEKDAY} AND p_inicio >= h.hora_inicio AND p_fin <= h.hora_fin)
-            AND NOT EXISTS (SELECT 1 FROM bloqueo_horario AS b WHERE b.activo AND b.id_empleado = p_id
-             AND b.fecha = p_fecha AND p_inicio < b.hora_fin AND p_fin > b.hora_inicio)"""),
-    "tiene_rol": (
-        "p_uid STRING, p_rol STRING", "BOOLEAN",
-        "EXISTS (SELECT 1 FROM principal AS g WHERE g.uid = p_uid AND g.role = p_rol)"),
-    "es_de_tipo": (
-        "p_uid STRING, p_tipo STRING", "BOOLEAN",
-        "EXISTS (SELECT 1 FROM principal AS g WHERE g.uid = p_uid AND g.tipo_usuario = p_tipo)"),
+
+_ACTIVE_ONLY = Ask("solo_activos", "BOOLEAN", "activo", "only", "TRUE")
+_ALWAYS = ("0001-01-01", "9999-12-31")
+
+LISTINGS: dict[str, Listing] = {
+    "servicios_de_proveedor": Listing(
+        lambda t: lists.servicios_por_proveedor(t["servicio"], None, solo_activos=False), "id_proveedor", (_ACTIVE_ONLY,)),
+    "servicios_de_empleado": Listing(
+        lambda t: lists.servicios_por_empleado(t["empleado_servicio"], None, solo_activos=False), "id_empleado", (_ACTIVE_ONLY,)),
+    "horario_de_empleado": Listing(
+        lambda t: lists.horario_laboral_por_empleado(t["horario_laboral"], None, solo_activos=False), "id_empleado",
+        (Ask("dia", "STRING", "dia_semana", default="NULL"), _ACTIVE_ONLY)),
+    "bloqueos_de_empleado": Listing(
+        lambda t: lists.bloqueos_por_empleado(t["bloqueo_horario"], None, _ALWAYS[0]), "id_empleado",
+        (Ask("desde", "DATE", "fecha", ">=", "current_date()"), Ask("hasta", "DATE", "fecha", "<=", "NULL"))),
+    "reservas_de_cliente": Listing(
+        lambda t: lists.reservas_por_cliente(t["reserva"], None), "id_cliente", (Ask("en_estado", "STRING", "estado", default="NULL"),)),
+    "reservas_de_empleado": Listing(
+        lambda t: lists.reservas_por_empleado(t["reserva"], None, *_ALWAYS), "id_empleado",
+        (Ask("desde", "TIMESTAMP_NTZ", "fecha_hora_inicio", ">="), Ask("hasta", "TIMESTAMP_NTZ", "fecha_hora_inicio", "<="))),
+    "empleados_de_proveedor": Listing(
+        lambda t: stats.empleados_por_proveedor(t["empleado"], t["empleado_servicio"], None, solo_activos=False), "id_proveedor",
+        (_ACTIVE_ONLY,)),
 }
 
 
-def register(spark: SparkSession, tables: dict[str, DataFrame], principals: DataFrame | None = None) -> list[str]:
+def _listing(name: str, view: str, columns: list[tuple[str, str]], made: Listing) -> str:
+    shown = [(c, kind) for c, kind in columns if c != made.key]
+    asks = (Ask("de", "STRING", made.key), *made.asks)
+    return (f"{name}({', '.join(a.parameter() for a in asks)}) RETURNS TABLE ({', '.join(f'{c} {kind}' for c, kind in shown)}) "
+            f"RETURN SELECT {', '.join(c for c, _ in shown)} FROM {view} WHERE {' AND '.join(a.clause() for a in asks)}")
+
+
+def _report() -> str:
+    """A provider's bookings by state over a span of creation times; always one row."""
+    counts = {"total_reservas": "count(*)"} | {
+        stats.COLUMNA_ESTADO[s]: f"count_if(estado = '{s}')" for s in stats.ESTADOS_DEL_INFORME}
+    rate = f"coalesce(round(try_divide(100.0 * {counts['reservas_canceladas']}, count(*)), 2), 0)"
+    columns = ", ".join(f"{c} BIGINT" for c in counts)
+    return (f"estadisticas_de_proveedor(de STRING, desde TIMESTAMP_NTZ, hasta TIMESTAMP_NTZ) "
+            f"RETURNS TABLE ({columns}, tasa_cancelacion DECIMAL(7,2)) "
+            f"RETURN SELECT {', '.join(counts.values())}, CAST({rate} AS DECIMAL(7,2)) "
+            "FROM reserva WHERE id_proveedor = de AND fecha_creacion >= desde AND fecha_creacion <= hasta")
+
+
+def _meet(one: tuple[str, str], two: tuple[str, str]) -> str:
+    """Do two half-open spans overlap?"""
+    return f"{one[0]} < {two[1]} AND {two[0]} < {one[1]}"
+
+
+def _questions() -> list[str]:
+    span = ("desde", "hasta")
+    busy = ("SELECT 1 FROM reservas_en_pie AS r WHERE r.id_empleado = de AND (salvo IS NULL OR r.id_reserva <> salvo) AND "
+            + _meet(("r.fecha_hora_inicio", "r.fecha_hora_fin"), span))
+    duty = (f"SELECT 1 FROM horarios_vigentes AS h WHERE h.id_empleado = de AND h.dia_semana = {_WEEKDAYS}[weekday(dia)] "
+            "AND h.hora_inicio <= desde AND h.hora_fin >= hasta")
+    away = ("SELECT 1 FROM bloqueos_vigentes AS b WHERE b.id_empleado = de AND b.fecha = dia AND "
+            + _meet(("b.hora_inicio", "b.hora_fin"), span))
+    return [
+        f"hay_conflicto(de STRING, desde TIMESTAMP_NTZ, hasta TIMESTAMP_NTZ, salvo STRING DEFAULT NULL) RETURNS BOOLEAN RETURN EXISTS ({busy})",
+        f"esta_disponible(de STRING, dia DATE, desde INT, hasta INT) RETURNS BOOLEAN RETURN EXISTS ({duty}) AND NOT EXISTS ({away})",
+    ]
+
+
+def _roles() -> list[str]:
+    return [f"{name}(quien STRING, cual STRING) RETURNS BOOLEAN RETURN EXISTS (SELECT 1 FROM principal WHERE uid = quien AND {column} = cual)"
+            for name, column in (("tiene_rol", "role"), ("es_de_tipo", "tipo_usuario"))]
+
+
+def register(spark: SparkSession, tables: Tables, principals: DataFrame | None = None) -> list[str]:
     """Create the views and functions; returns the function names."""
     for name, rows in tables.items():
         rows.createOrReplaceTempView(name)
-    scalars = SCALAR_FUNCTIONS
+    lists.active_bookings(tables["reserva"]).createOrReplaceTempView("reservas_en_pie")
+    tables["horario_laboral"].filter("activo").createOrReplaceTempView("horarios_vigentes")
+    tables["bloqueo_horario"].filter("activo").createOrReplaceTempView("bloqueos_vigentes")
+    made = []
+    for name, listing in LISTINGS.items():
+        rows = listing.rows(tables)
+        rows.createOrReplaceTempView(f"todo_{name}")
+        made.append(_listing(name, f"todo_{name}", rows.dtypes, listing))
+    made += [_report(), *_questions()]
     if principals is not None:
         principals.createOrReplaceTempView("principal")
-    else:
-        scalars = {n: spec for n, spec in scalars.items() if "principal" not in spec[2]}
-    for name, (parameters, columns, body) in TABLE_FUNCTIONS.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS TABLE ({columns}) RETURN {body}")
-    for name, (parameters, kind, body) in scalars.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {kind} RETURN {body}")
-    return [*TABLE_FUNCTIONS, *scalars]
+        made += _roles()
+    for text in made:
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {text}")
+    return [text.split("(")[0] for text in made]

@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnero.functions.clock import Instant, instant, minute_of_day, shifted
-from turnero.operators.joins import as_day_request, empleado_disponible, validar_conflicto_horario, with_day_columns
+from turnero.operators.joins import empleado_disponible, validar_conflicto_horario, with_day_columns
 from turnero.operators.overlap import admit_in_order
+from turnero.operators.sequence import decide_in_order
 from turnero.session import materialize
 from turnero.sources.schemas import RESERVA_CERRADA, TABLES
 from turnero.sources.tables import with_defaults
@@ -133,26 +134,39 @@ def cancelar_reserva(reservas: DataFrame, solicitudes: DataFrame, as_of: Instant
 
 
 def reagendar_reserva(reservas: DataFrame, solicitudes: DataFrame, as_of: Instant = None) -> Changed:
-    """Open bookings move to (nuevo_inicio, nuevo_fin) and become pending again.
+    """Open bookings move to (nuevo_inicio, nuevo_fin) and become pending again, request by request in ``orden``.
 
-    A move must not overlap another active booking of the employee, nor a move
-    of the batch that came first.  The slot a booking leaves becomes free for
-    the next batch.  Of several requests for one booking the first counts.
+    A move must not overlap another active booking of the employee as it stands
+    once all earlier requests are decided: a slot left by an earlier move is
+    free, one taken by it is not, and a booking can move several times.  The
+    order must be unique per employee.  Each request is answered with its own
+    values; the snapshot has the last ones.
     """
-    first = _reduce(solicitudes, ["id_reserva"], ["orden", "nuevo_inicio", "nuevo_fin"], last=False)
-    open_rows = reservas.filter(~F.col("estado").isin(*RESERVA_CERRADA)).select("id_reserva", "id_empleado")
-    moves = first.join(open_rows, "id_reserva").select(
-        F.col("_id_solicitud").alias("id_solicitud"), F.col("_orden").alias("orden"), "id_reserva", "id_empleado",
-        F.col("_nuevo_inicio").alias("fecha_hora_inicio"), F.col("_nuevo_fin").alias("fecha_hora_fin"),
-        F.col("id_reserva").alias("id_excluir"))
-    free = validar_conflicto_horario(reservas, moves).filter(~F.col("conflicto"))
-    admitted = admit_in_order(free, ["id_empleado"], "fecha_hora_inicio", "fecha_hora_fin", "orden", "id_solicitud")
-    accepted = solicitudes.join(admitted, "id_solicitud", "left_semi")
+    open_rows = reservas.filter(~F.col("estado").isin(*RESERVA_CERRADA)).select(
+        "id_reserva", "id_empleado", "fecha_hora_inicio", "fecha_hora_fin")
+    valid = solicitudes.filter(F.col("nuevo_inicio") < F.col("nuevo_fin"))
+    moves = valid.join(open_rows.select("id_reserva", "id_empleado"), "id_reserva").select(
+        "id_solicitud", "orden", "id_reserva", "id_empleado", F.col("nuevo_inicio").alias("fecha_hora_inicio"),
+        F.col("nuevo_fin").alias("fecha_hora_fin"))
+    asked_for = valid.select("id_reserva").distinct()
+    # What stands for the whole batch refuses a move without regard to order.
+    standing = reservas.join(asked_for, "id_reserva", "left_anti")
+    possible = materialize(validar_conflicto_horario(standing, moves).filter("NOT coalesce(conflicto, FALSE)")
+                           .select(*moves.columns), "traslados")
+    decided = decide_in_order(possible, "id_empleado", "fecha_hora_inicio", "fecha_hora_fin", "orden", "id_solicitud",
+                              "id_reserva", open_rows.join(asked_for, "id_reserva", "left_semi"))
+    granted = materialize(decided.filter("concedida").select("id_solicitud"), "concedidas")
+    accepted = solicitudes.join(granted, "id_solicitud", "left_semi")
     applied = _apply(reservas, accepted, ["id_reserva"],
                      {"fecha_hora_inicio": F.col("_nuevo_inicio"), "fecha_hora_fin": F.col("_nuevo_fin"),
-                      "estado": F.lit("PENDIENTE")}, as_of, None, ["nuevo_inicio", "nuevo_fin"])
-    return _snapshot(applied), _answers(applied, solicitudes, ["id_reserva", "fecha_hora_inicio", "fecha_hora_fin",
-                                                               "estado"])
+                      "estado": F.lit("PENDIENTE")}, as_of, None, ["nuevo_inicio", "nuevo_fin"], last=True)
+    answered = solicitudes.join(granted.withColumn("_done", F.lit(True)), "id_solicitud", "left")
+    done = F.coalesce("_done", F.lit(False))
+    answers = answered.select(
+        "id_solicitud", done.alias("aplicado"), F.when(done, F.col("id_reserva")).alias("id_reserva"),
+        F.when(done, F.col("nuevo_inicio")).alias("fecha_hora_inicio"),
+        F.when(done, F.col("nuevo_fin")).alias("fecha_hora_fin"), F.when(done, F.lit("PENDIENTE")).alias("estado"))
+    return _snapshot(applied), answers
 
 
 def crear_reserva(reservas: DataFrame, servicios: DataFrame, horarios: DataFrame, bloqueos: DataFrame,
@@ -166,16 +180,13 @@ def crear_reserva(reservas: DataFrame, servicios: DataFrame, horarios: DataFrame
     """
     known = servicios.select("id_servicio", F.lit(True).alias("_servicio"))
     asked = solicitudes.join(known, "id_servicio", "left")
-    busy = validar_conflicto_horario(reservas, asked, probes=solicitudes)
-    free = empleado_disponible(horarios, bloqueos, with_day_columns(busy), probes=as_day_request(solicitudes))
+    busy = validar_conflicto_horario(reservas, asked)
+    free = empleado_disponible(horarios, bloqueos, with_day_columns(busy))
     # Admission and answers both read the checks; they are worked out once.
     checked = materialize(free.select(*solicitudes.columns, "_servicio", "disponible", "conflicto"), "solicitudes")
     possible = checked.filter(F.col("_servicio") & F.col("disponible") & ~F.col("conflicto"))
-    # Availability confines a request to one day, so a day is the natural cut.
-    per_day = possible.select("id_solicitud", "orden", "id_empleado", F.to_date("fecha_hora_inicio").alias("_dia"),
-                              "fecha_hora_inicio", "fecha_hora_fin")
-    admitted = admit_in_order(per_day, ["id_empleado", "_dia"], "fecha_hora_inicio", "fecha_hora_fin", "orden",
-                              "id_solicitud", by_month=False).withColumn("_ok", F.lit(True))
+    admitted = materialize(admit_in_order(possible, "id_empleado", "fecha_hora_inicio", "fecha_hora_fin", "orden",
+                                          "id_solicitud"), "admitidas").withColumn("_ok", F.lit(True))
     decided = checked.join(admitted, "id_solicitud", "left")
     reason = (F.when(F.col("_servicio").isNull(), "SERVICIO")
               .when(~F.coalesce("disponible", F.lit(False)), "DISPONIBILIDAD")

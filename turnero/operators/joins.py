@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from turnero.functions.clock import Instant, day, instant, minute_of_day, weekday_name, weekday_rank
 from turnero.operators.lists import Ids, active_bookings, pick
-from turnero.operators.overlap import count_overlaps, overlapping_pairs, running
+from turnero.operators.overlap import count_mutual_overlaps, count_overlaps, overlapping_pairs
 
 
 # accounts -------------------------------------------------------------------
@@ -115,29 +115,19 @@ def agenda_proveedor_dia(empleados: DataFrame, bloqueos: DataFrame, id_proveedor
 
 # conflicts ------------------------------------------------------------------
 
-def validar_conflicto_horario(reservas: DataFrame, solicitudes: DataFrame,
-                              probes: DataFrame | None = None) -> DataFrame:
+def validar_conflicto_horario(reservas: DataFrame, solicitudes: DataFrame) -> DataFrame:
     """Per request: does an active booking of the employee overlap it?
 
-    ``solicitudes``: id_solicitud, id_empleado, fecha_hora_inicio,
+    ``solicitudes``: id_solicitud (unique), id_empleado, fecha_hora_inicio,
     fecha_hora_fin and optionally id_excluir, a booking to leave out.  Adds
     ``conflictos`` (how many) and ``conflicto``; both NULL for an empty request.
-    Other columns pass through; ``probes`` as in ``count_overlaps``.
+    Other columns pass through.
     """
     booked = active_bookings(reservas).filter("fecha_hora_inicio < fecha_hora_fin").select(
         "id_reserva", "id_empleado", "fecha_hora_inicio", "fecha_hora_fin")
-    counted = count_overlaps(booked, solicitudes, ["id_empleado"], "fecha_hora_inicio", "fecha_hora_fin",
-                             by_month=True, probes=probes)
+    counted = count_overlaps(booked, solicitudes, ["id_empleado"], "fecha_hora_inicio", "fecha_hora_fin", "id_solicitud",
+                             F.to_date, "id_reserva", "id_excluir" if "id_excluir" in solicitudes.columns else None)
     hits = F.col("solapes")
-    if "id_excluir" in solicitudes.columns:
-        own = booked.select(F.col("id_reserva").alias("_own"), F.col("id_empleado").alias("_emp"),
-                            F.col("fecha_hora_inicio").alias("_s"), F.col("fecha_hora_fin").alias("_e"))
-        # A request that leaves nothing out gets a key of its own, so such requests spread over tasks.
-        keyed = counted.withColumn("_own", F.coalesce("id_excluir", F.concat(F.lit("~"), "id_solicitud")))
-        counted = keyed.join(own, "_own", "left")
-        itself = ((F.col("_emp") == F.col("id_empleado")) & (F.col("_s") < F.col("fecha_hora_fin"))
-                  & (F.col("_e") > F.col("fecha_hora_inicio")))
-        hits = hits - F.when(itself, 1).otherwise(0)
     return counted.select(*solicitudes.columns, hits.alias("conflictos"), (hits > 0).alias("conflicto"))
 
 
@@ -151,45 +141,38 @@ def reservas_en_conflicto(reservas: DataFrame) -> DataFrame:
     """Active bookings that overlap another one, with how many; linear in the bookings."""
     active = active_bookings(reservas).filter("fecha_hora_inicio < fecha_hora_fin").select(
         "id_reserva", "id_empleado", "fecha_hora_inicio", "fecha_hora_fin")
-    counted = count_overlaps(active, active, ["id_empleado"], "fecha_hora_inicio", "fecha_hora_fin",
-                             by_month=True)
-    # every booking counts itself once
-    return counted.filter("solapes > 1").select("id_reserva", (F.col("solapes") - 1).alias("conflictos"))
+    counted = count_mutual_overlaps(active, ["id_empleado"], "fecha_hora_inicio", "fecha_hora_fin", "id_reserva", F.to_date)
+    return counted.filter("solapes > 0").select("id_reserva", F.col("solapes").alias("conflictos"))
 
 
 # availability ---------------------------------------------------------------
 
-def _on_duty(horarios: DataFrame, requests: DataFrame, probes: DataFrame) -> DataFrame:
+def _on_duty(horarios: DataFrame, requests: DataFrame) -> DataFrame:
     """``requests`` (id_empleado, dia_semana, hora_inicio, hora_fin) plus ``en_horario``.
 
-    One block must hold the whole request, so blocks are not merged: the
-    furthest end among blocks that open by the requested start must reach the
-    requested end.  A group holds at most one row per minute of the day.
+    One block must hold the whole request, so blocks are not merged: one that
+    opens by the requested start must reach the requested end.  An employee's
+    blocks of a weekday come as one list, at most one block per opening minute.
     """
     keys = ["id_empleado", "dia_semana"]
-    opens = horarios.filter("activo").select(*keys, "hora_inicio", F.col("hora_fin").alias("_until"))
-    asked = probes.select(*keys, "hora_inicio", F.lit(None).cast("int").alias("_until"))
-    points = opens.unionByName(asked).groupBy(*keys, "hora_inicio").agg(F.max("_until").alias("_until"))
-    reach = running(points, keys, ["hora_inicio"], None, {"_reach": ("max", "_until", True)}).drop("_until")
-    covered = F.coalesce(F.col("_reach") >= F.col("hora_fin"), F.lit(False))
-    return requests.join(reach, [*keys, "hora_inicio"], "left").withColumn("en_horario", covered).drop("_reach")
+    longest = horarios.filter("activo").groupBy(*keys, "hora_inicio").agg(F.max("hora_fin").alias("hora_fin"))
+    week = longest.groupBy(*keys).agg(F.collect_list(F.struct("hora_inicio", "hora_fin")).alias("_blocks"))
+    start, end = F.col("hora_inicio"), F.col("hora_fin")
+    covered = F.exists("_blocks", lambda b: (b["hora_inicio"] <= start) & (b["hora_fin"] >= end))
+    return requests.join(week, keys, "left").withColumn("en_horario", F.coalesce(covered, F.lit(False))).drop("_blocks")
 
 
-def empleado_disponible(horarios: DataFrame, bloqueos: DataFrame, solicitudes: DataFrame,
-                        probes: DataFrame | None = None) -> DataFrame:
+def empleado_disponible(horarios: DataFrame, bloqueos: DataFrame, solicitudes: DataFrame) -> DataFrame:
     """Per request (id_solicitud, id_empleado, fecha, hora_inicio, hora_fin in minutes): is the employee free?
 
     True when one weekly block of that weekday holds the request and no active
     dated block overlaps it.  Neither the employee's own flag nor the services
-    assigned matter.  NULL for an empty request.  Other columns pass through;
-    ``probes`` as in ``count_overlaps``.
+    assigned matter.  NULL for an empty request.  Other columns pass through.
     """
-    probes = solicitudes if probes is None else probes
-    weekday = weekday_name(F.col("fecha"))
-    duty = _on_duty(horarios, solicitudes.withColumn("dia_semana", weekday), probes.withColumn("dia_semana", weekday))
+    duty = _on_duty(horarios, solicitudes.withColumn("dia_semana", weekday_name(F.col("fecha"))))
     blocks = bloqueos.filter(F.col("activo") & (F.col("hora_inicio") < F.col("hora_fin"))).select(
         "id_empleado", "fecha", "hora_inicio", "hora_fin")
-    counted = count_overlaps(blocks, duty, ["id_empleado", "fecha"], "hora_inicio", "hora_fin", probes=probes)
+    counted = count_overlaps(blocks, duty, ["id_empleado", "fecha"], "hora_inicio", "hora_fin", "id_solicitud")
     free = F.col("en_horario") & (F.col("solapes") == 0)
     return counted.select(*solicitudes.columns,
                           F.when(F.col("hora_inicio") < F.col("hora_fin"), free).alias("disponible"))
@@ -205,7 +188,3 @@ def with_day_columns(solicitudes: DataFrame) -> DataFrame:
     return solicitudes.withColumns({
         "fecha": F.to_date(start), "hora_inicio": minute_of_day(start),
         "hora_fin": F.when(one_day, minute_of_day(end, up=True)).otherwise(-1)})
-
-
-def as_day_request(solicitudes: DataFrame) -> DataFrame:
-    return with_day_columns(solicitudes).select("id_solicitud", "id_empleado", "fecha", "hora_inicio", "hora_fin")

@@ -2,96 +2,106 @@
 
 Intervals are half-open.  Bookings that touch do not overlap.
 
-*Counting* never builds pairs.  For valid intervals the number that overlap
-[a, b) is (how many start before b) - (how many end by a), so two running
-counts over time points answer every request.  Points are first collapsed per
-(key, instant) with map-side combine, then cut into chunks of time whose totals
-are carried forward; a task holds one chunk of one key, which is bounded by the
-clock resolution and not by the number of rows, however busy the key is.
+*Counting* never builds pairs and looks nothing up.  For valid intervals the
+number that overlap [a, b) is (how many start before b) - (how many end by a).
+Starts, ends and the requests' own two instants stand in one stream; one window
+per key and day runs both counts over it, and what earlier days have counted
+comes in as the day's first row.  So a day of one key is sorted in one task,
+however long its intervals are, and a request's two rows are added up at the end.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnero.session import materialize
+from turnero.operators.sequence import decide_in_order
 
+# At one instant, ends count before the requests' instants and starts after them.
+_CARRY, _END, _ASK, _START = -1, 0, 1, 2
 
-def month_number(moment: str) -> Column:
-    return F.year(moment) * 12 + F.month(moment)
 
+def _edges(rows: DataFrame, keys: Sequence[str], start: str, end: str, *more: str) -> DataFrame:
+    """Two rows per interval: its start and its end."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    both = F.array(F.struct(F.col(start).alias("_t"), F.lit(_START).alias("_kind"), one.alias("_s"), none.alias("_e")),
+                   F.struct(F.col(end).alias("_t"), F.lit(_END).alias("_kind"), none.alias("_s"), one.alias("_e")))
+    return rows.select(*keys, *more, F.inline(both))
 
-def running(points: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column | None,
-            values: dict[str, tuple[str, str, bool]]) -> DataFrame:
-    """Running aggregates per key in ``order``, computed chunk by chunk.
 
-    ``values`` maps an output name to (kind, column, inclusive) where kind is
-    ``sum`` or ``max`` and inclusive tells whether the current row counts.
-    ``chunk`` must not decrease along the order; None means each key is one chunk.
+def _swept(points: DataFrame, keys: Sequence[str], period: Callable[[Column], Column] | None) -> DataFrame:
+    """``points`` (keys, _t, _kind, _s, _e, ...) plus how many starts and ends stand before and at each row.
+
+    ``period`` cuts time into parts that do not decrease; None when the keys already bound it.
     """
-    combine = {"sum": F.sum, "max": F.max}
-    keys = list(keys)
-    # The explicit filter is the one the join below would infer; stating it keeps
-    # both readers of ``cut`` alike, so its shuffle is shared.
-    cut = points if chunk is None else points.withColumn("_chunk", chunk).filter("_chunk IS NOT NULL")
-    group = keys if chunk is None else [*keys, "_chunk"]
-    ordered = Window.partitionBy(*group).orderBy(*order)
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = cut.select("*", *(
-        combine[kind](column).over(upto if inclusive else before).alias(f"_in_{name}")
-        for name, (kind, column, inclusive) in values.items()))
-    if chunk is None:
-        carried = local
-        merged = {name: F.col(f"_in_{name}") for name in values}
-    else:
-        earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        totals = cut.groupBy(*group).agg(*(
-            combine[kind](column).alias(f"_all_{name}") for name, (kind, column, _) in values.items()))
-        carry = totals.select(*group, *(
-            combine[kind](f"_all_{name}").over(earlier).alias(f"_prev_{name}")
-            for name, (kind, _, _) in values.items()))
-        carried = local.join(carry, group)
-        merged = {}
-        for name, (kind, _, _) in values.items():
-            inside, previous = F.col(f"_in_{name}"), F.col(f"_prev_{name}")
-            if kind == "sum":
-                merged[name] = F.coalesce(inside, F.lit(0)) + F.coalesce(previous, F.lit(0))
-            else:
-                merged[name] = F.greatest(inside, previous)
-    return carried.select(*points.columns, *(value.alias(name) for name, value in merged.items()))
-
-
-def count_overlaps(intervals: DataFrame, requests: DataFrame, keys: Sequence[str], start: str, end: str,
-                   by_month: bool = False, probes: DataFrame | None = None) -> DataFrame:
+    group = list(keys)
+    if period is not None:
+        points = points.withColumn("_p", period(F.col("_t")))
+        group.append("_p")
+        earlier = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+        carried = points.groupBy(*group).agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e")).select(
+            *group, F.lit(_CARRY).alias("_kind"), *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in ("_s", "_e")))
+        points = points.unionByName(carried, allowMissingColumns=True)
+    line = Window.partitionBy(*group).orderBy(F.col("_t").asc_nulls_first(), "_kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return points.withColumns({"_started": F.sum("_s").over(line), "_ended": F.sum("_e").over(line)})
+
+
+def count_overlaps(intervals: DataFrame, requests: DataFrame, keys: Sequence[str], start: str, end: str, id_column: str,
+                   period: Callable[[Column], Column] | None = None, interval_id: str | None = None,
+                   leave_out: str | None = None) -> DataFrame:
     """``requests`` plus ``solapes``: how many intervals overlap each; NULL for an empty request.
 
-    Both frames have ``keys``, ``start`` and ``end``.  Intervals must be
-    non-empty, as the tables' checks demand.  ``chunk`` is the period (month,
-    day) that time is cut into; None when the keys already bound it.
+    Both frames have ``keys``, ``start`` and ``end``; ``id_column`` tells the
+    requests apart.  Intervals must be non-empty, as the tables' checks demand;
+    those with a NULL key overlap nothing.  ``leave_out`` names a column with the
+    ``interval_id`` of an interval not to count; requests that leave out the same
+    one are sorted in one task.
     """
     keys = list(keys)
-
-    def points(frame: DataFrame, weight: int) -> DataFrame:
-        one, none = F.lit(weight).cast("long"), F.lit(0).cast("long")
-        edges = F.array(F.struct(F.col(start).alias("_t"), one.alias("_s"), none.alias("_e")),
-                        F.struct(F.col(end).alias("_t"), none.alias("_s"), one.alias("_e")))
-        return frame.select(*keys, F.inline(edges))
-
-    collapsed = (points(intervals, 1).unionByName(points(requests if probes is None else probes, 0))
-                 .groupBy(*keys, "_t").agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e")))
-    counted = running(collapsed, keys, ["_t"], month_number("_t") if by_month else None,
-                      {"_started": ("sum", "_s", False), "_ended": ("sum", "_e", True)})
-    # Both lookups carry the same array, so Spark plans them alike and computes them once.
-    value = F.array(F.coalesce("_started", F.lit(0)), F.coalesce("_ended", F.lit(0)))
-    at_end = counted.select(*keys, F.col("_t").alias(end), value.alias("_at_end"))
-    at_start = counted.select(*keys, F.col("_t").alias(start), value.alias("_at_start"))
-    matched = requests.join(at_end, [*keys, end], "left").join(at_start, [*keys, start], "left")
-    overlaps = F.when(F.col(start) < F.col(end), F.get("_at_end", 0) - F.get("_at_start", 1))
-    return matched.select(*requests.columns, overlaps.alias("solapes"))
+    present = intervals.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys))
+    none = F.lit(0).cast("long")
+    row = F.struct(*requests.columns)
+    sides = F.array(F.struct(F.col(start).alias("_t"), F.lit(False).alias("_closes"), row.alias("_row")),
+                    F.struct(F.col(end).alias("_t"), F.lit(True).alias("_closes"), F.lit(None).cast(requests.select(row).schema[0].dataType).alias("_row")))
+    own = F.lit(None).cast("string") if leave_out is None else F.col(leave_out).cast("string")
+    # A request that leaves nothing out gets a key of its own, so such requests spread over tasks.
+    own = F.coalesce(own, F.concat(F.lit("~"), F.col(id_column).cast("string")))
+    probes = requests.select(*keys, F.col(id_column).alias("_id"), own.alias("_own"), F.inline(sides)).withColumns(
+        {"_kind": F.lit(_ASK), "_s": none, "_e": none})
+    points = _edges(present, keys, start, end).unionByName(probes, allowMissingColumns=True)
+    counted = _swept(points, keys, period).filter("_id IS NOT NULL")
+    part = F.when(F.col("_closes"), F.col("_started")).otherwise(-F.col("_ended"))
+    group = ["_id"]
+    hits = F.sum("_part")
+    counted = counted.select("_id", "_own", "_row", part.alias("_part"))
+    if leave_out is not None:
+        left_out = present.select(F.col(interval_id).cast("string").alias("_own"), F.struct(*keys, start, end).alias("_out"))
+        line = Window.partitionBy("_own").orderBy(F.col("_out").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        counted = (counted.unionByName(left_out, allowMissingColumns=True)
+                   .withColumn("_out", F.max("_out").over(line)).filter("_id IS NOT NULL"))
+        group = ["_own", "_id"]
+    whole = counted.groupBy(*group).agg(hits.alias("_hits"), F.any_value("_row", True).alias("_row"),
+                                        *([F.any_value("_out", True).alias("_out")] if leave_out else []))
+    found = F.col("_hits")
+    if leave_out is not None:
+        same = (F.col(f"_out.{start}") < F.col(f"_row.{end}")) & (F.col(f"_out.{end}") > F.col(f"_row.{start}"))
+        for k in keys:
+            same = same & (F.col(f"_out.{k}") == F.col(f"_row.{k}"))
+        found = found - F.when(same, 1).otherwise(0)
+    return whole.select("_row.*", F.when(F.col(f"_row.{start}") < F.col(f"_row.{end}"), found).alias("solapes"))
+
+
+def count_mutual_overlaps(intervals: DataFrame, keys: Sequence[str], start: str, end: str, id_column: str,
+                          period: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``id_column, solapes``: how many of the other intervals overlap each; an interval's edges are its own request."""
+    keys = list(keys)
+    present = intervals.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys))
+    swept = _swept(_edges(present, keys, start, end, id_column), keys, period).filter(F.col("_kind") != _CARRY)
+    part = F.when(F.col("_kind") == _END, F.col("_started")).otherwise(-F.col("_ended"))
+    return swept.select(id_column, part.alias("_part")).groupBy(id_column).agg((F.sum("_part") - 1).alias("solapes"))
 
 
 def overlapping_pairs(intervals: DataFrame, key: str, id_column: str, start: str, end: str,
@@ -120,41 +130,20 @@ def overlapping_pairs(intervals: DataFrame, key: str, id_column: str, start: str
             .select(key, F.least("i1", "i2").alias("id_a"), F.greatest("i1", "i2").alias("id_b")))
 
 
-def admit_in_order(requests: DataFrame, keys: Sequence[str], start: str, end: str, order: str,
-                   id_column: str, by_month: bool = True) -> DataFrame:
+def admit_in_order(requests: DataFrame, key: str, start: str, end: str, order: str, id_column: str) -> DataFrame:
     """Ids admitted when requests are taken in ``order`` and none may overlap an admitted one.
 
-    Exact and distributed:
-
-    1. equal intervals of a key collapse to the earliest request;
-    2. a request that contains one taken earlier with the same start can never
-       be admitted (either that one, or whatever blocked it, overlaps);
-    3. the rest are cut into islands that do not overlap each other;
-    4. each island is folded in request order.
-
-    After 1 and 2 an island is bounded by the distinct instants it spans, not
-    by the number of requests.  ``order`` must be unique per key; one-column
-    frame ``id_column``.
+    Two exact reductions come first, so that the rest is bounded by the distinct
+    instants and not by the number of requests: equal intervals of a key collapse
+    to the earliest request, and a request that contains one taken earlier with
+    the same start can never be admitted (either that one, or whatever blocked
+    it, overlaps).  ``order`` must be unique per key; one-column frame ``id_column``.
     """
-    keys = list(keys)
-    first = (requests.filter(F.col(start) < F.col(end)).groupBy(*keys, start, end)
+    first = (requests.filter(F.col(start) < F.col(end)).groupBy(key, start, end)
              .agg(F.min(F.struct(order, id_column)).alias("_r"))
              .withColumns({"_o": F.col(f"_r.{order}"), "_id": F.col(f"_r.{id_column}")}).drop("_r"))
-    same_start = Window.partitionBy(*keys, start).orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
+    same_start = Window.partitionBy(key, start).orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
     useful = (first.withColumn("_shortest", F.min(end).over(same_start))
               .filter(F.col("_shortest").isNull() | (F.col(end) < F.col("_shortest"))).drop("_shortest"))
-    period = month_number(start) if by_month else None
-    if by_month:
-        useful = materialize(useful, "admision")  # the two chunked passes below read it four times
-    reach = running(useful, keys, [start, end], period, {"_reach": ("max", end, False)})
-    opens = F.when(F.col("_reach").isNull() | (F.col("_reach") <= F.col(start)), F.col(start))
-    marked = running(reach.withColumn("_open", opens), keys, [start, end], period, {"_island": ("max", "_open", True)})
-    islands = marked.groupBy(*keys, "_island").agg(
-        F.sort_array(F.collect_list(F.struct("_o", F.col(start).alias("s"), F.col(end).alias("e"), "_id"))).alias("_q"))
-
-    def take(admitted: Column, request: Column) -> Column:
-        blocked = F.exists(admitted, lambda a: (a["s"] < request["e"]) & (a["e"] > request["s"]))
-        return F.when(blocked, admitted).otherwise(F.array_append(admitted, request))
-
-    admitted = F.aggregate("_q", F.slice("_q", 1, 0), take)
-    return islands.select(F.explode(admitted).alias("a")).select(F.col("a._id").alias(id_column))
+    decided = decide_in_order(useful, key, start, end, "_o", "_id")
+    return decided.filter("concedida").select(F.col("_id").alias(id_column))

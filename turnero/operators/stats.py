@@ -12,6 +12,7 @@ from turnero.sources.schemas import ESTADOS_RESERVA, KINDS, TABLES
 # Lock-out rule.
 VENTANA_HORAS = 1
 MINIMO_FALLOS = 5
+MAX_LISTA = 1000  # addresses that a list shows
 
 # Result column of each booking state.
 COLUMNA_ESTADO = {
@@ -23,6 +24,8 @@ COLUMNA_ESTADO = {
     "NO_SHOW": "reservas_no_show",
 }
 
+ESTADOS_DEL_INFORME = ("PENDIENTE", "CONFIRMADA", "COMPLETADA", "CANCELADA")  # fixed value: states that A4 counts
+
 
 def _percent(part: str, whole: str) -> Column:
     """part/whole in percent, two decimals half away from zero; NULL when whole is 0."""
@@ -80,9 +83,8 @@ def estadisticas_proveedor_rango(reservas: DataFrame, proveedores: str | DataFra
     a frame of providers gives one row per provider in it.
     """
     created = reservas.filter(F.col("fecha_creacion").between(instant(inicio), instant(fin)))
-    counts = [F.count("*").alias("total_reservas"),
-              *_state_counts("PENDIENTE", "CONFIRMADA", "COMPLETADA", "CANCELADA")]
-    names = ["total_reservas", *(COLUMNA_ESTADO[s] for s in ("PENDIENTE", "CONFIRMADA", "COMPLETADA", "CANCELADA"))]
+    counts = [F.count("*").alias("total_reservas"), *_state_counts(*ESTADOS_DEL_INFORME)]
+    names = ["total_reservas", *(COLUMNA_ESTADO[s] for s in ESTADOS_DEL_INFORME)]
     if isinstance(proveedores, DataFrame):
         ids = proveedores.select(F.col(proveedores.columns[0]).alias("id_proveedor")).distinct()
         rows = ids.join(created.groupBy("id_proveedor").agg(*counts), "id_proveedor", "left")
@@ -95,36 +97,58 @@ def estadisticas_proveedor_rango(reservas: DataFrame, proveedores: str | DataFra
 
 # logins ---------------------------------------------------------------------
 
-def _recent_failures(intentos: DataFrame, as_of: Instant, ventana_horas: float, minimo: int) -> DataFrame:
+def _failures_by_address(intentos: DataFrame, as_of: Instant, ventana_horas: float) -> DataFrame:
+    """Failures per user and address; a flood from one address is one row."""
     now = instant(as_of)
     recent = F.col("fecha_hora") > shifted(now, hours=-ventana_horas)
     failed = intentos.filter(~F.col("exitoso") & recent & (F.col("fecha_hora") <= now))
-    # Addresses collapse per user before they meet, so a flood from one address stays one entry.
-    by_address = failed.groupBy("id_usuario", "direccion_ip").agg(
-        F.count("*").alias("n"), F.max("fecha_hora").alias("ultimo"))
+    return failed.groupBy("id_usuario", "direccion_ip").agg(F.count("*").alias("n"), F.max("fecha_hora").alias("ultimo"))
+
+
+def _recent_failures(intentos: DataFrame, as_of: Instant, ventana_horas: float, minimo: int, max_lista: int) -> DataFrame:
+    by_address = _failures_by_address(intentos, as_of, ventana_horas)
     per_user = by_address.groupBy("id_usuario").agg(
-        F.sum("n").alias("fallos"), F.max("ultimo").alias("ultimo"),
+        F.sum("n").alias("fallos"), F.max("ultimo").alias("ultimo"), F.count("direccion_ip").alias("direcciones"))
+    hits = per_user.filter(F.col("fallos") >= minimo)
+    listed = hits.filter(F.col("direcciones") <= max_lista).select("id_usuario")
+    lists = by_address.join(listed, "id_usuario", "left_semi").groupBy("id_usuario").agg(
         F.array_join(F.array_sort(F.collect_list("direccion_ip")), ", ").alias("ips"))
-    return per_user.filter(F.col("fallos") >= minimo)
+    return hits.join(lists, "id_usuario", "left")
 
 
 def intentos_fallidos_recientes(usuarios: DataFrame, intentos: DataFrame, as_of: Instant = None,
-                                ventana_horas: float = VENTANA_HORAS, minimo: int = MINIMO_FALLOS) -> DataFrame:
-    """Users with at least ``minimo`` failed logins strictly newer than the window's start."""
-    hits = _recent_failures(intentos, as_of, ventana_horas, minimo)
+                                ventana_horas: float = VENTANA_HORAS, minimo: int = MINIMO_FALLOS,
+                                max_lista: int = MAX_LISTA) -> DataFrame:
+    """Users with at least ``minimo`` failed logins strictly newer than the window's start.
+
+    ``ips_utilizadas`` lists the addresses of a user that has up to ``max_lista``
+    and is NULL beyond, as an attacker can use any number; ``direcciones`` counts
+    them and ``direcciones_fallidas_recientes`` has them all, one row each.
+    """
+    hits = _recent_failures(intentos, as_of, ventana_horas, minimo, max_lista)
     return hits.join(usuarios.select("id_usuario", "email"), "id_usuario").select(
         "id_usuario", "email", F.col("fallos").alias("intentos_fallidos_count"),
-        F.col("ultimo").alias("ultimo_intento"), F.col("ips").alias("ips_utilizadas"))
+        F.col("ultimo").alias("ultimo_intento"), F.col("ips").alias("ips_utilizadas"), "direcciones")
+
+
+def direcciones_fallidas_recientes(intentos: DataFrame, as_of: Instant = None, ventana_horas: float = VENTANA_HORAS,
+                                   minimo: int = MINIMO_FALLOS) -> DataFrame:
+    """Every address with failures of the users that ``intentos_fallidos_recientes`` names."""
+    by_address = _failures_by_address(intentos, as_of, ventana_horas)
+    over = by_address.groupBy("id_usuario").agg(F.sum("n").alias("_n")).filter(F.col("_n") >= minimo)
+    return by_address.join(over, "id_usuario", "left_semi").select(
+        "id_usuario", "direccion_ip", F.col("n").alias("fallos"), F.col("ultimo").alias("ultimo_intento"))
 
 
 def usuarios_sospechosos(usuarios: DataFrame, intentos: DataFrame, as_of: Instant = None,
-                         ventana_horas: float = VENTANA_HORAS, minimo: int = MINIMO_FALLOS) -> DataFrame:
+                         ventana_horas: float = VENTANA_HORAS, minimo: int = MINIMO_FALLOS,
+                         max_lista: int = MAX_LISTA) -> DataFrame:
     """The same users with their account columns, most failures first."""
-    hits = _recent_failures(intentos, as_of, ventana_horas, minimo)
+    hits = _recent_failures(intentos, as_of, ventana_horas, minimo, max_lista)
     account = usuarios.select("id_usuario", "email", "estado", "intentos_fallidos", "bloqueado_hasta")
     return hits.join(account, "id_usuario").select(
         *account.columns, F.col("fallos").alias("intentos_ultima_hora"),
-        F.col("ultimo").alias("ultimo_intento_fallido"), F.col("ips").alias("ips_origen")).orderBy(
+        F.col("ultimo").alias("ultimo_intento_fallido"), F.col("ips").alias("ips_origen"), "direcciones").orderBy(
         F.desc("intentos_ultima_hora"))
 
 

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnero.functions import sql
+from turnero.functions.clock import shifted
 from turnero.operators import changes, joins, lists, quality, stats, visibility
 from turnero.plans import requests as req
-from turnero.session import shared_dir
+from turnero.session import materialize, shared_dir
 from turnero.sources import tables as store
 from turnero.sources.marketplace import AS_OF_AUTH, AS_OF_BOOKING, Marketplace, login_log
 from turnero.streaming import streams
@@ -163,6 +165,7 @@ add("a5_intentos_fallidos_recientes", lambda m: stats.intentos_fallidos_reciente
     m.usuario, m.intento_login, AS_OF_AUTH, VENTANA_HORAS))
 add("a6_usuarios_sospechosos", lambda m: stats.usuarios_sospechosos(
     m.usuario, m.intento_login, AS_OF_AUTH, VENTANA_HORAS))
+add("a5_direcciones_fallidas", lambda m: stats.direcciones_fallidas_recientes(m.intento_login, AS_OF_AUTH, VENTANA_HORAS))
 add("a7_empleados_activos_por_proveedor", lambda m: stats.empleados_activos_por_proveedor(
     m.empleado, m.empleado_servicio, m.horario_laboral, m.bloqueo_horario, AS_OF_BOOKING))
 add("a8_listar_empleados_activos", lambda m: stats.listar_empleados_activos(
@@ -395,10 +398,9 @@ def _stored(m: Marketplace, rows: DataFrame, name: str) -> str:
 
 @plan("t1_change_stream")
 def _(m: Marketplace) -> DataFrame:
-    base = _stored(m, m.reserva, "t1-base")
     asked = req.cancelaciones(m)
     feed = _stored(m, asked, "t1-feed")
-    log = streams.ChangeLog.create(m.spark, base, shared_dir(m.spark, "t1-log"), "id_reserva")
+    log = streams.ChangeLog.create(m.reserva, shared_dir(m.spark, "t1-tabla"), "id_reserva")
     step = streams.change_step(log, lambda rows, batch: changes.cancelar_reserva(rows, batch, AS_OF_BOOKING),
                                shared_dir(m.spark, "t1-answers"))
     stream = streams.read_parquet_stream(m.spark, feed, asked.schema)
@@ -406,15 +408,26 @@ def _(m: Marketplace) -> DataFrame:
     return log.current().select(*_RESERVA)
 
 
+def _logins(m: Marketplace) -> DataFrame:
+    return login_log(streams.read_table_stream(m.spark, m.folder, "events", m.source("events").schema))
+
+
 @plan("t2_failed_login_monitor")
 def _(m: Marketplace) -> DataFrame:
-    stream = streams.read_table_stream(m.spark, m.folder, "events", m.source("events").schema)
     sink = shared_dir(m.spark, "t2-sink")
-    monitor = streams.failed_login_monitor(login_log(stream), "24 hours", "6 hours", minimo=3)
+    monitor = streams.failed_login_monitor(_logins(m), "24 hours", "6 hours", minimo=3)
     streams.run_windows(monitor, sink, shared_dir(m.spark, "t2-checkpoint"))
     return streams.newest_windows(m.spark, sink, monitor.schema, ["inicio", "fin", "id_usuario"])
 
 
+@plan("t2_failed_login_addresses")
+def _(m: Marketplace) -> DataFrame:
+    sink = shared_dir(m.spark, "t2-direcciones")
+    monitor = streams.failed_login_addresses(_logins(m))
+    streams.run_windows(monitor, sink, shared_dir(m.spark, "t2-checkpoint"))
+    return streams.newest_windows(m.spark, sink, monitor.schema, ["inicio", "fin", "id_usuario", "direccion_ip"])
+
+
 @plan("t3_audit_stream")
 def _(m: Marketplace) -> DataFrame:
     old = m.usuario.select("id_usuario", F.struct(*m.usuario.columns).alias("antes"))
@@ -429,13 +442,27 @@ def _(m: Marketplace) -> DataFrame:
     return _audit_fields(m.spark.read.schema(audited.schema).parquet(sink))
 
 
+def _expired(m: Marketplace) -> DataFrame:
+    """The event log as a stream of tokens and logins, held until they expire, ten days for logins."""
+    live = Marketplace(m.spark, m.folder)
+    live.source = lambda name: streams.read_table_stream(m.spark, m.folder, name, m.source(name).schema)
+    feeds = [streams.expiry_feed("token_refresh", live.token_refresh, "id_token", "fecha_creacion", F.col("fecha_expiracion")),
+             streams.expiry_feed("token_reset_password", live.token_reset_password, "id_token", "fecha_creacion",
+                                 F.col("fecha_expiracion"), F.col("usado")),
+             streams.expiry_feed("intento_login", live.intento_login, "id_intento", "fecha_hora", shifted(F.col("fecha_hora"), days=10))]
+    sink = shared_dir(m.spark, "t4-sink")
+    streams.run_expiry(streams.expiry_stream(feeds[0].unionByName(feeds[1]).unionByName(feeds[2])), sink,
+                       shared_dir(m.spark, "t4-checkpoint"))
+    return streams.expiry_outcome(m.spark, sink)
+
+
 @plan("t4_expiry_stream")
 def _(m: Marketplace) -> DataFrame:
-    results = shared_dir(m.spark, "t4-counts")
-    step = streams.expiry_step(m.table, results, AS_OF_AUTH)
-    stream = streams.read_table_stream(m.spark, m.folder, "events", m.source("events").schema)
-    streams.run_batches(stream, step, shared_dir(m.spark, "t4-checkpoint"))
-    return m.spark.read.parquet(results).select("tabla", "eliminadas")
+    return _expired(m).groupBy("tabla").agg(F.count_if("eliminada").alias("eliminadas"),
+                                            F.count_if(~F.col("eliminada")).alias("conservadas"))
+
+
+add("t4_expiry_stream_tabla", lambda m: _expired(m).filter("NOT eliminada").select("tabla", "id", "vence"))
 
 
 @plan("t5_hourly_bookings")
@@ -447,6 +474,49 @@ def _(m: Marketplace) -> DataFrame:
     return streams.newest_windows(m.spark, sink, hourly.schema, ["inicio", "id_proveedor", "estado"])
 
 
+# SQL functions --------------------------------------------------------------
+
+def sql_function(name: str, call: str, *unions: str) -> None:
+    """Register a query that calls one of the SQL functions for many rows.
+
+    Spark 4.1 cannot plan a function with EXISTS over a view that is a union; ``unions`` are written as tables first.
+    """
+    def build(m: Marketplace) -> DataFrame:
+        people = visibility.principals(m.auth_users)
+        tables = m.tables() | {t: materialize(m.table(t), t) for t in unions}
+        sql.register(m.spark, tables, materialize(people, "principal") if "usuario" in unions else people)
+        return m.spark.sql(call)
+    add(f"f_{name}", build)
+
+
+_SPAN = f"TIMESTAMP_NTZ'{DESDE}', TIMESTAMP_NTZ'{HASTA}'"
+sql_function("servicios_de_proveedor",
+             "SELECT p.id_usuario AS id_proveedor, f.* FROM proveedor AS p, LATERAL servicios_de_proveedor(p.id_usuario) AS f")
+sql_function("servicios_de_empleado",
+             "SELECT e.id_empleado, f.* FROM empleado AS e, LATERAL servicios_de_empleado(e.id_empleado, FALSE) AS f")
+sql_function("horario_de_empleado",
+             "SELECT e.id_empleado, f.* FROM empleado AS e, LATERAL horario_de_empleado(e.id_empleado, 'LUNES') AS f")
+sql_function("bloqueos_de_empleado", "SELECT e.id_empleado, f.* FROM empleado AS e, "
+             f"LATERAL bloqueos_de_empleado(e.id_empleado, DATE'{DESDE[:10]}', DATE'{AS_OF_BOOKING[:10]}') AS f")
+sql_function("reservas_de_cliente",
+             "SELECT c.id_usuario AS id_cliente, f.* FROM cliente AS c, LATERAL reservas_de_cliente(c.id_usuario, 'COMPLETADA') AS f")
+sql_function("reservas_de_empleado",
+             f"SELECT e.id_empleado, f.* FROM empleado AS e, LATERAL reservas_de_empleado(e.id_empleado, {_SPAN}) AS f")
+sql_function("empleados_de_proveedor",
+             "SELECT p.id_usuario AS id_proveedor, f.* FROM proveedor AS p, LATERAL empleados_de_proveedor(p.id_usuario) AS f")
+sql_function("estadisticas_de_proveedor",
+             "SELECT p.id_usuario AS id_proveedor, f.* EXCEPT (tasa_cancelacion), CAST(f.tasa_cancelacion AS DOUBLE) AS tasa_cancelacion "
+             f"FROM proveedor AS p, LATERAL estadisticas_de_proveedor(p.id_usuario, {_SPAN}) AS f")
+sql_function("hay_conflicto", """
+    SELECT id_reserva, hay_conflicto(id_empleado, fecha_hora_inicio, fecha_hora_fin, id_reserva) AS conflicto
+    FROM reserva WHERE fecha_hora_inicio < fecha_hora_fin""")
+sql_function("esta_disponible", """
+    SELECT id_bloqueo, esta_disponible(id_empleado, fecha, hora_inicio - 30, hora_inicio) AS disponible FROM bloqueo_horario""",
+             "bloqueo_horario")
+sql_function("tiene_rol", "SELECT id_usuario, tiene_rol(id_usuario, 'admin') AS es_admin FROM usuario", "usuario")
+sql_function("es_de_tipo", "SELECT id_usuario, es_de_tipo(id_usuario, 'CLIENTE') AS es_cliente FROM usuario", "usuario")
+
+
 # entry ----------------------------------------------------------------------
 
 def build(name: str) -> Callable[[SparkSession, str], DataFrame]:

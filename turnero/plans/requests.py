@@ -6,7 +6,7 @@ of the table it aims at, with arguments that make some apply and some not.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnero.functions.clock import minute_of_day, shifted
@@ -58,10 +58,20 @@ def cancelaciones(m: Marketplace) -> DataFrame:
 
 
 def reagendas(m: Marketplace) -> DataFrame:
+    """Every booking asks for a slot twenty minutes later, and then for the one its employee's next booking had at first.
+
+    So bookings move twice, in chains, into slots that others have left, taken or kept.
+    """
     moved = _moved(m.reserva, mins=20)
-    rows = m.reserva.select("id_reserva", moved["fecha_hora_inicio"].alias("nuevo_inicio"),
-                            moved["fecha_hora_fin"].alias("nuevo_fin"))
-    return _numbered(rows, "id_reserva")
+    later = m.reserva.select("id_reserva", moved["fecha_hora_inicio"].alias("nuevo_inicio"),
+                             moved["fecha_hora_fin"].alias("nuevo_fin"))
+    following = Window.partitionBy("id_empleado").orderBy("fecha_hora_inicio", "id_reserva")
+    next_slot = m.reserva.select("id_reserva", F.lead("fecha_hora_inicio").over(following).alias("nuevo_inicio"),
+                                 F.lead("fecha_hora_fin").over(following).alias("nuevo_fin"))
+    first = _numbered(later, "id_reserva")
+    second = next_slot.filter("nuevo_inicio IS NOT NULL").withColumns({
+        "id_solicitud": F.concat(F.lit("S"), "id_reserva"), "orden": F.concat("id_reserva", F.lit("+"))})
+    return first.unionByName(second)
 
 
 def reservas_editadas(m: Marketplace) -> DataFrame:

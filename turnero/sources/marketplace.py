@@ -148,10 +148,15 @@ class Marketplace:
 
     @cached_property
     def categoria_servicio(self) -> DataFrame:
+        """The seed categories, and one for every brand of part."""
         rows = literal_rows(
             self.spark, "id_categoria string, nombre_categoria string, descripcion string, activa boolean",
             [(f"K{i}", name, text, i != 9) for i, (name, text) in enumerate(CATEGORIAS_INICIALES)])
-        return self._stamped(rows, "categoria_servicio")
+        brand = F.col("p_brand")
+        brands = self.source("part").select(brand).distinct().select(
+            _id("KB-", brand).alias("id_categoria"), brand.alias("nombre_categoria"), F.lit("Marca").alias("descripcion"),
+            (F.length(brand) % 2 == 0).alias("activa"))
+        return self._stamped(rows.unionByName(brands), "categoria_servicio")
 
     @cached_property
     def servicio(self) -> DataFrame:

@@ -8,17 +8,19 @@ too; ``newest_windows`` reads the last state of each.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from turnero.functions.clock import Instant
-from turnero.operators.changes import audit_rows, limpiar_datos_expirados
+from turnero.operators.changes import audit_rows
 from turnero.operators.stats import MINIMO_FALLOS
+from turnero.session import materialize
 
 
 def event_time(moment: Column) -> Column:
@@ -65,6 +67,10 @@ def run_windows(stream: DataFrame, sink: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def _with_batch(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("batch", T.IntegerType(), True)])
+
+
 def newest_windows(spark: SparkSession, sink: str, schema: T.StructType, keys: list[str]) -> DataFrame:
     """The last state that ``run_windows`` wrote of each window, open ones included; fails if no batch ever ran."""
     rows = spark.read.schema(_with_batch(schema)).parquet(sink)
@@ -83,17 +89,34 @@ def run_batches(stream: DataFrame, step: Callable[[DataFrame, int], Any], checkp
 
 # monitors -------------------------------------------------------------------
 
+def _failures(intentos: DataFrame) -> DataFrame:
+    return intentos.filter(~F.col("exitoso")).select(
+        "id_usuario", "direccion_ip", event_time(F.col("fecha_hora")).alias("_t"))
+
+
 def failed_login_monitor(intentos: DataFrame, ventana: str = "1 hour", paso: str = "5 minutes",
                          tardanza: str = "10 minutes", minimo: int = MINIMO_FALLOS) -> DataFrame:
-    """Users with ``minimo`` failures in a sliding window: (inicio, fin, id_usuario, fallos, ultimo, ips)."""
-    timed = intentos.filter(~F.col("exitoso")).select(
-        "id_usuario", "direccion_ip", event_time(F.col("fecha_hora")).alias("_t"))
-    counted = (timed.withWatermark("_t", tardanza).groupBy(F.window("_t", ventana, paso).alias("w"), "id_usuario")
+    """Users with ``minimo`` failures in a sliding window: (inicio, fin, id_usuario, fallos, ultimo, direcciones).
+
+    ``direcciones`` estimates the distinct addresses from a sketch, so a window's
+    state stays small however many addresses attack; they are exact while few.
+    ``failed_login_addresses`` lists them.
+    """
+    counted = (_failures(intentos).withWatermark("_t", tardanza).groupBy(F.window("_t", ventana, paso).alias("w"), "id_usuario")
                .agg(F.count("*").alias("fallos"), F.max("_t").alias("ultimo"),
-                    F.collect_set("direccion_ip").alias("ips")))
+                    F.hll_sketch_agg("direccion_ip").alias("vistas")))
     return counted.filter(F.col("fallos") >= minimo).select(
         wall_clock(F.col("w.start")).alias("inicio"), wall_clock(F.col("w.end")).alias("fin"), "id_usuario", "fallos",
-        wall_clock(F.col("ultimo")).alias("ultimo"), F.array_join(F.array_sort("ips"), ", ").alias("ips"))
+        wall_clock(F.col("ultimo")).alias("ultimo"), F.hll_sketch_estimate("vistas").alias("direcciones"))
+
+
+def failed_login_addresses(intentos: DataFrame, ventana: str = "1 hour", paso: str = "5 minutes",
+                           tardanza: str = "10 minutes") -> DataFrame:
+    """Every address that failed in a sliding window, one row each: (inicio, fin, id_usuario, direccion_ip, fallos)."""
+    counted = (_failures(intentos).withWatermark("_t", tardanza)
+               .groupBy(F.window("_t", ventana, paso).alias("w"), "id_usuario", "direccion_ip").agg(F.count("*").alias("fallos")))
+    return counted.select(wall_clock(F.col("w.start")).alias("inicio"), wall_clock(F.col("w.end")).alias("fin"),
+                          "id_usuario", "direccion_ip", "fallos")
 
 
 def hourly_bookings(reservas: DataFrame, ventana: str = "1 hour", tardanza: str = "1 hour") -> DataFrame:
@@ -113,46 +136,90 @@ def audit_stream(images: DataFrame) -> DataFrame:
 # change log -----------------------------------------------------------------
 
 class ChangeLog:
-    """A table kept as an unchanged base plus one folder of new row images per batch.
-
-    A batch writes only the rows it changes, into a folder named by its batch
-    id, so a replay overwrites its own output and nothing else.
+    """A table in hash buckets of its key, and the rows that batches changed since, in the same buckets.
+
+    A batch reads and writes only the buckets of the keys it names, by path, and
+    only what it changes.  When a bucket has had ``merge_after`` changing batches
+    the next one writes it anew, so a batch costs no more however long the log
+    is.  Everything a batch writes lies under its id, and it starts from the
+    list of folders that the batch before left: a replay overwrites its own
+    output and nothing else.
     """
 
-    def __init__(self, spark: SparkSession, base: str, log: str, key: str):
-        self.spark = spark
-        self.base = base
-        self.log = log
-        self.key = key
+    def __init__(self, spark: SparkSession, root: str, key: str, schema: T.StructType, buckets: int = 16, merge_after: int = 8):
+        self.spark, self.root, self.key, self.schema = spark, root, key, schema
+        self.buckets, self.merge_after = buckets, merge_after
 
     @classmethod
-    def create(cls, spark: SparkSession, base: str, log: str, key: str) -> ChangeLog:
-        """Start an empty log over the table stored at ``base``."""
-        created = cls(spark, base, log, key)
-        created.write(spark.read.parquet(base).limit(0), -1)
-        return created
-
-    def current(self, before: int | None = None) -> DataFrame:
-        """The table after every batch, or after those numbered below ``before``."""
-        base = self.spark.read.parquet(self.base)
-        images = self.spark.read.schema(_with_batch(base.schema)).parquet(self.log)
-        if before is not None:
-            images = images.filter(F.col("batch") < before)
+    def create(cls, rows: DataFrame, root: str, key: str, buckets: int = 16, merge_after: int = 8) -> ChangeLog:
+        """Lay ``rows`` out under ``root``."""
+        log = cls(rows.sparkSession, root, key, rows.schema, buckets, merge_after)
+        held = log._write(rows, "base", -1)
+        log._remember({b: (-1, []) for b in held}, -1)
+        return log
+
+    def bucket(self, key: Column | str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def _write(self, rows: DataFrame, kind: str, batch_id: int) -> set[int]:
+        """Write ``rows`` by bucket, each in the order of its keys; the buckets that have any."""
+        path = f"{self.root}/{kind}/batch={batch_id}"
+        placed = rows.select(*self.schema.names, self.bucket(self.key).alias("cubo"))
+        (placed.repartition("cubo").sortWithinPartitions("cubo", self.key).write.mode("overwrite").partitionBy("cubo").parquet(path))
+        return {r.cubo for r in self._read([path]).select("cubo").distinct().collect()}
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        schema = T.StructType([*self.schema.fields, T.StructField("batch", T.IntegerType()), T.StructField("cubo", T.IntegerType())])
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", paths[0].split("/batch=")[0]).parquet(*paths)
+
+    def _remember(self, layout: dict[int, tuple[int | None, list[int]]], batch_id: int) -> None:
+        """The folders that make up each bucket after a batch; one row per bucket."""
+        rows = [(b, base, log) for b, (base, log) in sorted(layout.items())]
+        frame = self.spark.createDataFrame(rows, "cubo int, base int, log array<int>")
+        frame.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/layout/batch={batch_id}")
+
+    def layout(self, batch_id: int) -> dict[int, tuple[int | None, list[int]]]:
+        """The folders of each bucket after a batch; -1 before any."""
+        rows = self.spark.read.schema("cubo int, base int, log array<int>").parquet(f"{self.root}/layout/batch={batch_id}")
+        return {r.cubo: (r.base, list(r.log)) for r in rows.collect()}
+
+    def last_batch(self) -> int:
+        found = self.spark.read.schema("cubo int, base int, log array<int>, batch int").parquet(f"{self.root}/layout")
+        return found.agg(F.max("batch")).first()[0]
+
+    def rows(self, layout: dict[int, tuple[int | None, list[int]]]) -> DataFrame:
+        """The newest image of every row of these buckets."""
+        base = self._read([f"{self.root}/base/batch={v}/cubo={b}" for b, (v, _) in layout.items() if v is not None])
+        images = self._read([f"{self.root}/log/batch={v}/cubo={b}" for b, (_, log) in layout.items() for v in log])
         newest = Window.partitionBy(self.key).orderBy(F.desc("batch"))
-        last = images.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").select(*base.columns)
-        return base.join(last.select(self.key), self.key, "left_anti").select(*base.columns).unionByName(last)
-
-    def compact(self, base: str, log: str) -> ChangeLog:
-        """Write the current table to a new base and start an empty log over it."""
-        self.current().write.parquet(base)
-        return ChangeLog.create(self.spark, base, log, self.key)
-
-    def write(self, images: DataFrame, batch_id: int) -> None:
-        images.write.mode("overwrite").parquet(f"{self.log}/batch={batch_id}")
-
-
-def _with_batch(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("batch", T.IntegerType(), True)])
+        last = images.withColumn("_n", F.row_number().over(newest)).filter("_n = 1")
+        return (base.join(last.select(self.key), self.key, "left_anti").select(*self.schema.names)
+                .unionByName(last.select(*self.schema.names)))
+
+    def current(self, after: int | None = None) -> DataFrame:
+        """The table after every batch, or after one of them."""
+        return self.rows(self.layout(self.last_batch() if after is None else after))
+
+    def aimed(self, keys: DataFrame, batch_id: int) -> DataFrame:
+        """The rows that batch ``batch_id`` finds under ``keys``; only their buckets are read."""
+        named = keys.select(F.col(self.key)).distinct()
+        wanted = {r.c for r in named.select(self.bucket(self.key).alias("c")).distinct().collect()}  # at most one row per bucket
+        layout = self.layout(batch_id - 1)
+        return self.rows({b: layout[b] for b in sorted(wanted & set(layout))}).join(named, self.key, "left_semi")
+
+    def commit(self, images: DataFrame, batch_id: int) -> None:
+        """Store the rows that a batch changed or added."""
+        layout = self.layout(batch_id - 1)
+        for b in self._write(images, "log", batch_id):
+            base, log = layout.get(b, (None, []))
+            layout[b] = (base, [*log, batch_id])
+        full = {b: v for b, v in layout.items() if len(v[1]) > self.merge_after}
+        if full:
+            for b in self._write(self.rows(full), "base", batch_id):
+                layout[b] = (batch_id, [])
+        self._remember(layout, batch_id)
 
 
 def change_step(log: ChangeLog, change: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
@@ -161,30 +228,93 @@ def change_step(log: ChangeLog, change: Callable[[DataFrame, DataFrame], tuple[D
 
     ``change(rows, requests)`` returns (new rows, answers).  Only the rows
     whose key occurs in the batch are read into the operator, so this form is
-    for changes that look at one row at a time.
+    for changes that look at one row at a time.  Rows are told apart by the
+    hash of all their columns: those that a change leaves alone are not stored.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
-        table = log.current(before=batch_id)
-        aimed = table.join(batch.select(log.key).distinct(), log.key, "left_semi")
+        aimed = materialize(log.aimed(batch, batch_id), "apuntadas")
         new_rows, answers = change(aimed, batch)
-        log.write(new_rows.exceptAll(aimed), batch_id)
+        cells = [F.col(c) for c in log.schema.names]
+        before = aimed.select(F.col(log.key).alias("_key"), F.struct(*cells).alias("_old"))
+        changed = new_rows.join(before, F.col(log.key) == F.col("_key"), "left").filter(
+            ~F.struct(*cells).eqNullSafe(F.col("_old"))).select(*log.schema.names)
+        log.commit(changed, batch_id)
         answers.write.mode("overwrite").parquet(f"{results}/batch={batch_id}")
     return step
 
 
-def expiry_step(load: Callable[[str], DataFrame], results: str, as_of: Instant = None,
-                store: Callable[[str, DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` step that purges the token and login tables once per trigger.
+# retention ------------------------------------------------------------------
+
+RETENIDA, ELIMINADA = "RETENIDA", "ELIMINADA"
+
+
+def expiry_feed(tabla: str, rows: DataFrame, id_column: str, moment: str, expires: Column, spent: Column | None = None) -> DataFrame:
+    """Rows of a table as a retention feed: (tabla, id, momento, vence, gastada)."""
+    used = F.lit(False) if spent is None else F.coalesce(spent, F.lit(False))
+    return rows.select(F.lit(tabla).alias("tabla"), F.col(id_column).alias("id"), F.col(moment).alias("momento"),
+                       expires.alias("vence"), used.alias("gastada"))
+
+
+def expiry_stream(feed: DataFrame, tardanza: str = "0 seconds") -> DataFrame:
+    """What becomes of every row of a retention feed: (tabla, id, accion, vence), RETENIDA and later ELIMINADA.
 
-    ``load(name)`` reads a table, ``store(name, kept, batch_id)`` writes what
-    is kept; the removal counts go to ``results`` under the batch id.
+    The stream keeps each row's expiry as state under (tabla, id) with a timer.
+    Event time is the feed's clock: once it has passed the expiry by
+    ``tardanza``, or as soon as a row comes that is spent or past its expiry,
+    the row goes.  A newer row of the same id replaces the older; one that is
+    gone stays gone.  Rows without expiry stay until they are spent.
     """
-    def step(_: DataFrame, batch_id: int) -> None:
-        kept, counts = limpiar_datos_expirados(
-            load("token_refresh"), load("token_reset_password"), load("email_verification_token"),
-            load("intento_login"), as_of)
-        if store is not None:
-            for name, rows in kept.items():
-                store(name, rows, batch_id)
-        counts.write.mode("overwrite").parquet(f"{results}/batch={batch_id}")
-    return step
+    out = "tabla string, id string, accion string, vence timestamp_ntz"
+
+    def keep(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        tabla, row_id = key
+        if state.hasTimedOut:
+            vence = state.get[0]
+            state.update((None, True))  # gone, and remembered as gone
+            yield pd.DataFrame([(tabla, row_id, ELIMINADA, pd.Timestamp(vence, unit="us"))], columns=["tabla", "id", "accion", "vence"])
+            return
+        known = state.get if state.exists else None
+        if known is not None and known[1]:
+            for _ in frames:
+                pass
+            return
+        rows = pd.concat(list(frames))  # the rows of one id
+        spent = bool(rows["gastada"].any())
+        last = rows.sort_values("momento").iloc[-1]
+        vence = None if pd.isna(last["vence_us"]) else int(last["vence_us"])
+        made, clock = [] if known is not None else [RETENIDA], state.getCurrentWatermarkMs()
+        if known is not None and known[0] is not None and -(-known[0] // 1000) < clock:
+            vence = known[0]  # its time had come before these rows did
+        gone = spent or (vence is not None and -(-vence // 1000) < clock)
+        if gone:
+            made.append(ELIMINADA)
+            state.update((vence, True))
+        else:
+            state.update((vence, False))
+            if vence is not None:
+                state.setTimeoutTimestamp(-(-vence // 1000))
+        when = pd.NaT if vence is None else pd.Timestamp(vence, unit="us")
+        if made:
+            yield pd.DataFrame([(tabla, row_id, m, when) for m in made], columns=["tabla", "id", "accion", "vence"])
+
+    timed = feed.filter("id IS NOT NULL").select(
+        "tabla", "id", event_time(F.col("momento")).alias("momento"), F.unix_micros(event_time(F.col("vence"))).alias("vence_us"), "gastada")
+    kept = timed.withWatermark("momento", tardanza).groupBy("tabla", "id").applyInPandasWithState(
+        keep, out, "vence bigint, ida boolean", "append", GroupStateTimeout.EventTimeTimeout)
+    return kept
+
+
+def run_expiry(stream: DataFrame, sink: str, checkpoint: str) -> None:
+    """Process what is available of an ``expiry_stream``, then stop; a batch writes under its id, again on replay."""
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    query = (stream.writeStream.outputMode("append").foreachBatch(step).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+
+
+def expiry_outcome(spark: SparkSession, sink: str) -> DataFrame:
+    """What ``run_expiry`` wrote, one row per row of the feed: (tabla, id, eliminada, vence)."""
+    rows = spark.read.schema("tabla string, id string, accion string, vence timestamp_ntz, batch int").parquet(sink)
+    return rows.groupBy("tabla", "id").agg(F.max(F.col("accion") == ELIMINADA).alias("eliminada"), F.max("vence").alias("vence"))
