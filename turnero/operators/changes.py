@@ -151,8 +151,8 @@ def reagendar_reserva(reservas: DataFrame, solicitudes: DataFrame, as_of: Instan
     asked_for = valid.select("id_reserva").distinct()
     # What stands for the whole batch refuses a move without regard to order.
     standing = reservas.join(asked_for, "id_reserva", "left_anti")
-    possible = materialize(validar_conflicto_horario(standing, moves).filter("NOT coalesce(conflicto, FALSE)")
-                           .select(*moves.columns), "traslados")
+    clear = validar_conflicto_horario(standing, moves).filter("NOT coalesce(conflicto, FALSE)").select("id_solicitud")
+    possible = materialize(moves.join(clear, "id_solicitud", "left_semi"), "traslados")
     decided = decide_in_order(possible, "id_empleado", "fecha_hora_inicio", "fecha_hora_fin", "orden", "id_solicitud",
                               "id_reserva", open_rows.join(asked_for, "id_reserva", "left_semi"))
     granted = materialize(decided.filter("concedida").select("id_solicitud"), "concedidas")
@@ -179,14 +179,15 @@ def crear_reserva(reservas: DataFrame, servicios: DataFrame, horarios: DataFrame
     was refused in ``motivo``.
     """
     known = servicios.select("id_servicio", F.lit(True).alias("_servicio"))
-    asked = solicitudes.join(known, "id_servicio", "left")
-    busy = validar_conflicto_horario(reservas, asked)
-    free = empleado_disponible(horarios, bloqueos, with_day_columns(busy))
+    slots = solicitudes.select("id_solicitud", "id_empleado", "fecha_hora_inicio", "fecha_hora_fin")
+    busy = validar_conflicto_horario(reservas, slots).drop("conflictos")
+    free = empleado_disponible(horarios, bloqueos, with_day_columns(slots))
     # Admission and answers both read the checks; they are worked out once.
-    checked = materialize(free.select(*solicitudes.columns, "_servicio", "disponible", "conflicto"), "solicitudes")
+    checked = materialize(solicitudes.join(known, "id_servicio", "left").join(busy, "id_solicitud").join(free, "id_solicitud")
+                          .select(*solicitudes.columns, "_servicio", "disponible", "conflicto"), "solicitudes")
     possible = checked.filter(F.col("_servicio") & F.col("disponible") & ~F.col("conflicto"))
-    admitted = materialize(admit_in_order(possible, "id_empleado", "fecha_hora_inicio", "fecha_hora_fin", "orden",
-                                          "id_solicitud"), "admitidas").withColumn("_ok", F.lit(True))
+    admitted = admit_in_order(possible, "id_empleado", "fecha_hora_inicio", "fecha_hora_fin", "orden",
+                              "id_solicitud").withColumn("_ok", F.lit(True))
     decided = checked.join(admitted, "id_solicitud", "left")
     reason = (F.when(F.col("_servicio").isNull(), "SERVICIO")
               .when(~F.coalesce("disponible", F.lit(False)), "DISPONIBILIDAD")

@@ -119,16 +119,16 @@ def validar_conflicto_horario(reservas: DataFrame, solicitudes: DataFrame) -> Da
     """Per request: does an active booking of the employee overlap it?
 
     ``solicitudes``: id_solicitud (unique), id_empleado, fecha_hora_inicio,
-    fecha_hora_fin and optionally id_excluir, a booking to leave out.  Adds
-    ``conflictos`` (how many) and ``conflicto``; both NULL for an empty request.
-    Other columns pass through.
+    fecha_hora_fin and optionally id_excluir, a booking to leave out.  Returns
+    id_solicitud, ``conflictos`` (how many) and ``conflicto``; the last two are
+    NULL for an empty request.
     """
     booked = active_bookings(reservas).filter("fecha_hora_inicio < fecha_hora_fin").select(
         "id_reserva", "id_empleado", "fecha_hora_inicio", "fecha_hora_fin")
     counted = count_overlaps(booked, solicitudes, ["id_empleado"], "fecha_hora_inicio", "fecha_hora_fin", "id_solicitud",
                              F.to_date, "id_reserva", "id_excluir" if "id_excluir" in solicitudes.columns else None)
     hits = F.col("solapes")
-    return counted.select(*solicitudes.columns, hits.alias("conflictos"), (hits > 0).alias("conflicto"))
+    return counted.select("id_solicitud", hits.alias("conflictos"), (hits > 0).alias("conflicto"))
 
 
 def conflictos_existentes(reservas: DataFrame, slot_seconds: int = 3600) -> DataFrame:
@@ -167,15 +167,15 @@ def empleado_disponible(horarios: DataFrame, bloqueos: DataFrame, solicitudes: D
 
     True when one weekly block of that weekday holds the request and no active
     dated block overlaps it.  Neither the employee's own flag nor the services
-    assigned matter.  NULL for an empty request.  Other columns pass through.
+    assigned matter.  Returns id_solicitud and ``disponible``, NULL for an empty request.
     """
-    duty = _on_duty(horarios, solicitudes.withColumn("dia_semana", weekday_name(F.col("fecha"))))
+    duty = _on_duty(horarios, solicitudes.select("id_solicitud", "id_empleado", "fecha", "hora_inicio", "hora_fin",
+                                                 weekday_name(F.col("fecha")).alias("dia_semana")))
     blocks = bloqueos.filter(F.col("activo") & (F.col("hora_inicio") < F.col("hora_fin"))).select(
         "id_empleado", "fecha", "hora_inicio", "hora_fin")
-    counted = count_overlaps(blocks, duty, ["id_empleado", "fecha"], "hora_inicio", "hora_fin", "id_solicitud")
+    counted = count_overlaps(blocks, duty, ["id_empleado", "fecha"], "hora_inicio", "hora_fin", "id_solicitud", flag="en_horario")
     free = F.col("en_horario") & (F.col("solapes") == 0)
-    return counted.select(*solicitudes.columns,
-                          F.when(F.col("hora_inicio") < F.col("hora_fin"), free).alias("disponible"))
+    return counted.select("id_solicitud", F.when(F.col("solapes").isNotNull(), free).alias("disponible"))
 
 
 def with_day_columns(solicitudes: DataFrame) -> DataFrame:

@@ -44,54 +44,52 @@ def _swept(points: DataFrame, keys: Sequence[str], period: Callable[[Column], Co
         carried = points.groupBy(*group).agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e")).select(
             *group, F.lit(_CARRY).alias("_kind"), *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in ("_s", "_e")))
         points = points.unionByName(carried, allowMissingColumns=True)
-    line = Window.partitionBy(*group).orderBy(F.col("_t").asc_nulls_first(), "_kind").rowsBetween(
+    # Sorting compares a number first, which tells most groups apart at once; text keys share their beginnings.
+    line = Window.partitionBy("_h", *group).orderBy(F.col("_t").asc_nulls_first(), "_kind").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    return points.withColumns({"_started": F.sum("_s").over(line), "_ended": F.sum("_e").over(line)})
+    return points.withColumn("_h", F.xxhash64(*group)).withColumns(
+        {"_started": F.sum("_s").over(line), "_ended": F.sum("_e").over(line)})
 
 
 def count_overlaps(intervals: DataFrame, requests: DataFrame, keys: Sequence[str], start: str, end: str, id_column: str,
                    period: Callable[[Column], Column] | None = None, interval_id: str | None = None,
-                   leave_out: str | None = None) -> DataFrame:
-    """``requests`` plus ``solapes``: how many intervals overlap each; NULL for an empty request.
+                   leave_out: str | None = None, flag: str | None = None) -> DataFrame:
+    """``id_column, solapes``: how many intervals overlap each request; NULL for an empty one.
 
     Both frames have ``keys``, ``start`` and ``end``; ``id_column`` tells the
     requests apart.  Intervals must be non-empty, as the tables' checks demand;
     those with a NULL key overlap nothing.  ``leave_out`` names a column with the
     ``interval_id`` of an interval not to count; requests that leave out the same
-    one are sorted in one task.
+    one are sorted in one task.  ``flag`` names a boolean of the requests to return too.
     """
     keys = list(keys)
     present = intervals.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys))
+    asked = [F.col(id_column).alias("_id"), *([] if flag is None else [F.col(flag).alias("_flag")])]
+    if leave_out is not None:
+        # A request that leaves nothing out gets a key of its own, so such requests spread over tasks.
+        own = F.coalesce(F.col(leave_out).cast("string"), F.concat(F.lit("~"), F.col(id_column).cast("string")))
+        asked += [own.alias("_own"), F.struct(*keys, start, end).alias("_row")]
+    sides = F.array(F.struct(F.col(start).alias("_t"), F.lit(False).alias("_closes")),
+                    F.struct(F.col(end).alias("_t"), F.lit(True).alias("_closes")))
     none = F.lit(0).cast("long")
-    row = F.struct(*requests.columns)
-    sides = F.array(F.struct(F.col(start).alias("_t"), F.lit(False).alias("_closes"), row.alias("_row")),
-                    F.struct(F.col(end).alias("_t"), F.lit(True).alias("_closes"), F.lit(None).cast(requests.select(row).schema[0].dataType).alias("_row")))
-    own = F.lit(None).cast("string") if leave_out is None else F.col(leave_out).cast("string")
-    # A request that leaves nothing out gets a key of its own, so such requests spread over tasks.
-    own = F.coalesce(own, F.concat(F.lit("~"), F.col(id_column).cast("string")))
-    probes = requests.select(*keys, F.col(id_column).alias("_id"), own.alias("_own"), F.inline(sides)).withColumns(
+    probes = requests.select(*keys, *asked, (F.col(start) < F.col(end)).alias("_real"), F.inline(sides)).withColumns(
         {"_kind": F.lit(_ASK), "_s": none, "_e": none})
-    points = _edges(present, keys, start, end).unionByName(probes, allowMissingColumns=True)
-    counted = _swept(points, keys, period).filter("_id IS NOT NULL")
-    part = F.when(F.col("_closes"), F.col("_started")).otherwise(-F.col("_ended"))
-    group = ["_id"]
-    hits = F.sum("_part")
-    counted = counted.select("_id", "_own", "_row", part.alias("_part"))
+    counted = _swept(_edges(present, keys, start, end).unionByName(probes, allowMissingColumns=True), keys, period)
+    counted = counted.filter("_id IS NOT NULL").withColumn(
+        "_part", F.when(F.col("_real"), F.when(F.col("_closes"), F.col("_started")).otherwise(-F.col("_ended"))))
+    group, more = ["_id"], [] if flag is None else ["_flag"]
     if leave_out is not None:
         left_out = present.select(F.col(interval_id).cast("string").alias("_own"), F.struct(*keys, start, end).alias("_out"))
-        line = Window.partitionBy("_own").orderBy(F.col("_out").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        counted = (counted.unionByName(left_out, allowMissingColumns=True)
-                   .withColumn("_out", F.max("_out").over(line)).filter("_id IS NOT NULL"))
-        group = ["_own", "_id"]
-    whole = counted.groupBy(*group).agg(hits.alias("_hits"), F.any_value("_row", True).alias("_row"),
-                                        *([F.any_value("_out", True).alias("_out")] if leave_out else []))
-    found = F.col("_hits")
-    if leave_out is not None:
+        line = Window.partitionBy("_h", "_own").orderBy(F.col("_out").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        counted = (counted.select("_id", "_own", "_row", "_closes", "_part", *more).unionByName(left_out, allowMissingColumns=True)
+                   .withColumn("_h", F.xxhash64("_own")).withColumn("_out", F.max("_out").over(line)).filter("_id IS NOT NULL"))
         same = (F.col(f"_out.{start}") < F.col(f"_row.{end}")) & (F.col(f"_out.{end}") > F.col(f"_row.{start}"))
         for k in keys:
             same = same & (F.col(f"_out.{k}") == F.col(f"_row.{k}"))
-        found = found - F.when(same, 1).otherwise(0)
-    return whole.select("_row.*", F.when(F.col(f"_row.{start}") < F.col(f"_row.{end}"), found).alias("solapes"))
+        counted = counted.withColumn("_part", F.col("_part") - F.when(F.col("_closes") & same, 1).otherwise(0))
+        group = ["_h", "_own", "_id"]
+    return counted.groupBy(*group).agg(F.sum("_part").alias("solapes"), *(F.max(c).alias(flag) for c in more)).select(
+        F.col("_id").alias(id_column), "solapes", *([] if flag is None else [flag]))
 
 
 def count_mutual_overlaps(intervals: DataFrame, keys: Sequence[str], start: str, end: str, id_column: str,

@@ -43,10 +43,18 @@ def _whole(value: Column) -> Column:
 def _with_cells(rows: DataFrame) -> DataFrame:
     """``rows`` (k, s, e, ...) plus ``cells``, the cells of its employee that each slot touches.
 
-    Days are counted per employee; days in a row share a cell while they hold
-    few slots, and a day that holds too many is cut into equal minutes.
+    An employee with few slots is one cell.  Of the others days are counted;
+    days in a row share a cell while they hold few slots, and a day that holds
+    too many is cut into equal minutes.  ``rows`` is read several times.
     """
-    per_day = rows.select("*", F.explode(F.sequence(_whole(F.col("s") / _DAY), _whole((F.col("e") - 1) / _DAY))).alias("d"))
+    none = F.lit(-1).cast("long")
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("block"), none.alias("day"), none.alias("part")))
+    busy = rows.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > CELL).select("k")  # one in CELL rows at most
+    if busy.isEmpty():
+        return rows.withColumn("cells", whole)
+    calm = rows.join(busy, "k", "left_anti").withColumn("cells", whole)
+    hot = rows.join(busy, "k", "left_semi")
+    per_day = hot.select("*", F.explode(F.sequence(_whole(F.col("s") / _DAY), _whole((F.col("e") - 1) / _DAY))).alias("d"))
     before = F.sum("n").over(Window.partitionBy("k").orderBy("d").rowsBetween(Window.unboundedPreceding, -1))
     grid = per_day.groupBy("k", "d").agg(F.count("*").alias("n")).select(
         "k", "d", _whole(F.coalesce(before, F.lit(0)) / CELL).alias("block"),
@@ -54,10 +62,10 @@ def _with_cells(rows: DataFrame) -> DataFrame:
     placed = per_day.join(grid, ["k", "d"])
     opens, closes = F.greatest("s", F.col("d") * _DAY), F.least("e", (F.col("d") + 1) * _DAY)
     first, last = (_whole((x - F.col("d") * _DAY) / _MINUTE / F.col("width")) for x in (opens, closes - 1))
-    none = F.lit(-1).cast("long")
     cells = F.when(F.col("width").isNull(), F.array(F.struct("block", none.alias("day"), none.alias("part")))).otherwise(
         F.transform(F.sequence(first, last), lambda x: F.struct("block", F.col("d").alias("day"), x.alias("part"))))
-    return placed.groupBy(*rows.columns).agg(F.array_distinct(F.flatten(F.collect_list(cells))).alias("cells"))
+    cut = placed.groupBy(*rows.columns).agg(F.array_distinct(F.flatten(F.collect_list(cells))).alias("cells"))
+    return materialize(calm.unionByName(cut), "por-celda")
 
 
 class _Booking:
@@ -179,7 +187,7 @@ def decide_in_order(requests: DataFrame, key: str, start: str, end: str, order:
     rows = asked.filter("k IS NOT NULL")
     if held is not None:
         rows = rows.unionByName(plain(held.filter(F.col(key).isNotNull()), F.lit(None).cast(kinds["o"]), F.lit(None).cast(kinds["i"])))
-    rows = materialize(_with_cells(rows), "solicitudes-por-celda")
+    rows = _with_cells(materialize(rows, "en-orden"))
     left = rows.filter("i IS NOT NULL").count()
     decided: DataFrame | None = None
     verdict_type = f"i {kinds['i'].simpleString()}, cells int, verdict int"
