@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from turnero.llm.common import stored
 
 KEY = "surrogates-1"
+#: Draws after which an address may grow.
+FORM_KEPT = 8
 
 # Titles that announce a person's name, by gender, and names to draw from, by script and gender.
 TITLES = {"m": "Mr Herr Monsieur Señor Sr Господин Κύριος".split(),
@@ -43,7 +45,8 @@ _OCTET = "(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 # Kind -> pattern; where two could begin at a place the earlier one wins.
 PATTERNS = {
     "person": "(?<!\\p{L})" + _TITLE + "[ ]\\p{Lu}[\\p{L}'-]+(?:[ ]\\p{Lu}[\\p{L}'-]+){0,2}",
-    "email": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)*\\.[A-Za-z]{2,24}(?![A-Za-z0-9-])",
+    # A host name has up to 127 labels of up to 63 characters; without that bound the search recurses once per label.
+    "email": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}+\\.){1,126}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "secret": "(?<![A-Za-z0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,}"
               "|xox[abprs]-[A-Za-z0-9-]{10,})(?![A-Za-z0-9])|(?<=[=:] ?[\"'])[A-Za-z0-9+/_=-]{16,}(?=[\"'])",
     "iban": "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
@@ -111,15 +114,18 @@ def _letters(kind: str, canon: str, stream: str) -> str:
         return f"instr('0123456789abcdef', substr({stream}, {i} % 128 + 1, 1)) - 1"
 
     number = f"(({at('i')}) * 16 + {at('(i + 61)')})"
-    keep = (f"CASE {kind} WHEN 'phone' THEN i < 1 WHEN 'card' THEN i < 1 WHEN 'iban' THEN i < 2 "
-            f"WHEN 'email' THEN i >= length({canon}) - length(element_at(split({canon}, '[.]'), -1)) "
-            f"WHEN 'secret' THEN i < length(regexp_extract({canon}, '^(AKIA|gh[a-z]_|sk-|xox[a-z]-)?', 1)) ELSE false END")
+    # What holds for the whole entity is worked out once and bound to v: a step per character, however long it is.
+    head = (f"CASE {kind} WHEN 'phone' THEN 1 WHEN 'card' THEN 1 WHEN 'iban' THEN 2 "
+            f"WHEN 'secret' THEN length(regexp_extract({canon}, '^(AKIA|gh[a-z]_|sk-|xox[a-z]-)?', 1)) ELSE 0 END")
+    tail = f"length({canon}) - CASE WHEN {kind} = 'email' THEN length(element_at(split({canon}, '[.]'), -1)) ELSE 0 END"
     hexed = f"{kind} = 'secret' AND {canon} rlike '^([0-9a-f]+|[0-9A-F]+)$'"
-    return (f"array_join(transform(split({canon}, ''), (c, i) -> CASE WHEN {keep} THEN c "
-            f"WHEN {hexed} AND c rlike '[0-9a-fA-F]' THEN CASE WHEN {canon} rlike '[A-F]' THEN upper(substr({stream}, i % 128 + 1, 1)) ELSE substr({stream}, i % 128 + 1, 1) END "
+    once = f"named_struct('head', {head}, 'tail', {tail}, 'hexed', {hexed}, 'upper', {canon} rlike '[A-F]')"
+    walk = (f"array_join(transform(split({canon}, ''), (c, i) -> CASE WHEN i < v.head OR i >= v.tail THEN c "
+            f"WHEN v.hexed AND c rlike '[0-9a-fA-F]' THEN CASE WHEN v.upper THEN upper(substr({stream}, i % 128 + 1, 1)) ELSE substr({stream}, i % 128 + 1, 1) END "
             f"WHEN c between '0' and '9' THEN cast({number} % 10 as string) "
             f"WHEN c between 'a' and 'z' THEN substr('abcdefghijklmnopqrstuvwxyz', {number} % 26 + 1, 1) "
             f"WHEN c between 'A' and 'Z' THEN substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ', {number} % 26 + 1, 1) ELSE c END), '')")
+    return f"element_at(transform(array({once}), v -> {walk}), 1)"
 
 
 def _luhn(number: str) -> str:
@@ -133,7 +139,9 @@ def surrogate_of(kind: str, canon: str, attempt: str, key: str) -> str:
     seed = f"concat({quoted(key)}, '|', {kind}, '|', {canon}, '|', {attempt}, '|'"
     drawn, stream = f"concat(sha2({seed}, '0'), 256), sha2({seed}, '1'), 256))", "stream"  # drawn once, bound by the outer lambda
     octets = ", ".join(f"cast(1 + cast(conv(substr({stream}, {1 + 4 * k}, 4), 16, 10) as int) % 254 as string)" for k in range(4))
-    letters = _letters(kind, canon, stream)
+    # An address whose form has few others gets a longer local part after some draws.
+    longer = f"concat(translate(substr({stream}, 100, 12), '0123456789', 'ghijklmnop'), {_letters(kind, canon, stream)})"
+    letters = f"CASE WHEN {kind} = 'email' AND {attempt} > {FORM_KEPT} THEN {longer} ELSE {_letters(kind, canon, stream)} END"
     # A card that satisfies the checksum gets a last digit that satisfies it too.
     body = "substr(x, 1, length(x) - 1)"
     summed = _luhn(f"concat({body}, '0')")
@@ -179,7 +187,8 @@ def distinct_surrogates(found: DataFrame, key: str = KEY, rounds: int = 64) -> D
 
     ``found`` has one row per distinct entity.  Of several entities with one
     surrogate the smallest canonical form keeps it; a surrogate that is itself
-    an entity of the corpus is refused.
+    an entity of the corpus is refused.  Entities of a form that has too few
+    others are an error, never a silent collision; addresses get a longer one.
     """
     draw = lambda rows, n: rows.withColumn("surrogate", F.expr(surrogate_of("kind", "canon", f"{n}", key)))
     real = found.select(F.col("kind").alias("k"), F.col("canon").alias("real"))
@@ -209,6 +218,8 @@ def distinct_surrogates(found: DataFrame, key: str = KEY, rounds: int = 64) -> D
         again = stored(losers(current), "surrogates")
         won = drawn.join(again, ["kind", "canon"], "left_anti")
         settled = won if settled is None else settled.unionByName(won)
+    if not again.isEmpty():
+        raise ValueError(f"{again.count()} entities have no surrogate of their form that differs from all others after {rounds} draws")
     if settled is None:
         settled = draw(again, 0).select("kind", "canon", "surrogate")
     return stored(settled, "surrogates")
@@ -218,11 +229,14 @@ def replace(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
     """``docs`` with surrogates in ``text`` and two more columns: ``n_entities`` and ``entity_kinds``.
 
     Null texts stay null with no entities, texts without entities stay as they
-    are; repeated rows give repeated rows; all other columns are kept; an empty
-    table gives no rows.  The whole text is searched.  An entity has the same
+    are; repeated rows give repeated rows; all other columns are kept, but for
+    earlier ones of the two names, which are replaced; an empty table gives no rows.  The whole text is searched.  An entity has the same
     surrogate wherever it occurs; different entities have different ones.
     """
     body = F.col(text)
+    p = "_"  # begins the names of the columns made here, and no other
+    while any(c.lower().startswith(p) for c in docs.columns):
+        p += "_"
     # A filter on the entities would find them twice; texts without any are few behind may_hold.
     found = stored(docs.where(may_hold(text)).select(F.xxhash64(body).alias("text_hash"), entities(text).alias("entities")), "entities")
     listed = found.select("text_hash", F.explode("entities").alias("x")).select("text_hash", "x.kind", "x.canon")
@@ -231,17 +245,18 @@ def replace(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
     # Texts that hold an entity which drew again, with its surrogate; few, and joined by their stored size.
     own = stored(listed.distinct().join(redrawn, ["kind", "canon"]).groupBy("text_hash").agg(F.map_from_entries(F.collect_list(
         F.struct(F.concat_ws("|", "kind", "canon").alias("k"), F.col("surrogate").alias("v")))).alias("redrawn")), "redrawn")
-    marked = docs.withColumn("_hash", F.xxhash64(body)).join(own, F.col("_hash") == F.col("text_hash"), "left")
+    own = own.select(F.col("text_hash").alias(f"{p}of"), F.col("redrawn").alias(f"{p}redrawn"))
+    marked = docs.withColumn(f"{p}hash", F.xxhash64(body)).join(own, F.col(f"{p}hash") == F.col(f"{p}of"), "left")
     none = F.array().cast("array<struct<e:string,kind:string,canon:string>>")
-    marked = marked.withColumn("_may", may_hold(text)).withColumn("_found", F.when(F.col("_may"), entities(text)).otherwise(none))
-    mine = f"coalesce(element_at(redrawn, concat(x.kind, '|', x.canon)), {surrogate_of('x.kind', 'x.canon', '0', key)})"
-    drawn = F.expr(f"transform(_found, x -> named_struct('e', x.e, 'kind', x.kind, 's', {mine}))")
-    marked = marked.withColumn("_drawn", drawn)
-    new = F.expr(f"transform(_drawn, x -> {rendered('x.kind', 'x.e', 'x.s')})")
+    marked = marked.withColumn(f"{p}may", may_hold(text)).withColumn(f"{p}found", F.when(F.col(f"{p}may"), entities(text)).otherwise(none))
+    mine = f"coalesce(element_at({p}redrawn, concat(x.kind, '|', x.canon)), {surrogate_of('x.kind', 'x.canon', '0', key)})"
+    drawn = F.expr(f"transform({p}found, x -> named_struct('e', x.e, 'kind', x.kind, 's', {mine}))")
+    marked = marked.withColumn(f"{p}drawn", drawn)
+    new = F.expr(f"transform({p}drawn, x -> {rendered('x.kind', 'x.e', 'x.s')})")
     gaps = F.split(body, PATTERN, -1)
-    whole = F.array_join(F.zip_with(gaps, F.col("_new"), lambda g, s: F.concat(g, F.coalesce(s, F.lit("")))), "")
-    return (marked.withColumn("_new", new)
-            .withColumn(text, F.when(F.size("_found") > 0, whole).otherwise(body))
-            .withColumn("n_entities", F.coalesce(F.size("_found"), F.lit(0)).cast("bigint"))
-            .withColumn("entity_kinds", F.coalesce(F.array_sort(F.array_distinct(F.expr("transform(_found, x -> x.kind)"))), F.array().cast("array<string>")))
-            .select(*docs.columns, "n_entities", "entity_kinds"))
+    whole = F.array_join(F.zip_with(gaps, F.col(f"{p}new"), lambda g, s: F.concat(g, F.coalesce(s, F.lit("")))), "")
+    kinds = F.array_sort(F.array_distinct(F.expr(f"transform({p}found, x -> x.kind)")))
+    made = {"n_entities": F.coalesce(F.size(f"{p}found"), F.lit(0)).cast("bigint"),
+            "entity_kinds": F.coalesce(kinds, F.array().cast("array<string>"))}
+    kept = [F.when(F.size(f"{p}found") > 0, whole).otherwise(body).alias(c) if c == text else F.col(c) for c in docs.columns if c not in made]
+    return marked.withColumn(f"{p}new", new).select(*kept, *(value.alias(name) for name, value in made.items()))
