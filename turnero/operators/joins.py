@@ -12,6 +12,8 @@ from turnero.operators.lists import Ids, active_bookings, pick
 from turnero.operators.overlap import count_mutual_overlaps, count_overlaps, overlapping_pairs
 
 
+PARTES = 8  # tasks that an account's tokens are dealt over
+
 # accounts -------------------------------------------------------------------
 
 def _with_profiles(usuarios: DataFrame, clientes: DataFrame, proveedores: DataFrame, admins: DataFrame) -> DataFrame:
@@ -49,6 +51,19 @@ def login_lookup(usuarios, clientes, proveedores, admins, emails: Ids) -> DataFr
                        "intentos_fallidos", "bloqueado_hasta", F.col("_nombre").alias("nombre_display"))
 
 
+def _left_join_spread(rows: DataFrame, tokens: DataFrame, token_id: str, parts: int = PARTES) -> DataFrame:
+    """``rows`` left-joined with ``tokens`` on id_usuario, an account's tokens dealt over ``parts`` tasks.
+
+    A left join cannot be split on its right side, so accounts with tokens are
+    joined part by part and those without are added.
+    """
+    part = F.pmod(F.xxhash64(token_id), F.lit(parts)).cast("int")
+    every = rows.withColumn("_parte", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    matched = every.join(tokens.withColumn("_parte", part), ["id_usuario", "_parte"]).drop("_parte")
+    without = rows.join(tokens.select("id_usuario").distinct(), "id_usuario", "left_anti")
+    return matched.unionByName(without, allowMissingColumns=True)
+
+
 def tokens_activos(usuarios, refresh, reset, verification, as_of: Instant = None) -> DataFrame:
     """Accounts with their live tokens; refresh and reset tokens multiply, users without any stay."""
     now = instant(as_of)
@@ -58,10 +73,12 @@ def tokens_activos(usuarios, refresh, reset, verification, as_of: Instant = None
         return tokens.filter(alive).select("id_usuario", F.col("id_token").alias(f"{prefix}_token_id"),
                                            F.col("fecha_expiracion").alias(f"{prefix}_expiracion"))
 
-    return (usuarios.select("id_usuario", "email")
-            .join(live(refresh, "revocado", "refresh"), "id_usuario", "left")
-            .join(live(reset, "usado", "reset"), "id_usuario", "left")
-            .join(live(verification, "usado", "verification"), "id_usuario", "left"))
+    # An account has one verification token at most, and any number of the others.
+    rows = usuarios.select("id_usuario", "email").join(live(verification, "usado", "verification"), "id_usuario", "left")
+    rows = _left_join_spread(rows, live(reset, "usado", "reset"), "reset_token_id")
+    rows = _left_join_spread(rows, live(refresh, "revocado", "refresh"), "refresh_token_id")
+    return rows.select("id_usuario", "email", *(f"{prefix}_{c}" for prefix in ("refresh", "reset", "verification")
+                                                for c in ("token_id", "expiracion")))
 
 
 def admins_activos(admins: DataFrame, usuarios: DataFrame) -> DataFrame:

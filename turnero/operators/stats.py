@@ -202,9 +202,7 @@ def empleados_por_proveedor(empleados: DataFrame, asignaciones: DataFrame, id_pr
 
 # storage profile ------------------------------------------------------------
 
-# Row-store page model (bytes).
-PAGINA = 8192
-PAGINA_UTIL = 8092
+# Bytes of a record beside its columns.
 CABECERA_FILA = 23
 PUNTERO = 4
 
@@ -225,7 +223,7 @@ def declared_bytes(table: str) -> int:
 
 
 def table_volume_profile(rows: DataFrame, table: str) -> DataFrame:
-    """One row: rows, record bytes, rows per page, pages and bytes of a real table."""
+    """One row: rows, average and largest record, and bytes in all of a real table."""
     texts = [c.name for c in TABLES[table].columns if KINDS[c.kind].width is None]
     length = F.lit(0).cast("long")
     for name in texts:
@@ -236,10 +234,7 @@ def table_volume_profile(rows: DataFrame, table: str) -> DataFrame:
     sized = measured.select(
         F.lit(table).alias("tabla"), "filas", (base + F.col("v_avg")).alias("registro_promedio"),
         (base + F.col("v_max")).cast("long").alias("registro_maximo"))
-    per_page = F.floor(F.lit(float(PAGINA_UTIL)) / (F.col("registro_promedio") + PUNTERO))
-    paged = sized.withColumn("filas_por_pagina", per_page)
-    pages = F.coalesce(F.ceil(F.col("filas").cast("double") / F.col("filas_por_pagina")), F.lit(0))
-    return paged.withColumn("paginas", pages).withColumn("bytes", F.col("paginas") * PAGINA)
+    return sized.withColumn("bytes", F.round(F.coalesce(F.col("filas") * F.col("registro_promedio"), F.lit(0.0))).cast("long"))
 
 
 def volume_profile(tables: dict[str, DataFrame]) -> DataFrame:

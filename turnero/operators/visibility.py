@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnero.functions.clock import Instant, instant, shifted
+from turnero.session import materialize
 from turnero.sources.schemas import TABLES
 from turnero.sources.tables import literal_rows
 
@@ -137,40 +138,45 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return result
 
 
-def _owned(rows: DataFrame, table: str) -> DataFrame:
-    """(tabla, uid) per row and distinct owner, of the rows the public does not see."""
-    rule = READ_RULES[table]
-    hidden = rows.filter(~F.col(rule.public)) if rule.public else rows
-    owner = F.col(rule.owners[0])
-    if len(rule.owners) > 1:
-        owner = F.explode(F.array_distinct(F.array(*rule.owners)))
-    return hidden.select(F.lit(table).alias("tabla"), owner.alias("uid")).filter("uid IS NOT NULL")
-
+def _counted(tables: dict[str, DataFrame]) -> DataFrame:
+    """(tabla, uid, total, publicas, propias), from one pass over each table.
 
-def _owner_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """(tabla, uid, propias): what each owner sees beyond the public rows."""
-    direct = [n for n in tables if READ_RULES[n].owners and not READ_RULES[n].through_employee]
+    The row with NULL uid has the table's total and public rows; the others what
+    each owner sees beyond the public ones.
+    """
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+
+    def per_row(name: str, rows: DataFrame) -> DataFrame:
+        rule = READ_RULES[name]
+        public = F.coalesce(F.col(rule.public), F.lit(False)) if rule.public else F.lit(False)
+        owners = ["id_empleado"] if rule.through_employee else [o for o in rule.owners if o != PARENT_OWNER]
+        total = F.struct(F.lit(None).cast("string").alias("uid"), one.alias("total"),
+                         public.cast("long").alias("publicas"), none.alias("propias"))
+        counts = F.array(total)
+        if owners:
+            owned = F.filter(F.array_distinct(F.array(*owners)), lambda o: o.isNotNull() & ~public)
+            counts = F.concat(counts, F.transform(owned, lambda o: F.struct(
+                o.alias("uid"), none.alias("total"), none.alias("publicas"), one.alias("propias"))))
+        return rows.select(F.lit(name).alias("tabla"), F.inline(counts))
+
+    sums = [F.sum(c).alias(c) for c in ("total", "publicas", "propias")]
+    counted = _union([per_row(n, rows) for n, rows in tables.items()]).groupBy("tabla", "uid").agg(*sums)
     child = [n for n in tables if READ_RULES[n].through_employee]
-    counts = [_union([_owned(tables[n], n) for n in direct]).groupBy("tabla", "uid").agg(
-        F.count("*").alias("propias"))]
-    if child:
-        # Rows are counted per employee first, so the join meets one row per employee and table.
-        rows = _union([tables[n].select(F.lit(n).alias("tabla"), "id_empleado") for n in child])
-        staff = tables["empleado"].select("id_empleado", F.col("id_proveedor").alias("uid"))
-        per_employee = rows.groupBy("tabla", "id_empleado").agg(F.count("*").alias("n"))
-        counts.append(per_employee.join(staff, "id_empleado").groupBy("tabla", "uid").agg(
-            F.sum("n").alias("propias")))
-    return _union(counts)
+    if not child:
+        return counted
+    # Rows are counted per employee first, so the join meets one row per employee and table.
+    staff = tables["empleado"].select(F.col("id_empleado").alias("uid"), F.col("id_proveedor").alias("dueno"))
+    through = F.col("tabla").isin(*child) & F.col("uid").isNotNull()
+    passed = counted.join(staff, "uid", "left").withColumn("uid", F.when(through, F.col("dueno")).otherwise(F.col("uid")))
+    kept = passed.filter((F.col("total") > 0) | F.col("uid").isNotNull())
+    return kept.groupBy("tabla", "uid").agg(*sums)
 
 
 def access_matrix(tables: dict[str, DataFrame], people: DataFrame) -> DataFrame:
     """(uid, tabla, visibles) for every principal, anonymous included as NULL uid."""
-    flags = []
-    for name, rows in tables.items():
-        public = READ_RULES[name].public
-        flag = F.col(public) if public else F.lit(False)
-        flags.append(rows.select(F.lit(name).alias("tabla"), flag.alias("p")))
-    counted = _union(flags).groupBy("tabla").agg(F.count("*").alias("total"), F.count_if("p").alias("publicas"))
+    both = materialize(_counted(tables), "matriz")  # read twice below
+    counted = both.filter("uid IS NULL").select("tabla", "total", "publicas")
+    owned = both.filter("uid IS NOT NULL").select("tabla", "uid", "propias")
     # an empty table still has its row
     names = literal_rows(people.sparkSession, "tabla string", [(name,) for name in tables])
     totals = names.join(counted, "tabla", "left").fillna(0, ["total", "publicas"])
@@ -182,7 +188,7 @@ def access_matrix(tables: dict[str, DataFrame], people: DataFrame) -> DataFrame:
     role_tables = F.create_map(*(item for role, names in seen_by for item in (F.lit(role), names)))
     asked = everyone.select("uid", "role", F.explode(F.array(*(F.lit(t) for t in tables))).alias("tabla"))
     # totals has one row per table, so it is always small enough to broadcast
-    joined = asked.join(F.broadcast(totals), "tabla").join(_owner_counts(tables), ["tabla", "uid"], "left")
+    joined = asked.join(F.broadcast(totals), "tabla").join(owned, ["tabla", "uid"], "left")
     sees_all = F.coalesce(F.array_contains(F.element_at(role_tables, F.col("role")), F.col("tabla")), F.lit(False))
     seen = F.when(sees_all, F.col("total")).otherwise(F.col("publicas") + F.coalesce("propias", F.lit(0)))
     return joined.select("uid", "tabla", seen.alias("visibles"))

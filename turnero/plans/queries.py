@@ -385,7 +385,8 @@ writes("categoria_servicio", req.cambios_categoria, AS_OF_BOOKING)
 writes("bloqueo_horario", req.cambios_bloqueo, AS_OF_BOOKING)
 writes("intento_login", req.cambios_intento, "2024-04-15 00:00:00")
 add("r13_role_predicates", lambda m: visibility.role_predicates(visibility.principals(m.auth_users)))
-add("r14_access_matrix", lambda m: visibility.access_matrix(m.tables(), visibility.principals(m.auth_users)))
+add("r14_access_matrix", lambda m: visibility.access_matrix(
+    m.tables() | {"registro_auditoria": _audit(m)}, visibility.principals(m.auth_users)))
 
 
 # streams --------------------------------------------------------------------
