@@ -76,14 +76,14 @@ def check_all_rows(tables: dict[str, DataFrame]) -> DataFrame:
 def check_unique(tables: dict[str, DataFrame]) -> DataFrame:
     """Values of a primary key or UNIQUE column that occur more than once (``clave`` is the value).
 
-    All columns of all tables are counted in one aggregation, combined before
-    the shuffle.
+    One pass over each table, and one aggregation, combined before the shuffle.
     """
     values = []
     for name, rows in tables.items():
         spec = TABLES[name]
-        for column in (spec.key, *(c for c in spec.unique if c != spec.key)):
-            values.append(_report(rows.filter(F.col(column).isNotNull()), name, f"{column}_unico", column))
+        columns = [spec.key, *(c for c in spec.unique if c != spec.key)]
+        pairs = F.array(*(F.struct(F.lit(f"{c}_unico").alias("regla"), F.col(c).cast("string").alias("clave")) for c in columns))
+        values.append(rows.select(F.lit(name).alias("tabla"), F.inline(pairs)).filter("clave IS NOT NULL"))
     counted = _union(values).groupBy("tabla", "regla", "clave").agg(F.count("*").alias("n"))
     return counted.filter("n > 1").drop("n")
 

@@ -319,7 +319,8 @@ def _(m: Marketplace) -> DataFrame:
 # quality --------------------------------------------------------------------
 
 add("v1_check_rows", lambda m: quality.check_all_rows(req.tablas_defectuosas(m)))
-add("v2_check_unique", lambda m: quality.check_unique({**m.tables(), "reserva": m.reserva_sin_depurar}))
+add("v2_check_unique", lambda m: quality.check_unique({
+    **m.tables(), "reserva": m.reserva_sin_depurar, "usuario": req.usuario_repetido(m), "token_refresh": req.token_repetido(m)}))
 
 
 @plan("v3_check_foreign_keys")

@@ -95,6 +95,18 @@ def usuarios_editados(m: Marketplace) -> DataFrame:
         "estado": F.when(F.col("estado") == "BLOQUEADO", "ACTIVO").otherwise(F.col("estado"))})
 
 
+def usuario_repetido(m: Marketplace) -> DataFrame:
+    """Accounts of which the inactive share e-mail addresses."""
+    shared = F.concat(F.substring("id_usuario", 1, 2), F.lit("@example.test"))
+    return m.usuario.withColumn("email", F.when(F.col("estado") == "INACTIVO", shared).otherwise(F.col("email")))
+
+
+def token_repetido(m: Marketplace) -> DataFrame:
+    """Refresh tokens of which an account's revoked ones are the same."""
+    shared = F.concat(F.lit("T-"), "id_usuario")
+    return m.token_refresh.withColumn("token", F.when(F.col("revocado"), shared).otherwise(F.col("token")))
+
+
 def usuarios_con_estado(m: Marketplace, estado: str) -> DataFrame:
     return _numbered(m.usuario.filter(F.col("estado") == estado).select("id_usuario"), "id_usuario")
 
