@@ -125,16 +125,21 @@ def test_one_account_with_most_tokens_spreads_over_tasks(spark, make):
     """200,000 refresh tokens of one account are joined in several tasks; accounts without tokens stay."""
     one = make("token_refresh", [{"id_token": "t", "id_usuario": "hot", "revocado": False, "fecha_creacion": at("2026-01-01"),
                                   "fecha_expiracion": at("2027-01-01")}])
-    many = one.drop("id_token").crossJoin(spark.range(200_000).select(F.col("id").cast("string").alias("id_token"))).select(*one.columns)
+    ids = spark.range(200_000, numPartitions=8).select(F.col("id").cast("string").alias("id_token"))
+    many = ids.crossJoin(F.broadcast(one.drop("id_token"))).select(*one.columns)
     users = make("usuario", [{"id_usuario": u, "email": u} for u in ("hot", "none")])
     reset = make("token_reset_password", [{"id_token": f"w{i}", "id_usuario": "hot", "usado": False, "fecha_creacion": at("2026-01-01"),
                                            "fecha_expiracion": at("2027-01-01")} for i in range(2)])
-    setting = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(setting, "false")
+    # As with data too large to broadcast or to put together.
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         rows = joins.tokens_activos(users, many, reset, make("email_verification_token", []), "2026-06-01")
         parts = rows.filter("id_usuario = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
-        spark.conf.set(setting, "true")
+        for name, value in before.items():
+            spark.conf.set(name, value)
     assert sum(r["count"] for r in parts) == 400_000 and max(r["count"] for r in parts) <= 250_000 and len(parts) >= 3
     assert rows.filter("id_usuario = 'none'").collect()[0][2:] == (None,) * 6
