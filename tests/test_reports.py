@@ -143,3 +143,9 @@ def test_one_account_with_most_tokens_spreads_over_tasks(spark, make):
             spark.conf.set(name, value)
     assert sum(r["count"] for r in parts) == 400_000 and max(r["count"] for r in parts) <= 250_000 and len(parts) >= 3
     assert rows.filter("id_usuario = 'none'").collect()[0][2:] == (None,) * 6
+
+
+def test_volume_profile_has_rows_per_page_and_pages(make):
+    profile = stats.table_volume_profile(make("usuario", [{"id_usuario": f"u{i}", "email": "x" * 50} for i in range(100)]), "usuario").first()
+    per_page = int(8092 // (profile.registro_promedio + 4))
+    assert (profile.filas_por_pagina, profile.paginas, profile.bytes) == (per_page, -(-100 // per_page), -(-100 // per_page) * 8192)
