@@ -419,7 +419,12 @@ def _(m: Marketplace) -> DataFrame:
     sink = shared_dir(m.spark, "t2-sink")
     monitor = streams.failed_login_monitor(_logins(m), "24 hours", "6 hours", minimo=3)
     streams.run_windows(monitor, sink, shared_dir(m.spark, "t2-checkpoint"))
-    return streams.newest_windows(m.spark, sink, monitor.schema, ["inicio", "fin", "id_usuario"])
+    windows = streams.newest_windows(m.spark, sink, monitor.schema, ["inicio", "fin", "id_usuario"])
+    each = shared_dir(m.spark, "t2-ips")
+    addresses = streams.failed_login_addresses(_logins(m), "24 hours", "6 hours")
+    streams.run_windows(addresses, each, shared_dir(m.spark, "t2-checkpoint"))
+    return streams.with_addresses(windows, streams.newest_windows(
+        m.spark, each, addresses.schema, ["inicio", "fin", "id_usuario", "direccion_ip"]))
 
 
 @plan("t2_failed_login_addresses")

@@ -119,6 +119,20 @@ def failed_login_addresses(intentos: DataFrame, ventana: str = "1 hour", paso: s
                           "id_usuario", "direccion_ip", "fallos")
 
 
+def with_addresses(ventanas: DataFrame, direcciones: DataFrame) -> DataFrame:
+    """Windows of ``failed_login_monitor`` with all their addresses as text ``ips``, and ``direcciones`` counted exactly.
+
+    Both frames come from streams over the same windows; the addresses meet
+    only here, so that no stream keeps a list as state.
+    """
+    keys = ["inicio", "fin", "id_usuario"]
+    both = ventanas.select(*keys, "fallos", "ultimo").unionByName(direcciones.select(*keys, "direccion_ip"), allowMissingColumns=True)
+    listed = both.groupBy(*keys).agg(F.max("fallos").alias("fallos"), F.max("ultimo").alias("ultimo"),
+                                     F.array_sort(F.collect_set("direccion_ip")).alias("_ips")).filter("fallos IS NOT NULL")
+    return listed.select(*keys, "fallos", "ultimo", F.when(F.size("_ips") > 0, F.array_join("_ips", ", ")).alias("ips"),
+                         F.size("_ips").cast("bigint").alias("direcciones"))
+
+
 def hourly_bookings(reservas: DataFrame, ventana: str = "1 hour", tardanza: str = "1 hour") -> DataFrame:
     """Bookings created per hour, provider and state: (inicio, id_proveedor, estado, reservas)."""
     timed = reservas.select("id_proveedor", "estado", event_time(F.col("fecha_creacion")).alias("_t"))
