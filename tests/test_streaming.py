@@ -149,3 +149,37 @@ def test_windows_keep_the_last_state_over_triggers(spark, make):
     streams.run_windows(hourly, sink, shared_dir(spark, "checkpoint"))
     last = streams.newest_windows(spark, sink, hourly.schema, ["inicio", "id_proveedor", "estado"])
     assert rows(last) == [(at("2026-06-01 10:00"), "p", "PENDIENTE", 5), (at("2026-06-01 11:00"), "p", "PENDIENTE", 1)]
+
+
+def test_every_address_of_a_window_is_in_its_list(spark, make):
+    """The list is made of rows, so it is whole however long, and the count beside it is exact."""
+    log = make("intento_login", [{"id_intento": f"i{i}", "id_usuario": u, "exitoso": False, "direccion_ip": u and f"10.0.{i // 250}.{i % 250}",
+                                  "fecha_hora": at("2026-06-01 11:30")} for u, n in (("u", 1500), (None, 4), ("pocos", 2)) for i in range(n)])
+    feed, sink, each = files(spark, [log], "logins"), shared_dir(spark, "sink"), shared_dir(spark, "sink")
+    stream = streams.read_parquet_stream(spark, feed, log.schema)
+    monitor = streams.failed_login_monitor(stream, "1 hour", "1 hour", minimo=3)
+    streams.run_windows(monitor, sink, shared_dir(spark, "checkpoint"))
+    listed = streams.failed_login_addresses(stream, "1 hour", "1 hour")
+    streams.run_windows(listed, each, shared_dir(spark, "checkpoint"))
+    keys = ["inicio", "fin", "id_usuario"]
+    got = {r.id_usuario: r for r in streams.with_addresses(
+        streams.newest_windows(spark, sink, monitor.schema, keys),
+        streams.newest_windows(spark, each, listed.schema, [*keys, "direccion_ip"])).collect()}
+    assert set(got) == {"u", None} and got["u"].direcciones == 1500
+    assert got["u"].ips == ", ".join(sorted(f"10.0.{i // 250}.{i % 250}" for i in range(1500)))
+    assert (got[None].fallos, got[None].ips, got[None].direcciones) == (4, None, 0)
+
+
+def test_expiry_is_decided_in_spark_to_the_microsecond(spark, capsys):
+    schema = "tabla string, id string, momento timestamp_ntz, vence timestamp_ntz, gastada boolean"
+    rows_ = [("t", "a/b", at("2026-01-01"), at("2026-01-05 00:00:00.000100"), False),
+             ("t", "justo", at("2026-01-01"), at("2026-01-05 00:00:00.000200"), False),
+             ("t", "reloj", at("2026-01-05 00:00:00.000200"), at("2026-02-01"), False)]
+    one = spark.createDataFrame(rows_, schema)
+    path, sink = files(spark, [one], "feed"), shared_dir(spark, "sink")
+    stream = streams.expiry_stream(streams.read_parquet_stream(spark, path, one.schema))
+    capsys.readouterr()
+    stream.explain()
+    assert "InPandas" not in capsys.readouterr().out
+    streams.run_expiry(stream, sink, shared_dir(spark, "checkpoint"))
+    assert {r.id: r.eliminada for r in streams.expiry_outcome(spark, sink).collect()} == {"a/b": True, "justo": False, "reloj": False}

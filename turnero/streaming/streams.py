@@ -8,15 +8,13 @@ too; ``newest_windows`` reads the last state of each.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from turnero.operators.changes import audit_rows
 from turnero.operators.stats import MINIMO_FALLOS
@@ -269,63 +267,59 @@ def expiry_feed(tabla: str, rows: DataFrame, id_column: str, moment: str, expire
                        expires.alias("vence"), used.alias("gastada"))
 
 
-def expiry_stream(feed: DataFrame, tardanza: str = "0 seconds") -> DataFrame:
-    """What becomes of every row of a retention feed: (tabla, id, accion, vence), RETENIDA and later ELIMINADA.
+def expiry_stream(feed: DataFrame) -> DataFrame:
+    """A retention feed without rows that have no id, ready for ``run_expiry``."""
+    return feed.filter("id IS NOT NULL").select("tabla", "id", "momento", "vence", "gastada")
 
-    The stream keeps each row's expiry as state under (tabla, id) with a timer.
-    Event time is the feed's clock: once it has passed the expiry by
-    ``tardanza``, or as soon as a row comes that is spent or past its expiry,
-    the row goes.  A newer row of the same id replaces the older; one that is
-    gone stays gone.  Rows without expiry stay until they are spent.
+
+_ESTADO_RETENCION = T.StructType([T.StructField("clave", T.StringType()), T.StructField("vence", T.TimestampNTZType()),
+                                  T.StructField("ida", T.BooleanType())])
+
+
+def expiry_step(spark: SparkSession, sink: str, state: str, tardanza: str = "0 seconds") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` step that says what becomes of every row: (tabla, id, accion, vence), RETENIDA and later ELIMINADA.
+
+    The expiry of each row is kept under (tabla, id) in a ``ChangeLog``.  The
+    feed's clock is its newest ``momento``: once it has passed the expiry by
+    ``tardanza``, or as soon as a row comes that is spent, the row goes.  A newer
+    row of the same id replaces the older; one that is gone stays gone.  Rows
+    without expiry stay until they are spent.
     """
-    out = "tabla string, id string, accion string, vence timestamp_ntz"
-
-    def keep(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        tabla, row_id = key
-        if state.hasTimedOut:
-            vence = state.get[0]
-            state.update((None, True))  # gone, and remembered as gone
-            yield pd.DataFrame([(tabla, row_id, ELIMINADA, pd.Timestamp(vence, unit="us"))], columns=["tabla", "id", "accion", "vence"])
-            return
-        known = state.get if state.exists else None
-        if known is not None and known[1]:
-            for _ in frames:
-                pass
-            return
-        rows = pd.concat(list(frames))  # the rows of one id
-        spent = bool(rows["gastada"].any())
-        last = rows.sort_values("momento").iloc[-1]
-        vence = None if pd.isna(last["vence_us"]) else int(last["vence_us"])
-        made, clock = [] if known is not None else [RETENIDA], state.getCurrentWatermarkMs()
-        if known is not None and known[0] is not None and -(-known[0] // 1000) < clock:
-            vence = known[0]  # its time had come before these rows did
-        gone = spent or (vence is not None and -(-vence // 1000) < clock)
-        if gone:
-            made.append(ELIMINADA)
-            state.update((vence, True))
-        else:
-            state.update((vence, False))
-            if vence is not None:
-                state.setTimeoutTimestamp(-(-vence // 1000))
-        when = pd.NaT if vence is None else pd.Timestamp(vence, unit="us")
-        if made:
-            yield pd.DataFrame([(tabla, row_id, m, when) for m in made], columns=["tabla", "id", "accion", "vence"])
-
-    timed = feed.filter("id IS NOT NULL").select(
-        "tabla", "id", event_time(F.col("momento")).alias("momento"), F.unix_micros(event_time(F.col("vence"))).alias("vence_us"), "gastada")
-    kept = timed.withWatermark("momento", tardanza).groupBy("tabla", "id").applyInPandasWithState(
-        keep, out, "vence bigint, ida boolean", "append", GroupStateTimeout.EventTimeTimeout)
-    return kept
-
-
-def run_expiry(stream: DataFrame, sink: str, checkpoint: str) -> None:
-    """Process what is available of an ``expiry_stream``, then stop; a batch writes under its id, again on replay."""
+    def clock(batch_id: int) -> Any:
+        return spark.read.schema("reloj timestamp_ntz").parquet(f"{state}/reloj/batch={batch_id}").first()[0]
+
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        log = ChangeLog(spark, f"{state}/filas", "clave", _ESTADO_RETENCION, buckets=64)
+        if batch_id == 0:
+            ChangeLog.create(spark.createDataFrame([], _ESTADO_RETENCION), log.root, log.key, log.buckets)
+            spark.createDataFrame([(None,)], "reloj timestamp_ntz").write.mode("overwrite").parquet(f"{state}/reloj/batch=-1")
+        # A row without moment counts as the newest.
+        newest = F.max(F.struct(F.col("momento").isNull(), "momento", "vence"))
+        came = materialize(batch.groupBy("tabla", "id").agg(
+            newest.alias("_n"), F.max("gastada").alias("gastada"), F.max("momento").alias("momento")).select(
+            F.concat_ws("/", "tabla", "id").alias("clave"), "tabla", "id", F.col("_n.vence").alias("nueva"), "gastada", "momento"), "llegadas")
+        passed = came.agg((F.max("momento") - F.expr(f"INTERVAL {tardanza}")).alias("m")).select(
+            F.greatest("m", F.lit(clock(batch_id - 1)).cast("timestamp_ntz")).alias("reloj"))
+        passed.write.mode("overwrite").parquet(f"{state}/reloj/batch={batch_id}")
+        now = F.lit(clock(batch_id)).cast("timestamp_ntz")
+        held = log.rows(log.layout(batch_id - 1)).filter("clave IS NOT NULL")
+        both = held.withColumn("_held", F.lit(True)).join(came.withColumn("_came", F.lit(True)), "clave", "full")
+        both = both.filter("NOT coalesce(ida, FALSE)").withColumn("vence", F.when(F.col("_came"), F.col("nueva")).otherwise(F.col("vence")))
+        both = both.withColumn("ida", F.coalesce("gastada", F.lit(False)) | F.coalesce(F.col("vence") < now, F.lit(False)))
+        changed = materialize(both.filter("_came OR ida").select(
+            "clave", F.coalesce("tabla", F.substring_index("clave", "/", 1)).alias("tabla"),
+            F.coalesce("id", F.expr("substr(clave, instr(clave, '/') + 1)")).alias("id"), "vence", "ida",
+            F.col("_held").isNull().alias("_nueva")), "cambiadas")
+        log.commit(changed.select("clave", "vence", "ida"), batch_id)
+        told = F.concat(F.when(F.col("_nueva"), F.array(F.lit(RETENIDA))).otherwise(F.array().cast("array<string>")),
+                        F.when(F.col("ida"), F.array(F.lit(ELIMINADA))).otherwise(F.array().cast("array<string>")))
+        changed.select("tabla", "id", F.explode(told).alias("accion"), "vence").write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+    return step
 
-    query = (stream.writeStream.outputMode("append").foreachBatch(step).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+
+def run_expiry(stream: DataFrame, sink: str, checkpoint: str, tardanza: str = "0 seconds") -> None:
+    """Process what is available of an ``expiry_stream``, then stop; a batch writes under its id, again on replay."""
+    run_batches(stream, expiry_step(stream.sparkSession, sink, f"{checkpoint}-estado", tardanza), checkpoint)
 
 
 def expiry_outcome(spark: SparkSession, sink: str) -> DataFrame:
