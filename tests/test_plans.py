@@ -10,6 +10,7 @@ from tests.conftest import SF
 from turnero.functions import sql
 from turnero.operators import joins, lists, stats, visibility
 from turnero.plans import queries
+from turnero.sources import marketplace
 from turnero.sources.marketplace import AS_OF_BOOKING, Marketplace
 
 
@@ -104,3 +105,13 @@ def test_sql_functions_push_their_filters(spark, market, capsys):
     plan = physical(spark.sql("SELECT * FROM reservas_de_cliente('C7', 'COMPLETADA')"), capsys)
     pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
     assert "EqualTo(id_cliente,C7)" in pushed and "EqualTo(estado,COMPLETADA)" in pushed
+
+
+def test_the_lines_of_the_bookings_move_once(spark, capsys, monkeypatch):
+    monkeypatch.setattr(marketplace, "stored_once", lambda spark, folder, name, build: build())
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(physical(Marketplace(spark, SF)._bookings(), capsys)) == 2  # lines and orders
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -243,7 +243,7 @@ class Marketplace:
 
     def _lines(self) -> DataFrame:
         return self.source("lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity")
 
     def _with_orders(self, lines: DataFrame) -> DataFrame:
         orders = self.source("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
@@ -253,11 +253,13 @@ class Marketplace:
         """One booking per (order, line number): the first of the lines that share it.
 
         The only derived table that needs a join and a reduction, so it is
-        stored once; map-side combine shrinks repeated lines before they move.
+        stored once.  The lines move once, by order: the reduction and the join
+        both find them there, sorted once for the two.
         """
         def build() -> DataFrame:
-            first = F.min(F.struct("l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"))
-            lines = self._lines().groupBy("l_orderkey", "l_linenumber").agg(first.alias("f"))
+            first = F.min(F.struct("l_partkey", "l_suppkey", "l_shipdate", "l_quantity"))
+            placed = self._lines().filter("l_orderkey IS NOT NULL").repartition("l_orderkey")
+            lines = placed.groupBy("l_orderkey", "l_linenumber").agg(first.alias("f"))
             return self._as_bookings(self._with_orders(lines.select("l_orderkey", "l_linenumber", "f.*")))
         return stored_once(self.spark, self.folder, "reserva", build)
 
