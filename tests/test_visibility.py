@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from turnero.operators import visibility as v
 
@@ -76,3 +77,26 @@ def test_policy_inventory():
     assert commands["registro_auditoria"] == set()
     assert all(commands[t] == {"INSERT", "UPDATE", "DELETE"} for t in commands if t != "registro_auditoria")
     assert set(v.READ_RULES) == set(v.WRITE_RULES) == set(v.TABLES)
+
+
+def test_changes_of_a_hot_principal_are_not_gathered(spark, make, monkeypatch):
+    """Many changes of one principal, anonymous ones and repeated principals: the same answers as without any hot one."""
+    staff = make("empleado", [{"id_empleado": "e1", "id_proveedor": "p1"}, {"id_empleado": "e2", "id_proveedor": "p2"}])
+    blocks = make("bloqueo_horario", [{"id_bloqueo": f"b{i}", "id_empleado": f"e{i % 3}"} for i in range(12)])
+    image = F.struct(*blocks.columns)
+    nothing = F.lit(None).cast(blocks.select(image.alias("s")).schema["s"].dataType)
+    parts = [blocks.select(F.concat_ws("/", "id_bloqueo", F.lit(f"{u}{c}")).alias("id_cambio"), F.lit(u).cast("string").alias("uid"),
+                           F.lit(c).alias("comando"), (nothing if c == "INSERT" else image).alias("antes"), (nothing if c == "DELETE" else image).alias("despues"))
+             for u in (None, "A", "p1", "x") for c in ("INSERT", "UPDATE", "DELETE")]
+    changes = parts[0]
+    for part in parts[1:]:
+        changes = changes.unionByName(part)
+    people = spark.createDataFrame([("A", "admin", "ADMIN"), ("A", "admin", "ADMIN"), ("p1", None, "PROVEEDOR")], "uid string, role string, tipo_usuario string")
+
+    def answers():
+        return sorted(map(tuple, v.check_changes(changes, "bloqueo_horario", people, staff, "2026-06-01").collect()), key=str)
+
+    calm = answers()
+    assert len(calm) == 12 * 3 * 5 and any(r[3] for r in calm)
+    monkeypatch.setattr(v, "HOT_PRINCIPAL", 4)
+    assert answers() == calm

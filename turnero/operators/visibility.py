@@ -382,6 +382,27 @@ def _readable(table: str, row: Row) -> Column:
     return _any([*tests, *([row[rule.public]] if rule.public else [])])
 
 
+#: A principal with more changes than this is looked up apart from the others.
+HOT_PRINCIPAL = 100_000
+
+
+def _with_roles(changes: DataFrame, people: DataFrame) -> DataFrame:
+    """``changes`` with the role and type of their principal.
+
+    Anonymous changes and those of a principal that makes very many stay where
+    they are; only the others move to meet their principals, so no task gets
+    all the changes of one.
+    """
+    roles = people.select("uid", F.col("role").alias("_role"), F.col("tipo_usuario").alias("_tipo"))
+    # one principal in HOT_PRINCIPAL changes at most, so always small enough to broadcast
+    hot = changes.groupBy("uid").agg(F.count("*").alias("_n")).filter(F.col("uid").isNotNull() & (F.col("_n") > HOT_PRINCIPAL))
+    known = F.broadcast(hot.select("uid").join(roles, "uid", "left").withColumn("_hot", F.lit(True)))
+    marked = changes.join(known, "uid", "left")
+    apart = F.col("_hot").isNotNull() | F.col("uid").isNull()
+    others = marked.filter(~apart).drop("_hot", "_role", "_tipo").join(roles, "uid", "left")
+    return marked.filter(apart).drop("_hot").unionByName(others)
+
+
 def check_changes(changes: DataFrame, table: str, people: DataFrame, empleados: DataFrame | None = None,
                   as_of: Instant = None) -> DataFrame:
     """Split a change batch into allowed and denied.
@@ -394,13 +415,14 @@ def check_changes(changes: DataFrame, table: str, people: DataFrame, empleados:
     although the written policy says otherwise.
     """
     rules, now = WRITE_RULES[table], instant(as_of)
-    roles = people.select("uid", F.col("role").alias("_role"), F.col("tipo_usuario").alias("_tipo"))
-    rows = changes.join(roles, "uid", "left")
+    rows = _with_roles(changes, people)
     if READ_RULES[table].through_employee:
         for image in ("antes", "despues"):
             owner = empleados.select(F.col("id_empleado").alias("_e"),
                                      F.col("id_proveedor").alias(PARENT_OWNER + image))
-            rows = rows.join(owner, F.col(f"{image}.id_empleado") == F.col("_e"), "left").drop("_e")
+            # Changes without this image get a key of their own, so they spread over tasks.
+            nobody = F.concat(F.lit("\0"), F.xxhash64("id_cambio").cast("string"))
+            rows = rows.join(owner, F.coalesce(F.col(f"{image}.id_empleado"), nobody) == F.col("_e"), "left").drop("_e")
     old, new = Row("antes", now), Row("despues", now)
 
     def using(command: str) -> Column:
