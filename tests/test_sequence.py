@@ -100,3 +100,33 @@ def test_rescheduling_follows_the_requests(spark, make):
     now = {r.id_reserva: (r.fecha_hora_inicio, r.estado) for r in snapshot.collect()}
     assert now == {"a": (at("2026-06-20 10:30"), "PENDIENTE"), "b": (at("2026-06-20 09:00"), "PENDIENTE"),
                    "c": (at("2026-06-20 15:00"), "CONFIRMADA"), "closed": (at("2026-06-20 12:00"), "COMPLETADA")}
+
+
+def test_a_booking_without_request_blocks_and_is_not_counted_apart(spark, make, monkeypatch):
+    """Bookings that no request names stand in the same walk; a state outside the list blocks only once a request names it."""
+    monkeypatch.setattr(changes, "validar_conflicto_horario", None)
+
+    def booking(b, start, end, state="PENDIENTE", k="E1"):
+        return {"id_reserva": b, "id_empleado": k, "fecha_hora_inicio": at(start), "fecha_hora_fin": at(end), "estado": state}
+
+    reservas = make("reserva", [
+        booking("R1", "2026-01-01 09:00", "2026-01-01 10:00"), booking("R2", "2026-01-01 11:00", "2026-01-01 12:00"),
+        booking("R3", "2026-01-01 13:00", "2026-01-01 14:00", "CANCELADA"), booking("R4", "2026-01-01 15:00", "2026-01-01 16:00", "OTRA"),
+        booking("R5", "2026-01-01 17:00", "2026-01-01 18:00", "OTRA"), booking("R6", "2026-01-01 20:00", "2026-01-01 21:00")])
+    asked = spark.createDataFrame(
+        [("Q1", 1, "R1", at("2026-01-01 11:30"), at("2026-01-01 12:30")), ("Q2", 2, "R1", at("2026-01-01 13:00"), at("2026-01-01 14:00")),
+         ("Q3", 3, "R6", at("2026-01-01 15:30"), at("2026-01-01 16:30")), ("Q4", 4, "R6", at("2026-01-01 17:30"), at("2026-01-01 18:30")),
+         ("Q5", 5, "R5", at("2026-01-01 22:00"), at("2026-01-01 23:00")), ("Q6", 6, "R6", at("2026-01-01 17:30"), at("2026-01-01 18:30"))],
+        "id_solicitud string, orden int, id_reserva string, nuevo_inicio timestamp_ntz, nuevo_fin timestamp_ntz")
+    _, answers = changes.reagendar_reserva(reservas, asked, "2026-01-01 00:00:00")
+    assert {r.id_solicitud: r.aplicado for r in answers.collect()} == {
+        "Q1": False, "Q2": True, "Q3": True, "Q4": False, "Q5": True, "Q6": True}
+
+
+def test_a_calm_employee_is_decided_without_a_line_per_booking(spark):
+    """One cell holds all of the employee's time, so nothing is sorted by booking, even where a booking is listed twice."""
+    held = spark.createDataFrame([("b1", "x", T0, T0 + dt.timedelta(hours=1))] * 2, "b string, k string, s timestamp_ntz, e timestamp_ntz")
+    asked = spark.createDataFrame([("r1", "b1", "x", 1, T0 + dt.timedelta(hours=2), T0 + dt.timedelta(hours=3)),
+                                   ("r2", "b2", "x", 2, T0, T0 + dt.timedelta(hours=1))], REQUEST)
+    got = decide_in_order(asked, "k", "s", "e", "o", "id", "b", held)
+    assert {r.id: r.concedida for r in got.collect()} == {"r1": True, "r2": True}

@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from turnero.functions.clock import Instant, instant, minute_of_day, shifted
 from turnero.operators.joins import empleado_disponible, validar_conflicto_horario, with_day_columns
+from turnero.operators.lists import active_bookings
 from turnero.operators.overlap import admit_in_order
 from turnero.operators.sequence import decide_in_order
 from turnero.session import materialize
-from turnero.sources.schemas import RESERVA_CERRADA, TABLES
+from turnero.sources.schemas import RESERVA_ACTIVA, RESERVA_CERRADA, TABLES
 from turnero.sources.tables import with_defaults
 
 Changed = tuple[DataFrame, DataFrame]
@@ -142,21 +143,19 @@ def reagendar_reserva(reservas: DataFrame, solicitudes: DataFrame, as_of: Instan
     order must be unique per employee.  Each request is answered with its own
     values; the snapshot has the last ones.
     """
-    open_rows = reservas.filter(~F.col("estado").isin(*RESERVA_CERRADA)).select(
-        "id_reserva", "id_empleado", "fecha_hora_inicio", "fecha_hora_fin")
-    valid = solicitudes.filter(F.col("nuevo_inicio") < F.col("nuevo_fin"))
-    moves = valid.join(open_rows.select("id_reserva", "id_empleado"), "id_reserva").select(
-        "id_solicitud", "orden", "id_reserva", "id_empleado", F.col("nuevo_inicio").alias("fecha_hora_inicio"),
-        F.col("nuevo_fin").alias("fecha_hora_fin"))
-    asked_for = valid.select("id_reserva").distinct()
-    # What stands for the whole batch refuses a move without regard to order.
-    standing = reservas.join(asked_for, "id_reserva", "left_anti")
-    clear = validar_conflicto_horario(standing, moves).filter("NOT coalesce(conflicto, FALSE)").select("id_solicitud")
-    possible = materialize(moves.join(clear, "id_solicitud", "left_semi"), "traslados")
-    decided = decide_in_order(possible, "id_empleado", "fecha_hora_inicio", "fecha_hora_fin", "orden", "id_solicitud",
-                              "id_reserva", open_rows.join(asked_for, "id_reserva", "left_semi"))
+    slot = ["fecha_hora_inicio", "fecha_hora_fin"]
+    active = active_bookings(reservas).select("id_reserva", "id_empleado", *slot)
+    # A booking in none of the listed states stands in nobody's way until a request names it.
+    other = F.when(~F.col("estado").isin(*RESERVA_ACTIVA), F.struct(*slot)).alias("_otro")
+    open_rows = reservas.filter(~F.col("estado").isin(*RESERVA_CERRADA)).select("id_reserva", "id_empleado", other)
+    moves = materialize(solicitudes.filter(F.col("nuevo_inicio") < F.col("nuevo_fin")).select(
+        "id_solicitud", "orden", "id_reserva", "nuevo_inicio", "nuevo_fin").join(open_rows, "id_reserva"), "traslados")
+    named = moves.filter("_otro IS NOT NULL").select("id_reserva", "id_empleado", "_otro.*").distinct()
+    decided = decide_in_order(
+        moves.withColumnsRenamed(dict(zip(["nuevo_inicio", "nuevo_fin"], slot))), "id_empleado", *slot, "orden", "id_solicitud",
+        "id_reserva", active.unionByName(named))
     granted = materialize(decided.filter("concedida").select("id_solicitud"), "concedidas")
-    accepted = solicitudes.join(granted, "id_solicitud", "left_semi")
+    accepted = moves.join(granted, "id_solicitud", "left_semi")
     applied = _apply(reservas, accepted, ["id_reserva"],
                      {"fecha_hora_inicio": F.col("_nuevo_inicio"), "fecha_hora_fin": F.col("_nuevo_fin"),
                       "estado": F.lit("PENDIENTE")}, as_of, None, ["nuevo_inicio", "nuevo_fin"], last=True)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnero.operators.sequence import decide_in_order
+from turnero.session import materialize
 
 # At one instant, ends count before the requests' instants and starts after them.
 _CARRY, _END, _ASK, _START = -1, 0, 1, 2
@@ -143,5 +144,5 @@ def admit_in_order(requests: DataFrame, key: str, start: str, end: str, order: s
     same_start = Window.partitionBy(key, start).orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
     useful = (first.withColumn("_shortest", F.min(end).over(same_start))
               .filter(F.col("_shortest").isNull() | (F.col(end) < F.col("_shortest"))).drop("_shortest"))
-    decided = decide_in_order(useful, key, start, end, "_o", "_id")
+    decided = decide_in_order(materialize(useful, "en-orden"), key, start, end, "_o", "_id")
     return decided.filter("concedida").select(F.col("_id").alias(id_column))

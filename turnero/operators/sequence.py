@@ -18,7 +18,8 @@ many rounds as it crosses cells, not as many as it has requests.
 from __future__ import annotations
 
 import bisect
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -41,7 +42,7 @@ def _whole(value: Column) -> Column:
 
 
 def _with_cells(rows: DataFrame) -> DataFrame:
-    """``rows`` (k, s, e, ...) plus ``cells``, the cells of its employee that each slot touches.
+    """``rows`` (k, s, e, ...) plus ``cells``, the cells of its employee that each slot touches, and ``one``, is that all of its time?
 
     An employee with few slots is one cell.  Of the others days are counted;
     days in a row share a cell while they hold few slots, and a day that holds
@@ -51,8 +52,8 @@ def _with_cells(rows: DataFrame) -> DataFrame:
     whole = F.array(F.struct(F.lit(0).cast("long").alias("block"), none.alias("day"), none.alias("part")))
     busy = rows.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > CELL).select("k")  # one in CELL rows at most
     if busy.isEmpty():
-        return rows.withColumn("cells", whole)
-    calm = rows.join(busy, "k", "left_anti").withColumn("cells", whole)
+        return rows.withColumns({"cells": whole, "one": F.lit(True)})
+    calm = rows.join(busy, "k", "left_anti").withColumns({"cells": whole, "one": F.lit(True)})
     hot = rows.join(busy, "k", "left_semi")
     per_day = hot.select("*", F.explode(F.sequence(_whole(F.col("s") / _DAY), _whole((F.col("e") - 1) / _DAY))).alias("d"))
     before = F.sum("n").over(Window.partitionBy("k").orderBy("d").rowsBetween(Window.unboundedPreceding, -1))
@@ -64,7 +65,7 @@ def _with_cells(rows: DataFrame) -> DataFrame:
     first, last = (_whole((x - F.col("d") * _DAY) / _MINUTE / F.col("width")) for x in (opens, closes - 1))
     cells = F.when(F.col("width").isNull(), F.array(F.struct("block", none.alias("day"), none.alias("part")))).otherwise(
         F.transform(F.sequence(first, last), lambda x: F.struct("block", F.col("d").alias("day"), x.alias("part"))))
-    cut = placed.groupBy(*rows.columns).agg(F.array_distinct(F.flatten(F.collect_list(cells))).alias("cells"))
+    cut = placed.groupBy(*rows.columns).agg(F.array_distinct(F.flatten(F.collect_list(cells))).alias("cells")).withColumn("one", F.lit(False))
     return materialize(calm.unionByName(cut), "por-celda")
 
 
@@ -141,16 +142,25 @@ class _Timeline:
         return verdict
 
 
+def _values(column: pa.Array) -> Iterable:
+    """The values of a column for a loop; numbers come over as a whole."""
+    if column.null_count == len(column):
+        return repeat(None, len(column))
+    if pa.types.is_integer(column.type) and not column.null_count:
+        return column.to_numpy().tolist()
+    return column.to_pylist()
+
+
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Verdicts of the undecided requests; the rows come cell by cell, bookings' first slots before requests in order."""
     cell, line = None, _Timeline()
     for batch in batches:
         ids, touched, verdicts = [], [], []
-        for k, c, b, o, i, s, e, known, n, after in zip(*(column.to_pylist() for column in batch.columns)):
-            here = (k, c["block"], c["day"], c["part"])
+        for k, block, day, part, b, o, i, s, e, known, n, after, granted in zip(*map(_values, batch.columns)):
+            here = (k, block, day, part)
             if here != cell:
                 cell, line = here, _Timeline()
-            later = None if after is None else (after["o"], after["granted"])
+            later = None if after is None else (after, granted)
             if i is None:
                 booking = line.bookings.setdefault(b, _Booking())
                 line.put(b, booking, s, e)
@@ -174,7 +184,8 @@ def decide_in_order(requests: DataFrame, key: str, start: str, end: str, order:
     slots (``booking``, ``key``, ``start``, ``end``) that bookings have at
     first; requests name the ``booking`` that they move.  Without ``booking``
     each request is for a booking of its own.  An empty slot is refused; a
-    request without key meets nobody and is granted.
+    request without key meets nobody and is granted.  Both are read several
+    times and should be stored.
     """
     name = id_column if booking is None else booking
 
@@ -186,26 +197,34 @@ def decide_in_order(requests: DataFrame, key: str, start: str, end: str, order:
     kinds = {f.name: f.dataType for f in asked.schema.fields}
     rows = asked.filter("k IS NOT NULL")
     if held is not None:
-        rows = rows.unionByName(plain(held.filter(F.col(key).isNotNull()), F.lit(None).cast(kinds["o"]), F.lit(None).cast(kinds["i"])))
-    rows = _with_cells(materialize(rows, "en-orden"))
-    left = rows.filter("i IS NOT NULL").count()
+        # Employees that no request names are left alone.
+        first = plain(held.filter(F.col(key).isNotNull()), F.lit(None).cast(kinds["o"]), F.lit(None).cast(kinds["i"]))
+        rows = rows.unionByName(first.join(rows.select("k").distinct(), "k", "left_semi"))
+    rows = _with_cells(rows)
+    left = asked.filter("k IS NOT NULL").count()
     decided: DataFrame | None = None
     verdict_type = f"i {kinds['i'].simpleString()}, cells int, verdict int"
+    nothing = F.lit(None).cast("boolean")
     while left:
-        now = rows.withColumn("granted", F.lit(None).cast("boolean")) if decided is None else rows.join(decided, "i", "left")
-        if held is None:
-            now = now.withColumn("after", F.lit(None).cast(f"struct<o:{kinds['o'].simpleString()},granted:boolean>"))
+        if decided is None:
+            now = rows.withColumn("granted", nothing)
         else:
-            # The next request for the same booking that is not refused moves it away, or may do so.
+            now = rows.filter("i IS NOT NULL").join(decided, "i", "left").unionByName(rows.filter("i IS NULL").withColumn("granted", nothing))
+        plainly = now.withColumns({"after": F.lit(None).cast(kinds["o"]), "stays": nothing})
+        if held is not None:
+            # The next request for the same booking that is not refused moves it away, or may do so.  A cell that is
+            # all of an employee's time sees that request itself.
             following = Window.partitionBy("b").orderBy(F.col("o").asc_nulls_first()).rowsBetween(1, Window.unboundedFollowing)
-            pending = F.when(F.coalesce("granted", F.lit(True)), F.struct("o", F.coalesce("granted", F.lit(False)).alias("granted")))
-            now = now.withColumn("after", F.first(pending, ignorenulls=True).over(following))
-        at = now.select("k", F.explode("cells").alias("cell"), "b", "o", "i", "s", "e", "granted", F.size("cells").alias("n"), "after")
+            pending = F.when(F.col("i").isNotNull() & F.coalesce("granted", F.lit(True)),
+                             F.struct("o", F.coalesce("granted", F.lit(False)).alias("granted")))
+            shared = now.filter("NOT one").withColumn("next", F.first(pending, ignorenulls=True).over(following))
+            plainly = plainly.filter("one").unionByName(shared.withColumns({"after": F.col("next.o"), "stays": F.col("next.granted")}).drop("next"))
+        at = plainly.select("k", F.explode("cells").alias("cell"), "b", "o", "i", "s", "e", "granted", F.size("cells").alias("n"), "after", "stays")
         if decided is not None:
             busy = now.filter("i IS NOT NULL AND granted IS NULL").select("k", F.explode("cells").alias("cell")).distinct()
             at = at.join(busy, ["k", "cell"], "left_semi")
-        walked = (at.repartition("k", "cell").sortWithinPartitions("k", "cell", F.col("o").asc_nulls_first())
-                  .select("k", "cell", "b", "o", "i", "s", "e", "granted", "n", "after").mapInArrow(_walk, verdict_type))
+        walked = (at.select("k", "cell.*", "b", "o", "i", "s", "e", "granted", "n", "after", "stays").repartition("k", "block", "day", "part")
+                  .sortWithinPartitions("k", "block", "day", "part", F.col("o").asc_nulls_first()).mapInArrow(_walk, verdict_type))
         told = walked.groupBy("i").agg(F.max(F.col("verdict") == _BLOCKED).alias("blocked"),
                                        (F.count_if(F.col("verdict") == _CLEAR) == F.max("cells")).alias("clear"))
         fresh = materialize(told.filter("blocked OR clear").select("i", (~F.col("blocked")).alias("granted")), "decididas")
