@@ -124,3 +124,17 @@ def test_overlap_report_is_linear_in_a_hot_group(spark, make):
     same = [booking(f"r{i:04d}", "2026-06-15 10:00", "2026-06-15 11:00") for i in range(1000)]
     hits = joins.reservas_en_conflicto(make("reserva", same))
     assert hits.agg(F.count("*"), F.min("conflictos"), F.max("conflictos")).first() == (1000, 999, 999)
+
+
+def test_a_same_day_interval_moves_once(spark):
+    """Rows are cut into their sides after the shuffle; intervals over midnight are still counted on both days."""
+    frame = "i string, k string, s timestamp_ntz, e timestamp_ntz"
+    held = spark.createDataFrame([("a", "x", at("2026-01-01 09:00"), at("2026-01-01 10:00")), ("b", "x", at("2026-01-01 23:00"), at("2026-01-03 01:00")),
+                                  ("c", None, at("2026-01-01 09:00"), at("2026-01-01 10:00"))], frame)
+    asked = spark.createDataFrame([("q1", "x", at("2026-01-01 09:30"), at("2026-01-01 23:30")), ("q2", "x", at("2026-01-02 12:00"), at("2026-01-02 13:00")),
+                                   ("q3", "x", at("2026-01-03 01:00"), at("2026-01-03 02:00")), ("q4", None, at("2026-01-01 09:00"), at("2026-01-01 10:00")),
+                                   ("q5", "x", at("2026-01-01 10:00"), at("2026-01-01 09:00"))], frame)
+    counted = count_overlaps(held, asked, ["k"], "s", "e", "i", F.to_date)
+    assert {r.i: r.solapes for r in counted.collect()} == {"q1": 2, "q2": 1, "q3": 0, "q4": 0, "q5": None}
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("Generate inline") < plan.index("RepartitionByExpression")

@@ -19,7 +19,7 @@ from turnero.functions.clock import Instant, instant, minute_of_day, shifted
 from turnero.operators.joins import empleado_disponible, validar_conflicto_horario, with_day_columns
 from turnero.operators.lists import active_bookings
 from turnero.operators.overlap import admit_in_order
-from turnero.operators.sequence import decide_in_order
+from turnero.operators.sequence import granted_in_order
 from turnero.session import materialize
 from turnero.sources.schemas import RESERVA_ACTIVA, RESERVA_CERRADA, TABLES
 from turnero.sources.tables import with_defaults
@@ -151,10 +151,9 @@ def reagendar_reserva(reservas: DataFrame, solicitudes: DataFrame, as_of: Instan
     moves = materialize(solicitudes.filter(F.col("nuevo_inicio") < F.col("nuevo_fin")).select(
         "id_solicitud", "orden", "id_reserva", "nuevo_inicio", "nuevo_fin").join(open_rows, "id_reserva"), "traslados")
     named = moves.filter("_otro IS NOT NULL").select("id_reserva", "id_empleado", "_otro.*").distinct()
-    decided = decide_in_order(
+    granted = granted_in_order(
         moves.withColumnsRenamed(dict(zip(["nuevo_inicio", "nuevo_fin"], slot))), "id_empleado", *slot, "orden", "id_solicitud",
         "id_reserva", active.unionByName(named))
-    granted = materialize(decided.filter("concedida").select("id_solicitud"), "concedidas")
     accepted = moves.join(granted, "id_solicitud", "left_semi")
     applied = _apply(reservas, accepted, ["id_reserva"],
                      {"fecha_hora_inicio": F.col("_nuevo_inicio"), "fecha_hora_fin": F.col("_nuevo_fin"),

@@ -17,34 +17,47 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnero.operators.sequence import decide_in_order
+from turnero.operators.sequence import granted_in_order
 from turnero.session import materialize
 
 # At one instant, ends count before the requests' instants and starts after them.
 _CARRY, _END, _ASK, _START = -1, 0, 1, 2
 
 
+def _side(moment: str, kind: int, closes: bool | None = None) -> Column:
+    return F.struct(F.col(moment).alias("_t"), F.lit(kind).alias("_kind"), F.lit(closes).cast("boolean").alias("_closes"))
+
+
 def _edges(rows: DataFrame, keys: Sequence[str], start: str, end: str, *more: str) -> DataFrame:
-    """Two rows per interval: its start and its end."""
-    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    both = F.array(F.struct(F.col(start).alias("_t"), F.lit(_START).alias("_kind"), one.alias("_s"), none.alias("_e")),
-                   F.struct(F.col(end).alias("_t"), F.lit(_END).alias("_kind"), none.alias("_s"), one.alias("_e")))
-    return rows.select(*keys, *more, F.inline(both))
+    """One row per interval, with its start and its end as ``_sides``."""
+    return rows.select(*keys, *more, F.array(_side(start, _START), _side(end, _END)).alias("_sides"))
 
 
-def _swept(points: DataFrame, keys: Sequence[str], period: Callable[[Column], Column] | None) -> DataFrame:
-    """``points`` (keys, _t, _kind, _s, _e, ...) plus how many starts and ends stand before and at each row.
+def _swept(rows: DataFrame, keys: Sequence[str], period: Callable[[Column], Column] | None) -> DataFrame:
+    """The ``_sides`` (_t, _kind, _closes) of ``rows``, one row each, plus how many starts and ends stand before and at each.
 
     ``period`` cuts time into parts that do not decrease; None when the keys already bound it.
+    A row moves once where both sides fall into one period, and is cut in two after that.
     """
     group = list(keys)
-    if period is not None:
-        points = points.withColumn("_p", period(F.col("_t")))
+    starts, ends = (F.when(F.col("_kind") == kind, 1).otherwise(0).cast("long") for kind in (_START, _END))
+    if period is None:
+        rows = rows.withColumns({"_s": F.lit(None).cast("long"), "_e": F.lit(None).cast("long")})
+    else:
         group.append("_p")
         earlier = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-        carried = points.groupBy(*group).agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e")).select(
-            *group, F.lit(_CARRY).alias("_kind"), *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in ("_s", "_e")))
-        points = points.unionByName(carried, allowMissingColumns=True)
+        per_part = rows.select(*keys, F.inline("_sides")).groupBy(*keys, period(F.col("_t")).alias("_p")).agg(
+            F.sum(starts).alias("_s"), F.sum(ends).alias("_e"))
+        carried = per_part.select(
+            *group, F.array(F.struct(F.lit(None).cast(rows.schema["_sides"].dataType.elementType["_t"].dataType).alias("_t"),
+                                     F.lit(_CARRY).alias("_kind"), F.lit(None).cast("boolean").alias("_closes"))).alias("_sides"),
+            *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in ("_s", "_e")))
+        opens, closes = (period(F.col("_sides")[x]["_t"]) for x in (0, 1))
+        parts = F.when(opens.eqNullSafe(closes), F.array(F.struct(opens.alias("_p"), F.col("_sides").alias("_sides")))).otherwise(
+            F.array(*(F.struct(p.alias("_p"), F.array(F.col("_sides")[x]).alias("_sides")) for x, p in enumerate((opens, closes)))))
+        rows = rows.select(*(c for c in rows.columns if c != "_sides"), F.inline(parts)).unionByName(carried, allowMissingColumns=True)
+    points = rows.repartition(*group).select(*(c for c in rows.columns if c != "_sides"), F.inline("_sides")).withColumns(
+        {"_s": F.coalesce("_s", starts), "_e": F.coalesce("_e", ends)})
     # Sorting compares a number first, which tells most groups apart at once; text keys share their beginnings.
     line = Window.partitionBy("_h", *group).orderBy(F.col("_t").asc_nulls_first(), "_kind").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -70,11 +83,8 @@ def count_overlaps(intervals: DataFrame, requests: DataFrame, keys: Sequence[str
         # A request that leaves nothing out gets a key of its own, so such requests spread over tasks.
         own = F.coalesce(F.col(leave_out).cast("string"), F.concat(F.lit("~"), F.col(id_column).cast("string")))
         asked += [own.alias("_own"), F.struct(*keys, start, end).alias("_row")]
-    sides = F.array(F.struct(F.col(start).alias("_t"), F.lit(False).alias("_closes")),
-                    F.struct(F.col(end).alias("_t"), F.lit(True).alias("_closes")))
-    none = F.lit(0).cast("long")
-    probes = requests.select(*keys, *asked, (F.col(start) < F.col(end)).alias("_real"), F.inline(sides)).withColumns(
-        {"_kind": F.lit(_ASK), "_s": none, "_e": none})
+    sides = F.array(_side(start, _ASK, False), _side(end, _ASK, True)).alias("_sides")
+    probes = requests.select(*keys, *asked, (F.col(start) < F.col(end)).alias("_real"), sides)
     counted = _swept(_edges(present, keys, start, end).unionByName(probes, allowMissingColumns=True), keys, period)
     counted = counted.filter("_id IS NOT NULL").withColumn(
         "_part", F.when(F.col("_real"), F.when(F.col("_closes"), F.col("_started")).otherwise(-F.col("_ended"))))
@@ -144,5 +154,4 @@ def admit_in_order(requests: DataFrame, key: str, start: str, end: str, order: s
     same_start = Window.partitionBy(key, start).orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
     useful = (first.withColumn("_shortest", F.min(end).over(same_start))
               .filter(F.col("_shortest").isNull() | (F.col(end) < F.col("_shortest"))).drop("_shortest"))
-    decided = decide_in_order(materialize(useful, "en-orden"), key, start, end, "_o", "_id")
-    return decided.filter("concedida").select(F.col("_id").alias(id_column))
+    return granted_in_order(materialize(useful, "en-orden"), key, start, end, "_o", "_id").select(F.col("_id").alias(id_column))

@@ -29,6 +29,8 @@ from turnero.session import materialize
 
 #: Slots of a cell, about.
 CELL = 4096
+#: Employees that a batch names, up to which their bookings are looked up by broadcast.
+FEW = 200_000
 _DAY, _MINUTE = 86_400_000_000, 60_000_000
 _CLEAR, _BLOCKED, _OPEN = 1, 2, 0
 
@@ -178,7 +180,15 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def decide_in_order(requests: DataFrame, key: str, start: str, end: str, order: str, id_column: str,
                     booking: str | None = None, held: DataFrame | None = None) -> DataFrame:
-    """``id_column, concedida``: for every request whether it is granted.
+    """``id_column, concedida``: for every request whether ``granted_in_order`` grants it."""
+    granted = granted_in_order(requests, key, start, end, order, id_column, booking, held)
+    return (requests.select(id_column).join(granted.withColumn("granted", F.lit(True)), id_column, "left")
+            .select(id_column, F.coalesce("granted", F.lit(False)).alias("concedida")))
+
+
+def granted_in_order(requests: DataFrame, key: str, start: str, end: str, order: str, id_column: str,
+                     booking: str | None = None, held: DataFrame | None = None) -> DataFrame:
+    """``id_column`` of the requests that are granted.
 
     ``requests`` are taken by ``order``, unique per ``key``.  ``held`` gives the
     slots (``booking``, ``key``, ``start``, ``end``) that bookings have at
@@ -197,9 +207,11 @@ def decide_in_order(requests: DataFrame, key: str, start: str, end: str, order:
     kinds = {f.name: f.dataType for f in asked.schema.fields}
     rows = asked.filter("k IS NOT NULL")
     if held is not None:
-        # Employees that no request names are left alone.
         first = plain(held.filter(F.col(key).isNotNull()), F.lit(None).cast(kinds["o"]), F.lit(None).cast(kinds["i"]))
-        rows = rows.unionByName(first.join(rows.select("k").distinct(), "k", "left_semi"))
+        named = rows.select("k").distinct()
+        if named.count() <= FEW:  # employees that no request names are left out early
+            first = first.join(F.broadcast(named), "k", "left_semi")
+        rows = rows.unionByName(first)
     rows = _with_cells(rows)
     left = asked.filter("k IS NOT NULL").count()
     decided: DataFrame | None = None
@@ -233,7 +245,7 @@ def decide_in_order(requests: DataFrame, key: str, start: str, end: str, order:
             raise RuntimeError(f"{left} requests cannot be put in order; is {order} unique per {key}?")
         decided = fresh if decided is None else decided.unionByName(fresh)
         left -= made
-    free = requests.filter(F.col(key).isNull() & (F.col(start) < F.col(end))).select(F.col(id_column).alias("i"), F.lit(True).alias("granted"))
-    known = free if decided is None else decided.unionByName(free)
-    return (requests.select(id_column).join(known.withColumnRenamed("i", id_column), id_column, "left")
-            .select(id_column, F.coalesce("granted", F.lit(False)).alias("concedida")))
+    free = requests.filter(F.col(key).isNull() & (F.col(start) < F.col(end))).select(id_column)
+    if decided is None:
+        return free
+    return decided.filter("granted").select(F.col("i").alias(id_column)).unionByName(free)
