@@ -183,3 +183,15 @@ def test_expiry_is_decided_in_spark_to_the_microsecond(spark, capsys):
     assert "InPandas" not in capsys.readouterr().out
     streams.run_expiry(stream, sink, shared_dir(spark, "checkpoint"))
     assert {r.id: r.eliminada for r in streams.expiry_outcome(spark, sink).collect()} == {"a/b": True, "justo": False, "reloj": False}
+
+
+def test_a_larger_table_has_more_buckets(spark, tmp_path, monkeypatch):
+    """A bucket is one task, so their number follows the rows; a log opened again finds it, whatever the limit is then."""
+    monkeypatch.setattr(streams, "BUCKET_ROWS", 10)
+    rows = spark.range(400).select(F.concat(F.lit("k"), "id").alias("id"), F.col("id").alias("v"))
+    made = streams.ChangeLog.create(rows, str(tmp_path / "log"), "id")
+    monkeypatch.setattr(streams, "BUCKET_ROWS", 100_000)
+    again = streams.ChangeLog(spark, str(tmp_path / "log"), "id", rows.schema)
+    assert made.buckets == again.buckets == 40 and len(made.layout(-1)) > 16
+    again.commit(rows.filter("v < 50").withColumn("v", F.col("v") + 1000), 0)
+    assert sorted(r.v for r in again.current().collect()) == [*range(50, 400), *range(1000, 1050)]

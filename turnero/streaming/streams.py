@@ -147,6 +147,10 @@ def audit_stream(images: DataFrame) -> DataFrame:
 
 # change log -----------------------------------------------------------------
 
+#: Rows of a change log's bucket at first, about.
+BUCKET_ROWS = 250_000
+
+
 class ChangeLog:
     """A table in hash buckets of its key, and the rows that batches changed since, in the same buckets.
 
@@ -156,16 +160,28 @@ class ChangeLog:
     is.  Everything a batch writes lies under its id, and it starts from the
     list of folders that the batch before left: a replay overwrites its own
     output and nothing else.
+
+    A bucket is sorted in one task, so a larger table is laid out in more of
+    them; without ``buckets`` a log has as many as it was created with.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key: str, schema: T.StructType, buckets: int = 16, merge_after: int = 8):
+    def __init__(self, spark: SparkSession, root: str, key: str, schema: T.StructType, buckets: int | None = None, merge_after: int = 8):
         self.spark, self.root, self.key, self.schema = spark, root, key, schema
-        self.buckets, self.merge_after = buckets, merge_after
+        self._buckets, self.merge_after = buckets, merge_after
+
+    @property
+    def buckets(self) -> int:
+        if self._buckets is None:
+            self._buckets = self.spark.read.schema("cubos int").parquet(f"{self.root}/cubos").first()[0]
+        return self._buckets
 
     @classmethod
-    def create(cls, rows: DataFrame, root: str, key: str, buckets: int = 16, merge_after: int = 8) -> ChangeLog:
-        """Lay ``rows`` out under ``root``."""
+    def create(cls, rows: DataFrame, root: str, key: str, buckets: int | None = None, merge_after: int = 8) -> ChangeLog:
+        """Lay ``rows`` out under ``root``; without ``buckets`` one for every ``BUCKET_ROWS`` of them, 16 at least."""
+        if buckets is None:
+            buckets = max(16, -(-rows.count() // BUCKET_ROWS))
         log = cls(rows.sparkSession, root, key, rows.schema, buckets, merge_after)
+        log.spark.createDataFrame([(buckets,)], "cubos int").coalesce(1).write.mode("overwrite").parquet(f"{root}/cubos")
         held = log._write(rows, "base", -1)
         log._remember({b: (-1, []) for b in held}, -1)
         return log
