@@ -149,3 +149,16 @@ def test_volume_profile_has_rows_per_page_and_pages(make):
     profile = stats.table_volume_profile(make("usuario", [{"id_usuario": f"u{i}", "email": "x" * 50} for i in range(100)]), "usuario").first()
     per_page = int(8092 // (profile.registro_promedio + 4))
     assert (profile.filas_por_pagina, profile.paginas, profile.bytes) == (per_page, -(-100 // per_page), -(-100 // per_page) * 8192)
+
+
+def test_uniqueness_is_counted_in_parts_that_follow_the_rows(spark, make, monkeypatch):
+    """Many keys are placed by value before they are counted, in more tasks the more there are; nulls and repeats as ever."""
+    from turnero.operators import quality
+    monkeypatch.setattr(quality, "KEYS_PER_TASK", 20)
+    rows = [{"id_categoria": f"K{j % 90}", "nombre_categoria": None if j % 10 == 0 else f"n{j % 95}"} for j in range(100)]
+    report = quality.check_unique({"categoria_servicio": make("categoria_servicio", rows)})
+    got = sorted((r.regla, r.clave) for r in report.collect())
+    assert got == sorted([*(("id_categoria_unico", f"K{j}") for j in range(10)),
+                          *(("nombre_categoria_unico", f"n{j}") for j in range(1, 5))])
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("RepartitionByExpression") and ", 10\n" in plan

@@ -27,6 +27,10 @@ PASOS_RESERVA = (
 )
 
 
+#: Values that a task of the uniqueness check holds, about.
+KEYS_PER_TASK = 1_000_000
+
+
 def row_rules(table: str) -> dict[str, Column]:
     """Rule name -> "this row breaks it" for every single-row rule of a table."""
     spec = TABLES[table]
@@ -76,15 +80,21 @@ def check_all_rows(tables: dict[str, DataFrame]) -> DataFrame:
 def check_unique(tables: dict[str, DataFrame]) -> DataFrame:
     """Values of a primary key or UNIQUE column that occur more than once (``clave`` is the value).
 
-    One pass over each table, and one aggregation, combined before the shuffle.
+    One pass over each table, and one aggregation.  Keys hardly repeat, so of many rows a task would hold nearly
+    all it reads: these are counted after the shuffle, in as many parts as keep each near ``KEYS_PER_TASK`` values.
     """
-    values = []
+    values, found = [], []
     for name, rows in tables.items():
         spec = TABLES[name]
         columns = [spec.key, *(c for c in spec.unique if c != spec.key)]
         pairs = F.array(*(F.struct(F.lit(f"{c}_unico").alias("regla"), F.col(c).cast("string").alias("clave")) for c in columns))
         values.append(rows.select(F.lit(name).alias("tabla"), F.inline(pairs)).filter("clave IS NOT NULL"))
-    counted = _union(values).groupBy("tabla", "regla", "clave").agg(F.count("*").alias("n"))
+        found.append(rows.agg((F.count("*") * len(columns)).alias("n")))
+    keys = _union(values)
+    parts = -(-(_union(found).agg(F.sum("n")).first()[0] or 0) // KEYS_PER_TASK)
+    if parts > 2:
+        keys = keys.repartition(parts, "tabla", "regla", "clave")
+    counted = keys.groupBy("tabla", "regla", "clave").agg(F.count("*").alias("n"))
     return counted.filter("n > 1").drop("n")
 
 
