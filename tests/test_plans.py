@@ -115,3 +115,21 @@ def test_the_lines_of_the_bookings_move_once(spark, capsys, monkeypatch):
         assert exchanges(physical(Marketplace(spark, SF)._bookings(), capsys)) == 2  # lines and orders
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_the_parts_of_the_bookings_follow_the_lines(spark, capsys, monkeypatch):
+    kept = {}
+
+    def keep(spark, folder, name, build):
+        kept["stored"] = build()
+        return kept["stored"]
+
+    monkeypatch.setattr(marketplace, "stored_once", keep)
+    want = sorted(map(tuple, Marketplace(spark, SF).reserva.drop("l_orderkey").collect()), key=str)
+    monkeypatch.setattr(marketplace, "LINES_PER_PART", 100)
+    many = Marketplace(spark, SF)
+    assert sorted(map(tuple, many.reserva.drop("l_orderkey").collect()), key=str) == want
+    parts = -(-many.source("lineitem").count() // 100)
+    plan = physical(kept["stored"], capsys)
+    assert parts > 8 and exchanges(plan) == 2 and plan.count("hashpartitioning(l_orderkey#") == plan.count(f", {parts}), REPARTITION_BY_NUM")
+    assert not {"id_reserva", "id_servicio", "id_empleado", "id_proveedor", "comentarios"} & set(kept["stored"].columns)

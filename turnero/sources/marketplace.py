@@ -23,6 +23,9 @@ AS_OF_BOOKING = "1998-06-15 00:00:00"
 AS_OF_AUTH = "2024-01-30 00:00:00"
 REGISTERED = "2023-01-01 00:00:00"
 
+# Order lines of a part while bookings are derived, at most on average.
+LINES_PER_PART = 1_000_000
+
 # Declared, so that reading a file starts no job to infer its schema.
 SOURCES = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
@@ -239,45 +242,59 @@ class Marketplace:
 
     def raw_bookings(self) -> DataFrame:
         """Every order line as a booking, before repeated line numbers are reduced."""
-        return self._with_orders(self._lines())
+        return self._lines().join(self._orders(), "l_orderkey")
 
     def _lines(self) -> DataFrame:
         return self.source("lineitem").select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity")
 
-    def _with_orders(self, lines: DataFrame) -> DataFrame:
-        orders = self.source("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
-        return lines.join(orders, "l_orderkey")
+    def _orders(self) -> DataFrame:
+        return self.source("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
 
     def _bookings(self) -> DataFrame:
         """One booking per (order, line number): the first of the lines that share it.
 
         The only derived table that needs a join and a reduction, so it is
-        stored once.  The lines move once, by order: the reduction and the join
-        both find them there, sorted once for the two.
+        stored once, without what follows from a row alone: most ids and the
+        rest are made when it is read.  The lines move once, by order: the reduction
+        and the join both find them there, sorted once for the two, in parts
+        that follow their number, so that a part is sorted in memory.
         """
         def build() -> DataFrame:
             first = F.min(F.struct("l_partkey", "l_suppkey", "l_shipdate", "l_quantity"))
-            placed = self._lines().filter("l_orderkey IS NOT NULL").repartition("l_orderkey")
-            lines = placed.groupBy("l_orderkey", "l_linenumber").agg(first.alias("f"))
-            return self._as_bookings(self._with_orders(lines.select("l_orderkey", "l_linenumber", "f.*")))
-        return stored_once(self.spark, self.folder, "reserva", build)
-
-    def _as_bookings(self, lines: DataFrame) -> DataFrame:
+            lines, orders = self._lines().filter("l_orderkey IS NOT NULL"), self._orders().filter("l_orderkey IS NOT NULL")
+            parts = -(-self.source("lineitem").count() // LINES_PER_PART)  # the files' footers have the count
+            if parts > int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+                lines, orders = (x.repartition(parts, "l_orderkey") for x in (lines, orders))
+            else:
+                lines = lines.repartition("l_orderkey")
+            lines = lines.groupBy("l_orderkey", "l_linenumber").agg(first.alias("f"))
+            return self._timed(lines.select("l_orderkey", "l_linenumber", "f.*").join(orders, "l_orderkey"))
+        return self._as_bookings(stored_once(self.spark, self.folder, "reserva", build))
+
+    def _timed(self, lines: DataFrame) -> DataFrame:
+        """The lines with what filters of bookings ask for: client, start, state, creation."""
         order, line = F.col("l_orderkey"), F.col("l_linenumber")
         states = F.array(*(F.lit(s) for s in ESTADOS_RESERVA))
-        start = plus_minutes(F.col("l_shipdate"), 480 + (37 * order + 53 * line) % 600)
-        created = F.least("o_orderdate", "l_shipdate")
+        return lines.select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+            _id("C", F.col("o_custkey")).alias("id_cliente"),
+            plus_minutes(F.col("l_shipdate"), 480 + (37 * order + 53 * line) % 600).alias("fecha_hora_inicio"),
+            F.element_at(states, ((order + line) % 6 + 1).cast("int")).alias("estado"),
+            F.least("o_orderdate", "l_shipdate").alias("fecha_creacion"))
+
+    def _as_bookings(self, lines: DataFrame) -> DataFrame:
+        order, line, created = F.col("l_orderkey"), F.col("l_linenumber"), F.col("fecha_creacion")
         return lines.select(
             "l_orderkey",
             _id("R", order, F.lit("-"), line).alias("id_reserva"),
-            _id("C", F.col("o_custkey")).alias("id_cliente"), _id("S", F.col("l_partkey")).alias("id_servicio"),
+            "id_cliente", _id("S", F.col("l_partkey")).alias("id_servicio"),
             _id("E", 3 * F.col("l_suppkey") + line % 3).alias("id_empleado"),
             _id("P", F.col("l_suppkey")).alias("id_proveedor"),
-            start.alias("fecha_hora_inicio"),
-            plus_minutes(start, 15 + 3 * F.col("l_quantity")).alias("fecha_hora_fin"),
-            F.element_at(states, ((order + line) % 6 + 1).cast("int")).alias("estado"),
-            created.alias("fecha_creacion"),
+            "fecha_hora_inicio",
+            plus_minutes(F.col("fecha_hora_inicio"), 15 + 3 * F.col("l_quantity")).alias("fecha_hora_fin"),
+            "estado",
+            "fecha_creacion",
             F.when((order + line) % 6 == 4, shifted(created, hours=1)).alias("fecha_cancelacion"),
             F.when(line % 4 != 0, F.concat(F.lit("linea "), line.cast("string"))).alias("comentarios"),
         )
@@ -289,7 +306,7 @@ class Marketplace:
     @cached_property
     def reserva_sin_depurar(self) -> DataFrame:
         """The booking feed with the line numbers its source repeats."""
-        return self._stamped(self._as_bookings(self.raw_bookings()), "reserva", F.col("fecha_creacion"))
+        return self._stamped(self._as_bookings(self._timed(self.raw_bookings())), "reserva", F.col("fecha_creacion"))
 
     # logs -------------------------------------------------------------------
 
