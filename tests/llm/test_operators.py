@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import random
 import re
@@ -241,6 +242,18 @@ def test_warc_round_trip(spark):
     assert table(spark, SF, "pages").count() == warc.captures(table(spark, SF, "pages")).count()
 
 
+def test_warc_archives_lie_and_move_compressed(spark):
+    rows = [(i, f"http://h.org/{i}", f"page {i} " + "some words of a page " * 500) for i in range(40)]
+    archives = warc.write(spark.createDataFrame(rows, "page_id bigint, url string, html string"), archive_bytes=100_000)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(archives.folder).select("content").collect()
+    texts = [gzip.decompress(bytes(f.content)).decode() for f in files]  # whole gzip files
+    assert sum(len(f.content) for f in files) < sum(map(len, texts)) / 4 and sum(t.count("WARC/1.1\r\n") for t in texts) == 40
+    keys = [(warc.line_key(f"org,h)/{k}", k, hashlib.md5(f"{k}|http://h.org/{k}|{base64.b32encode(hashlib.sha1(rows[k][2].encode()).digest()).decode()}".encode()).hexdigest()),)
+            for k in (3, 17)]
+    got = warc.read(warc.locate(spark.createDataFrame(keys, "key string"), archives), archives, payload=True).collect()
+    assert sorted((r.page_id, r.html) for r in got) == [(k, rows[k][2]) for k in (3, 17)]
+
+
 def test_repeated_passages(spark, odd):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))

@@ -1,8 +1,9 @@
 """WARC archives with a two-level capture index.
 
 Writing: every page is one record.  Records are dealt to archives of bounded
-size and written through Spark's text writer, so any file system it knows will
-do; a record's place is the running sum of the lengths before it.  Of records
+size and written through Spark's text writer as gzip files, so any file system
+it knows will do; a record's place in the text of its archive is the running sum
+of the lengths before it.  Of records
 with the same payload one carries it (``response``), the others point to it
 (``revisit``) with the HTTP header of their own.
 
@@ -10,12 +11,14 @@ Index: one line per capture, keyed by the URL with its host reversed and sorted
 by key.  Lines form blocks that are stored compressed; a sparse directory holds
 each block's first key.  A look-up searches the directory by bisection, opens
 the one block that can hold the key, bisects in it, and reads the record's byte
-range from its archive.
+range from its archive.  An archive moves to its ranges as it lies there,
+compressed, and is opened in the task that cuts it.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
 import zlib
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from turnero.llm.common import stored
 from turnero.session import shared_dir
 
-#: Bytes of records aimed at for one archive; a larger record has a larger archive.
+#: Bytes of records, before compression, aimed at for one archive; a larger record has a larger archive.
 ARCHIVE_BYTES = 4 << 20
 #: Lines of an index block, and blocks of the directory: the larger table has longer blocks.
 LINES, BLOCKS = 256, 65_536
@@ -112,7 +115,7 @@ def write(pages: DataFrame, least_bytes: int = 0, archive_bytes: int = ARCHIVE_B
     text = F.last(F.when(F.col("kind") == 1, F.col("value")), ignorenulls=True).over(pairs.rowsBetween(Window.unboundedPreceding, 0))
     both = both.withColumn("body", text).where("kind = 0")
     value = F.when(F.col("revisit"), F.col("value")).otherwise(F.concat("value", F.col("body")))
-    both.select("archive", value.alias("value")).write.partitionBy("archive").option("lineSep", END).text(folder)
+    both.select("archive", value.alias("value")).write.partitionBy("archive").option("lineSep", END).option("compression", "gzip").text(folder)
     blocks = index(placed, totals[1] or 0, lines)
     return Archives(folder, blocks, archives)
 
@@ -224,7 +227,8 @@ def read(spans: DataFrame, archives: Archives, payload: bool = False) -> DataFra
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for content, wanted in zip(batch["content"], batch["spans"]):
+            for packed, wanted in zip(batch["content"], batch["spans"]):
+                content = gzip.decompress(packed)
                 rows = [parse(content[x["offset"]:x["offset"] + x["length"]]) for x in wanted]
                 made = pd.DataFrame(rows, columns=names)
                 for column in ("page_id", "refers_to", "payload_bytes"):
