@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from turnero.llm import ann, bpe, mixing, passages, pii, quality, sharding, simhash, toxicity, warc
 from turnero.llm.common import table
@@ -228,6 +229,22 @@ def test_ann_against_brute_force(spark):
     assert ann.search(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_ann_rows_follow_the_queries_not_the_lists(spark, monkeypatch):
+    made, apply = [], PandasCogroupedOps.applyInPandas
+    monkeypatch.setattr(PandasCogroupedOps, "applyInPandas", lambda *a, **k: made.append(apply(*a, **k)) or made[-1])
+    monkeypatch.setattr(ann, "PER_LIST", 16)
+    rng = np.random.default_rng(2)
+    vectors = rng.standard_normal((2000, 16)).astype("float32")
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<float>")
+    got = {}
+    for r in ann.search(frame, F.col("vec_id") % 20 == 0, probed=1.0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    products = vectors.astype(float) @ vectors.astype(float).T
+    for q in range(0, 2000, 20):
+        assert got[q] == sorted((i for i in range(2000) if i != q), key=lambda i: -products[q, i])[:20]
+    assert len(got) == 100 and sum(m.count() for m in made) < 100 * 300  # 21 of each of 125 lists would be 160000 at most
+
+
 def test_warc_round_trip(spark):
     rows = [(1, "http://a.b.com/x\ny", None), (2, None, ""), (3, "https://user@A.b.com:80/Q?x#y", "p\r\n\r\nq é🙂"),
             (4, "http://a.b.com/x", "p\r\n\r\nq é🙂"), (4, "http://a.b.com/x", "p\r\n\r\nq é🙂"), (9, "u", "z" * 5_000_000)]

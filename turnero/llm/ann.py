@@ -10,6 +10,11 @@ candidate beyond that bound is given up and its other blocks are never read.
 Inner products become distances through the lengths: |q - x|^2 = |q|^2 + |x|^2
 - 2 q.x, so "better than t" is "nearer than sqrt(|q|^2 + |x|^2 - 2 t)".
 
+A query's lists are looked through in steps, the best first, each step a few
+times as many lists as all before it.  What a step finds gives the bound that the
+next one faces, and only what reaches the bound leaves a task: about the asked
+number a step, not a number for each list.
+
 Equal vectors are one vector from the start, with their smallest ids; no more
 than the asked number plus one of them can ever be returned.  Long lists are
 cut into chunks, which are searched by themselves.
@@ -17,7 +22,7 @@ cut into chunks, which are searched by themselves.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,6 +38,8 @@ PER_LIST = 1024
 #: Share of the lists that a query probes, and lists at least.  Measured on evenly spread unit vectors of
 #: 64 columns, the hardest case: 0.5 finds about 0.9 of the true neighbours, 0.65 about 0.95.
 PROBED, PROBES = 0.65, 8
+#: Lists of a query's first step; lists of all steps up to one, for each list of the steps before it.
+FIRST, WIDER = 2, 4
 #: Columns of a block; strictness of the test; vectors of a chunk; queries that search a chunk together.
 BLOCK, STRICT, CHUNK, TOGETHER = 16, 2.6, 4096, 2048
 SEED = 7
@@ -132,7 +139,6 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
     lists = int(max(1, min(LISTS, total // PER_LIST, len(sample) // 16)))
     centers, turn = centroids_of(sample, lists), rotation(sample.shape[1])
     lists = len(centers)
-    known = sample[:2048]  # real candidates: their k-th best product with a query bounds the final one from below
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -141,29 +147,33 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
     filed = stored(classes.select("c", "v").mapInPandas(assign, "list int, c bigint, v array<float>"), "lists")
     sizes = {r["list"]: r["count"] for r in filed.groupBy("list").count().collect()}  # at most LISTS rows
     size = np.array([sizes.get(i, 0) for i in range(lists)])
-    asked = classes.join(queries.select("c").distinct(), "c").select("c", "v")
+    asked = stored(classes.join(queries.select("c").distinct(), "c").select("c", "v"), "asked")
     probes = max(PROBES, int(np.ceil(probed * lists)))
     chunks = np.maximum(1, -(-size // CHUNK))
 
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            q = matrix(batch["v"])
-            best = np.argsort(-(q @ centers.T), axis=1, kind="stable")
-            held = np.cumsum(size[best], axis=1)
-            # Lists are probed until they are enough in number and hold enough vectors.
-            need = np.maximum(probes, np.minimum((held < 4 * (k + 1)).sum(axis=1) + 1, lists))
-            products = q @ known.T
-            floor = np.partition(products, -(k + 1), axis=1)[:, -(k + 1)] if len(known) > k + 1 else np.full(len(q), -np.inf)
-            for one, c, v, order, n, low in zip(range(len(q)), batch["c"], batch["v"], best, need, floor):
-                target = [(int(i), j) for i in order[:n] if size[i] for j in range(chunks[i])]
-                yield pd.DataFrame({"list": [t[0] for t in target], "chunk": [t[1] for t in target], "c": c, "floor": low,
-                                    "v": [v] * len(target)}).astype({"list": "int32", "chunk": "int32"})
-
-    asking = asked.mapInPandas(probe, "list int, chunk int, c bigint, floor double, v array<float>")
-    asking = asking.select("list", "chunk", F.pmod(F.xxhash64("c", "list"), F.lit(_parts(total, probes, lists))).cast("int").alias("part"), "c", "floor", "v")
+    def probe(low: int, high: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        """The asks for a query's lists from the ``low``-th best up to the ``high``-th."""
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            together = max(1, 16_384 // (high - low))
+            for whole in batches:
+                for at in range(0, len(whole), together):
+                    batch = whole[at:at + together]
+                    order = np.argsort(-(matrix(batch["v"]) @ centers.T), axis=1, kind="stable")
+                    held = np.cumsum(size[order], axis=1)
+                    # Lists are probed until they are enough in number and hold enough vectors.
+                    need = np.maximum(probes, np.minimum((held < 4 * (k + 1)).sum(axis=1) + 1, lists))
+                    order = order[:, low:high]
+                    row, column = np.nonzero((np.arange(low, low + order.shape[1]) < need[:, None]) & (size[order] > 0))
+                    target = order[row, column]
+                    times = chunks[target]
+                    row, target = np.repeat(row, times), np.repeat(target, times)
+                    chunk = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+                    yield pd.DataFrame({"list": target.astype("int32"), "chunk": chunk.astype("int32"), **{
+                        c: batch[c].to_numpy()[row] for c in ("c", "floor", "v")}})
+        return run
+
     by_list = F.element_at(F.array(*[F.lit(int(x)) for x in chunks]), F.col("list") + 1)
-    kept = filed.withColumn("chunk", F.pmod(F.xxhash64("c"), by_list).cast("int")).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.lit(_parts(total, probes, lists) - 1))))
+    chunked = filed.withColumn("chunk", F.pmod(F.xxhash64("c"), by_list).cast("int"))
 
     def look(_: tuple, asks: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -180,13 +190,22 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
                 if len(places) > k + 1:
                     edge = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
                     # Classes that tie at the edge all stay: their ids decide later.
-                    places, scores = places[scores >= edge], scores[scores >= edge]
-                out.append(pd.DataFrame({"q": c, "c": ids[places], "score": scores}))
+                    low = max(low, edge)
+                stay = scores >= low
+                out.append(pd.DataFrame({"q": c, "c": ids[places[stay]], "score": scores[stay]}))
         return pd.concat(out) if out else pd.DataFrame({"q": [], "c": [], "score": []}).astype({"q": "int64", "c": "int64", "score": "float64"})
 
-    group = ["list", "chunk", "part"]
-    found = asking.groupBy(*group).cogroup(kept.groupBy(*group)).applyInPandas(look, "q bigint, c bigint, score double")
-    best = found.withColumn("n", F.rank().over(Window.partitionBy("q").orderBy(F.col("score").desc()))).where(F.col("n") <= k + 1)
+    group, best, edges = ["list", "chunk", "part"], None, steps(probes, lists)
+    for low, high in zip(edges, edges[1:]):
+        parts = _parts(total, min(high, probes) - low, lists)
+        floors = asked.withColumn("floor", F.lit(float("-inf"))) if best is None else asked.join(bounds(best, k), F.col("c") == F.col("q"), "left").select(
+            "c", "v", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+        asking = floors.mapInPandas(probe(low, high), "list int, chunk int, c bigint, floor double, v array<float>").withColumn(
+            "part", F.pmod(F.xxhash64("c", "list"), F.lit(parts)).cast("int"))
+        kept = chunked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        found = asking.groupBy(*group).cogroup(kept.groupBy(*group)).applyInPandas(look, "q bigint, c bigint, score double")
+        ranked = (found if best is None else best.unionByName(found)).withColumn("n", F.rank().over(Window.partitionBy("q").orderBy(F.col("score").desc())))
+        best = stored(ranked.where(F.col("n") <= k + 1).drop("n"), "nearest")
     ids = best.join(classes.select(F.col("c").alias("k"), "ids"), F.col("c") == F.col("k")).select("q", "c", "score", F.explode("ids").alias("id"))
     top = Window.partitionBy("q").orderBy(F.col("score").desc(), "id")
     ids = ids.withColumn("n", F.row_number().over(top)).where(F.col("n") <= k + 1)
@@ -197,6 +216,20 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), F.col("x.score").alias("score"))
 
 
+def steps(probes: int, lists: int) -> list[int]:
+    """Where the steps of a query's lists begin, and the end of the last one; the last holds what is left over."""
+    edges, edge = [0], FIRST
+    while edge < lists and (edge == FIRST or 2 * edge <= probes):
+        edges.append(edge)
+        edge *= WIDER
+    return [*edges, lists]
+
+
+def bounds(best: DataFrame, k: int) -> DataFrame:
+    """``q, floor``: the score that a class must reach to be among the best ``k + 1`` of a query; null while there are fewer."""
+    return best.groupBy("q").agg(F.when(F.count(F.lit(1)) > k, F.min("score")).alias("floor"))
+
+
 def _parts(total: int, probes: int, lists: int) -> int:
     """Into how many parts the queries of a list are cut: a row in twenty probes this share of the lists."""
     return max(1, int(total / 20 * probes / lists / TOGETHER))
