@@ -229,6 +229,17 @@ def test_ann_against_brute_force(spark):
     assert ann.search(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_bpe_remembers_a_bounded_number_of_words():
+    texts = [" ".join(f"w{i:06x}" for i in range(at, at + 1000)) for at in range(0, 300_000, 1000)]
+    known, most = bpe.Encoder(public_tokenizers.path("word_bpe_49k.json")), 0
+    rows = []
+    for run in bpe.slices(texts):
+        rows += known.texts(run)
+        most = max(most, len(known.pieces), len(known.known))
+    assert len(rows) == 300 and most < 230_000  # what is remembered, and the words of one run
+    assert rows[-1:] == bpe.Encoder(public_tokenizers.path("word_bpe_49k.json")).texts(texts[-1:])
+
+
 def test_ann_rows_follow_the_queries_not_the_lists(spark, monkeypatch):
     made, apply = [], PandasCogroupedOps.applyInPandas
     monkeypatch.setattr(PandasCogroupedOps, "applyInPandas", lambda *a, **k: made.append(apply(*a, **k)) or made[-1])

@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pieces and words remembered by one Python worker, and the longest that is remembered.
-REMEMBERED, LONGEST = 250_000, 40
+REMEMBERED, LONGEST = 100_000, 40
 NEVER = 1 << 62
 #: Words up to this many symbols are merged side by side, one tree in each row of an array.
 SIDE_BY_SIDE = 33
 #: Characters of text taken from a batch at a time.
-SLICE = 8_000_000
+SLICE = 1_000_000
 #: Characters whose composed lower-case form and class need no Unicode tables: printable ASCII and Latin-1 letters.
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 PLAIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
