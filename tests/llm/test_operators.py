@@ -12,7 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.group_ops import PandasCogroupedOps
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps, PandasGroupedOpsMixin
 
 from turnero.llm import ann, bpe, mixing, passages, pii, quality, sharding, simhash, toxicity, warc
 from turnero.llm.common import table
@@ -304,6 +304,37 @@ def test_repeated_passages(spark, odd):
     assert 1 - (1 - 0.8 ** per) ** bands >= 0.999
 
 
+def test_paragraphs_of_small_buckets_meet_without_python_groups(spark, monkeypatch):
+    made, apply = [], PandasGroupedOpsMixin.applyInPandas
+    monkeypatch.setattr(PandasGroupedOpsMixin, "applyInPandas", lambda *a, **k: made.append(apply(*a, **k)) or made[-1])
+    rng = random.Random(5)
+    found, bucket = {}, {}
+    for pid in range(90):  # a bucket's smallest member is like none, the others are in families of alike ones
+        if pid % 30 < 3:
+            family = [rng.getrandbits(63) for _ in range(rng.randint(30, 900))]
+        bucket[pid] = pid // 30
+        family = family if pid % 7 else [rng.getrandbits(63) for _ in range(60)]
+        found[pid] = sorted({x if rng.random() > 0.05 else rng.getrandbits(63) for x in family})
+    sets = spark.createDataFrame([(p, [x - (1 << 62) for x in v]) for p, v in found.items()], "pid bigint, found array<bigint>")
+    members = spark.createDataFrame([(bucket[p], p, p) for p in found], "key int, pid bigint, component bigint")
+
+    def classes(links):
+        of = {p: p for p in found}
+        for a, b in sorted(links):
+            of = {p: of[a] if c == of[b] else c for p, c in of.items()}
+        return sorted(sorted(p for p in of if of[p] == c) for c in set(of.values()))
+
+    alike = lambda a, b: len(set(found[a]) & set(found[b])) >= 0.8 * len(set(found[a]) | set(found[b]))
+    want = classes([(a, b) for a in found for b in found if a < b and bucket[a] == bucket[b] and a % 30 and alike(a, b)])
+    assert 10 < len(want) < 80
+    for small, grouped in ((64, False), (4, True)):
+        monkeypatch.setattr(passages, "SMALL", small, raising=False)
+        monkeypatch.setattr(passages, "CHUNK", 8)
+        made.clear()
+        assert classes([tuple(r) for r in passages._check_buckets(members, sets, 0.8).collect()]) == want
+        assert (sum(m.count() for m in made) > 0) == grouped
+
+
 def test_toxicity_held_out_and_grammar(spark, docs, labels, odd):
     got = toxicity.scored(odd, labels)
     assert got.count() == odd.count() and got.where("score not between 0 and 1 or predicted <> cast(score >= 0.7 as int)").count() == 0

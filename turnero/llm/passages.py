@@ -30,8 +30,10 @@ from turnero.llm.components import connected_components
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
 #: Words of a paragraph and of a run of repeated pieces, at least; neighbours on each side that a cut looks at.
 PARAGRAPH_WORDS, RUN_WORDS, NEIGHBOURS = 20, 20, 4
-#: Members of a bucket that are checked pair by pair at a time.
-CHUNK = 256
+#: Members of a bucket that is joined with itself, at most; members of a larger one that are checked pair by pair at a time.
+SMALL, CHUNK = 64, 256
+#: Bits of a set's sketch, by which most pairs of a larger bucket are told apart.
+SKETCH = 1024
 #: Words of a piece or paragraph that its place can tell.
 MOST = (1 << 20) - 1
 _STEP = 0x9E3779B97F4A7C15
@@ -178,19 +180,40 @@ def _check(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return joined.where(common >= F.lit(similarity) * (F.size("fa") + F.size("fb") - common)).select("a", "b")
 
 
+def sketches(found: list[np.ndarray]) -> np.ndarray:
+    """For each set of hashes the bits that its members set, of SKETCH, as rows of 64-bit words."""
+    bits = np.zeros((len(found), SKETCH), bool)
+    for row, one in zip(bits, found):
+        row[one & (SKETCH - 1)] = True
+    return np.packbits(bits, axis=1).view(np.uint64)
+
+
 def _check_buckets(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Links between members of a bucket that lie in different components; chunk against chunk."""
-    sizes = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
-    mixed_ones = members.join(sizes.where("lo <> hi").select("key", "n"), "key")
+    """Links between members of a bucket that lie in different components.
+
+    The smallest member has been checked against all others, so it and buckets
+    of two are done.  Buckets of up to SMALL members are joined with themselves,
+    each pair checked where it is formed; larger ones go chunk against chunk.
+    """
+    sizes = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("pid").alias("hub"), F.count(F.lit(1)).alias("n"))
+    mixed_ones = members.join(sizes.where("lo <> hi and n > 2").select("key", "hub", "n"), "key").where("pid <> hub").drop("hub")
+    small = mixed_ones.where(F.col("n") <= SMALL).join(sets, "pid")
+    one = small.select("key", F.col("pid").alias("a"), F.col("component").alias("ca"), F.col("found").alias("fa"))
+    two = small.select("key", F.col("pid").alias("b"), F.col("component").alias("cb"), F.col("found").alias("fb"))
+    least, most, common = F.least(F.size("fa"), F.size("fb")), F.greatest(F.size("fa"), F.size("fb")), F.size(F.array_intersect("fa", "fb"))
+    close = one.join(two, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (least >= F.lit(similarity) * most)
+                                       & (common >= F.lit(similarity) * (least + most - common))).select("a", "b")
+    large = mixed_ones.where(F.col("n") > SMALL)
     chunks = F.ceil(F.col("n") / F.lit(CHUNK)).cast("int")
-    rows = (mixed_ones.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("pid", F.lit(3)), F.col("chunks")).cast("int"))
+    rows = (large.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("pid", F.lit(3)), F.col("chunks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
             .select("key", F.least("chunk", "other").alias("c1"), F.greatest("chunk", "other").alias("c2"), "chunk", "pid", "component")
             .join(sets, "pid"))
 
     def compare(key: tuple, held: pd.DataFrame) -> pd.DataFrame:
-        found = [frozenset(x.tolist()) for x in held["found"]]
-        pids, chunk = held["pid"].tolist(), held["chunk"].tolist()
+        arrays = held["found"].tolist()
+        found, bits, n = [frozenset(x.tolist()) for x in arrays], sketches(arrays), np.array([len(x) for x in arrays])
+        pids, chunk = held["pid"].tolist(), held["chunk"].to_numpy()
         parent = {c: c for c in held["component"]}
 
         def root(c: int) -> int:
@@ -200,15 +223,21 @@ def _check_buckets(members: DataFrame, sets: DataFrame, similarity: float) -> Da
 
         links, component = [], held["component"].tolist()
         for i, one in enumerate(found):
-            for j in range(i):
-                if (key[1] == key[2] or chunk[i] != chunk[j]) and root(component[i]) != root(component[j]):
+            # A bit that the other set lacks is a shingle that it lacks.
+            most = np.minimum(n[i] - np.bitwise_count(bits[i] & ~bits[:i]).sum(axis=1, dtype=np.int64),
+                              n[:i] - np.bitwise_count(bits[:i] & ~bits[i]).sum(axis=1, dtype=np.int64))
+            able = most >= similarity * (n[i] + n[:i] - most)
+            if key[1] != key[2]:
+                able &= chunk[:i] != chunk[i]
+            for j in np.flatnonzero(able).tolist():
+                if root(component[i]) != root(component[j]):
                     common = len(one & found[j])
                     if common >= similarity * (len(one) + len(found[j]) - common):
                         parent[root(component[i])] = root(component[j])
                         links.append((pids[i], pids[j]))
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    return rows.groupBy("key", "c1", "c2").applyInPandas(compare, "a bigint, b bigint")
+    return close.unionByName(rows.groupBy("key", "c1", "c2").applyInPandas(compare, "a bigint, b bigint")).distinct()
 
 
 def paragraph_classes(docs: DataFrame, cut: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -217,8 +246,8 @@ def paragraph_classes(docs: DataFrame, cut: DataFrame, similarity: float = SIMIL
     where = found.select("doc_id", "place", "pid")
     unique = found.groupBy("pid").agg(F.min(F.struct("doc_id", "place", "bands")).alias("x"))
     keys = unique.select("pid", "x.doc_id", "x.place", F.explode("x.bands").alias("key"))
-    hubs = keys.groupBy("key").agg(F.min("pid").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "hub")
-    met = stored(keys.join(hubs, "key"), "met-paragraphs")
+    bucket = Window.partitionBy("key")  # distinct paragraphs with one hash in a band, numbers alone
+    met = stored(keys.withColumn("hub", F.min("pid").over(bucket)).withColumn("n", F.count(F.lit(1)).over(bucket)).where("n > 1").drop("n"), "met-paragraphs")
     # The shingle sets of the paragraphs that met another, cut anew from one document that has them.
     need = met.groupBy("doc_id").agg(F.collect_set(F.struct("place", "pid")).alias("spans"))  # of one document
     wanted = docs.select("doc_id", "text").join(need, "doc_id")
