@@ -256,6 +256,24 @@ def test_ann_rows_follow_the_queries_not_the_lists(spark, monkeypatch):
     assert len(got) == 100 and sum(m.count() for m in made) < 100 * 300  # 21 of each of 125 lists would be 160000 at most
 
 
+@pytest.mark.parametrize("dims, n, alive", [(64, 2000, 0.1), (64, 2000, 0.0), (64, 2000, 1.1), (40, 500, 1.1), (16, 500, 0.1), (5, 100, 0.1), (64, 30, 0.1)])
+def test_ann_scans_a_list_for_many_queries_at_once(monkeypatch, dims, n, alive):
+    monkeypatch.setattr(ann, "ALIVE", alive, raising=False)  # 0.0: never pair by pair, 1.1: from the first block on
+    rng = np.random.default_rng(3)
+    x, q, turn = rng.standard_normal((n, dims)), rng.standard_normal((70, dims)), ann.rotation(dims)
+    x[:n // 3] *= 0.3
+    blocks = [np.ascontiguousarray((x @ turn)[:, a:a + ann.BLOCK]) for a in range(0, dims, ann.BLOCK)]
+    partial, keep, products = list(np.cumsum([(b ** 2).sum(axis=1) for b in blocks], axis=0)), 21, q @ x.T
+    best = -np.sort(-products, axis=1)
+    for floor in (np.full(70, -np.inf), best[:, 10].copy()):
+        row, place = ann.scan(q @ turn, blocks, partial, keep, floor)
+        scores = products[row, place]
+        stay = scores >= ann.edges_of(row, scores, keep, floor)[row]
+        got = sorted(zip(row[stay].tolist(), place[stay].tolist()))
+        want = [(i, j) for i in range(70) for j in range(n) if products[i, j] >= max(best[i, min(n, keep) - 1], floor[i])]
+        assert len(set(got)) == len(got) and set(got) <= set(want) and len(got) >= 0.99 * len(want)
+
+
 def test_warc_round_trip(spark):
     rows = [(1, "http://a.b.com/x\ny", None), (2, None, ""), (3, "https://user@A.b.com:80/Q?x#y", "p\r\n\r\nq é🙂"),
             (4, "http://a.b.com/x", "p\r\n\r\nq é🙂"), (4, "http://a.b.com/x", "p\r\n\r\nq é🙂"), (9, "u", "z" * 5_000_000)]

@@ -7,6 +7,8 @@ asks whether a candidate can still enter the query's best: by rotation, the
 partial distance over d of D columns, scaled by D / d, strays from the true one
 by no more than a factor 1 + c / sqrt(d) but with tiny probability, so a
 candidate beyond that bound is given up and its other blocks are never read.
+The queries of a list read a block together, as one product of matrices, until
+few candidates are alive.
 Inner products become distances through the lengths: |q - x|^2 = |q|^2 + |x|^2
 - 2 q.x, so "better than t" is "nearer than sqrt(|q|^2 + |x|^2 - 2 t)".
 
@@ -42,6 +44,8 @@ PROBED, PROBES = 0.65, 8
 FIRST, WIDER = 2, 4
 #: Columns of a block; strictness of the test; vectors of a chunk; queries that search a chunk together.
 BLOCK, STRICT, CHUNK, TOGETHER = 16, 2.6, 4096, 2048
+#: Pairs of queries and vectors that are scanned at a time; share of them alive below which they go on one by one.
+PAIRS, ALIVE = 1 << 18, 0.1
 SEED = 7
 
 
@@ -68,39 +72,61 @@ def nearest(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return np.argmin((centers ** 2).sum(axis=1) - 2 * rows @ centers.T, axis=1)
 
 
-def scan(query: np.ndarray, blocks: list[np.ndarray], partial_sq: list[np.ndarray], lengths: np.ndarray, keep: int, at_least: float) -> np.ndarray:
-    """Places of the candidates that may be among the best ``keep``, by rotated column blocks.
+def scan(queries: np.ndarray, blocks: list[np.ndarray], partial_sq: list[np.ndarray], keep: int, at_least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, place) of the candidates that may be among a query's best ``keep``, by rotated column blocks.
 
     ``blocks[b]`` has the b-th columns of all candidates, ``partial_sq[b]`` the
     squared length over the columns up to block b.  The first few candidates
-    are read whole; they and ``at_least`` give the bound that the others face.
+    are read whole; they and ``at_least`` give the bounds that the others face.
+    The queries pass a block together while most candidates are alive, pair by
+    pair after that.  Pairs come query by query.
     """
-    n, dims = len(lengths), len(query)
+    n, dims, lengths = len(blocks[0]), queries.shape[1], partial_sq[-1]
     first = min(n, 4 * keep)
-    start = np.zeros(first)
-    at = 0
-    for block in blocks:
-        start += block[:first] @ query[at:at + block.shape[1]]
-        at += block.shape[1]
-    bound = max(at_least, np.partition(start, first - keep)[first - keep] if first > keep else -np.inf)
+    start = queries @ np.hstack([b[:first] for b in blocks]).T
+    bound = np.maximum(at_least, np.partition(start, first - keep, axis=1)[:, first - keep] if first > keep else -np.inf)
+    whole = (queries ** 2).sum(axis=1)
+    rows, places = np.repeat(np.arange(len(queries)), first), np.tile(np.arange(first), len(queries))
     if n == first:
-        return np.arange(n)
-    alive = np.arange(first, n)
-    product = np.zeros(len(alive))
-    whole = float(query @ query)
-    reach = np.sqrt(np.maximum(whole + lengths[alive] - 2 * bound, 0))
-    at = 0
+        return rows, places
+    product, row, place, at = np.zeros((len(queries), n - first)), None, None, 0
     for b, block in enumerate(blocks):
-        columns = query[at:at + block.shape[1]]
-        product += (block[alive] if len(alive) < n - first else block[first:]) @ columns
+        columns = queries[:, at:at + block.shape[1]]
+        product += columns @ block[first:].T if row is None else np.einsum("ij,ij->i", columns[row], block[place])
         at += block.shape[1]
         if at < dims:
-            seen = float(query[:at] @ query[:at])
-            distance = np.sqrt(np.maximum(seen + partial_sq[b][alive] - 2 * product, 0) * (dims / at))
-            stay = distance <= (1 + STRICT / np.sqrt(at)) * reach + 1e-9
-            if not stay.all():
-                alive, product, reach = alive[stay], product[stay], reach[stay]
-    return np.concatenate((np.arange(first), alive[product >= bound - 1e-6 * (1 + abs(bound))]))
+            # partial distance * sqrt(dims / at) <= (1 + STRICT / sqrt(at)) * reach, squared and solved for the product
+            reach = (1 + STRICT / np.sqrt(at)) ** 2 * at / dims
+            of_query = ((queries[:, :at] ** 2).sum(axis=1) - reach * (whole - 2 * bound)) / 2 - 1e-9 * whole
+            of_place = (partial_sq[b] - reach * lengths) / 2 - 1e-9 * lengths
+            if row is None:
+                stay = product >= of_query[:, None] + of_place[first:]
+                if np.count_nonzero(stay) < ALIVE * stay.size:
+                    row, place = np.nonzero(stay)
+                    product, place = product[stay], place + first
+            else:
+                stay = product >= of_query[row] + of_place[place]
+                product, row, place = product[stay], row[stay], place[stay]
+    low = bound - 1e-6 * (1 + np.abs(bound))
+    if row is None:
+        row, place = np.nonzero(product >= low[:, None])
+        place = place + first
+    else:
+        stay = product >= low[row]
+        row, place = row[stay], place[stay]
+    rows, places = np.concatenate((rows, row)), np.concatenate((places, place))
+    order = np.argsort(rows, kind="stable")
+    return rows[order], places[order]
+
+
+def edges_of(rows: np.ndarray, scores: np.ndarray, keep: int, low: np.ndarray) -> np.ndarray:
+    """What a score must reach in each row to be among the row's best ``keep``: ``low`` at least; ``rows`` ascend."""
+    order = np.lexsort((-scores, rows))
+    counts = np.bincount(rows, minlength=len(low))
+    full = np.flatnonzero(counts >= keep)
+    out = low.copy()
+    out[full] = np.maximum(out[full], scores[order][(np.cumsum(counts) - counts)[full] + keep - 1])
+    return out
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -183,16 +209,15 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id
             cuts = range(0, x.shape[1], BLOCK)
             blocks = [np.ascontiguousarray(turned[:, a:a + BLOCK]) for a in cuts]
             partial = list(np.cumsum([(b ** 2).sum(axis=1) for b in blocks], axis=0))
-            ids = held["c"].to_numpy()
-            for c, one, plain, low in zip(asks["c"], asked_turned, q, asks["floor"]):
-                places = scan(one, blocks, partial, partial[-1], k + 1, low)
-                scores = (x[places] * plain).sum(axis=1)
-                if len(places) > k + 1:
-                    edge = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
-                    # Classes that tie at the edge all stay: their ids decide later.
-                    low = max(low, edge)
-                stay = scores >= low
-                out.append(pd.DataFrame({"q": c, "c": ids[places[stay]], "score": scores[stay]}))
+            ids, asking, floor = held["c"].to_numpy(), asks["c"].to_numpy(), asks["floor"].to_numpy()
+            together = max(1, PAIRS // len(x))
+            for a in range(0, len(q), together):
+                part = slice(a, a + together)
+                row, place = scan(asked_turned[part], blocks, partial, k + 1, floor[part])
+                scores = np.einsum("ij,ij->i", x[place], q[part][row])
+                # Classes that tie at the edge all stay: their ids decide later.
+                stay = scores >= edges_of(row, scores, k + 1, floor[part])[row]
+                out.append(pd.DataFrame({"q": asking[part][row[stay]], "c": ids[place[stay]], "score": scores[stay]}))
         return pd.concat(out) if out else pd.DataFrame({"q": [], "c": [], "score": []}).astype({"q": "int64", "c": "int64", "score": "float64"})
 
     group, best, edges = ["list", "chunk", "part"], None, steps(probes, lists)
