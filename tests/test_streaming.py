@@ -195,3 +195,41 @@ def test_a_larger_table_has_more_buckets(spark, tmp_path, monkeypatch):
     assert made.buckets == again.buckets == 40 and len(made.layout(-1)) > 16
     again.commit(rows.filter("v < 50").withColumn("v", F.col("v") + 1000), 0)
     assert sorted(r.v for r in again.current().collect()) == [*range(50, 400), *range(1000, 1050)]
+
+
+def test_a_batch_over_most_buckets_leaves_the_rows_where_they_are(spark, tmp_path, monkeypatch, capsys):
+    """The rows are joined in their buckets, without an exchange; repeated keys and rows without key stay as they were."""
+    table = spark.createDataFrame([(f"k{i}", i) for i in range(400)] + [("k7", 1007), (None, -1), (None, -2)], "id string, v int")
+    log = streams.ChangeLog.create(table, str(tmp_path / "log"), "id", buckets=16)
+
+    def add(rows, asked):
+        most = asked.groupBy("id").agg(F.max("d").alias("d"))
+        return (rows.join(most, "id").select("id", (F.col("v") + F.col("d")).alias("v")),
+                asked.join(rows.select("id").distinct(), "id", "left_semi").select("q"))
+
+    step = streams.change_step(log, add, str(tmp_path / "answers"))
+    want = dict(table.filter("id IS NOT NULL AND v < 1000").collect())
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for batch, (first, d) in enumerate([(0, 1000), (200, 5000)]):  # the second names k200 to k399, twice, and one that is not there
+            keys = [*range(first, 400), *range(first, 400), 999]
+            step(spark.createDataFrame([(f"q{n}", f"k{i}", d if n % 2 else 0) for n, i in enumerate(keys)], "q string, id string, d int"), batch)
+            found = log.current()
+            if batch == 0:
+                capsys.readouterr()
+                found.explain()
+                assert "Exchange" not in capsys.readouterr().out
+                # two rows had this key; a change stores one of its images
+                seven = [r.v for r in found.filter("id = 'k7'").collect()]
+                assert len(seven) == 1 and seven[0] in (7, 1007, 2007)
+            for i in range(first, 400):
+                want[f"k{i}"] += max(d if n % 2 else 0 for n, j in enumerate(keys) if j == i)
+            now = rows(found.filter("id IS NULL OR id <> 'k7'"))
+            assert now == sorted([*((k, v) for k, v in want.items() if k != "k7"), (None, -1), (None, -2)], key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert spark.read.parquet(str(tmp_path / "answers")).count() == 800 + 400
+    monkeypatch.setattr(streams, "FOLDERS", 0)  # read by path
+    assert rows(log.current()) == rows(found)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("turnero_")]

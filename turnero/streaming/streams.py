@@ -8,6 +8,7 @@ too; ``newest_windows`` reads the last state of each.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from typing import Any
 
@@ -18,7 +19,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from turnero.operators.changes import audit_rows
 from turnero.operators.stats import MINIMO_FALLOS
-from turnero.session import materialize
+from turnero.session import materialize, shared_dir
 
 
 def event_time(moment: Column) -> Column:
@@ -149,6 +150,34 @@ def audit_stream(images: DataFrame) -> DataFrame:
 
 #: Rows of a change log's bucket at first, about.
 BUCKET_ROWS = 250_000
+#: Folders of buckets that are read together as tables, at most.
+FOLDERS = 16
+
+
+def _name() -> str:
+    return f"spark_catalog.default.turnero_{uuid.uuid4().hex}"
+
+
+def write_bucketed(rows: DataFrame, path: str, key: str, buckets: int, by: str | None = None) -> None:
+    """Write ``rows`` in Spark's buckets of ``key``, each in the order of its keys; ``by`` names a column to cut folders by.
+
+    Spark keeps buckets for tables only, so there is one, without the files, while they are written.
+    """
+    name, writer = _name(), rows.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, key).sortBy(key)
+    (writer.partitionBy(by) if by else writer).saveAsTable(name)
+    rows.sparkSession.sql(f"DROP TABLE {name}")
+
+
+def read_bucketed(spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int) -> DataFrame:
+    """A folder that ``write_bucketed`` wrote: what joins or groups its rows by ``key`` need not move them."""
+    name, quoted = _name(), path.replace("\\", "\\\\").replace("'", "\\'")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS "
+              f"LOCATION '{quoted}'")
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 class ChangeLog:
@@ -162,7 +191,9 @@ class ChangeLog:
     output and nothing else.
 
     A bucket is sorted in one task, so a larger table is laid out in more of
-    them; without ``buckets`` a log has as many as it was created with.
+    them; without ``buckets`` a log has as many as it was created with.  They
+    are Spark's own buckets of the key, so a batch that names most of them
+    reads them as such and joins their rows where they are.
     """
 
     def __init__(self, spark: SparkSession, root: str, key: str, schema: T.StructType, buckets: int | None = None, merge_after: int = 8):
@@ -182,18 +213,22 @@ class ChangeLog:
             buckets = max(16, -(-rows.count() // BUCKET_ROWS))
         log = cls(rows.sparkSession, root, key, rows.schema, buckets, merge_after)
         log.spark.createDataFrame([(buckets,)], "cubos int").coalesce(1).write.mode("overwrite").parquet(f"{root}/cubos")
-        held = log._write(rows, "base", -1)
+        held = log._write(rows.repartition(buckets, key), "base", -1, placed=True)
         log._remember({b: (-1, []) for b in held}, -1)
         return log
 
     def bucket(self, key: Column | str) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+        """The bucket of a key, as Spark counts them."""
+        return F.pmod(F.hash(key), F.lit(self.buckets)).cast("int")
+
+    def _write(self, rows: DataFrame, kind: str, batch_id: int, placed: bool = False) -> set[int]:
+        """Write ``rows`` by bucket, each in the order of its keys; the buckets that have any.
 
-    def _write(self, rows: DataFrame, kind: str, batch_id: int) -> set[int]:
-        """Write ``rows`` by bucket, each in the order of its keys; the buckets that have any."""
+        ``placed`` says that a bucket's rows are in one task already.
+        """
         path = f"{self.root}/{kind}/batch={batch_id}"
-        placed = rows.select(*self.schema.names, self.bucket(self.key).alias("cubo"))
-        (placed.repartition("cubo").sortWithinPartitions("cubo", self.key).write.mode("overwrite").partitionBy("cubo").parquet(path))
+        rows = rows.select(*self.schema.names, self.bucket(self.key).alias("cubo"))
+        write_bucketed(rows if placed else rows.repartition("cubo"), path, self.key, self.buckets, "cubo")
         return {r.cubo for r in self._read([path]).select("cubo").distinct().collect()}
 
     def _read(self, paths: list[str]) -> DataFrame:
@@ -206,41 +241,69 @@ class ChangeLog:
         """The folders that make up each bucket after a batch; one row per bucket."""
         rows = [(b, base, log) for b, (base, log) in sorted(layout.items())]
         frame = self.spark.createDataFrame(rows, "cubo int, base int, log array<int>")
-        frame.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/layout/batch={batch_id}")
+        frame.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/carpetas/batch={batch_id}")
 
     def layout(self, batch_id: int) -> dict[int, tuple[int | None, list[int]]]:
         """The folders of each bucket after a batch; -1 before any."""
-        rows = self.spark.read.schema("cubo int, base int, log array<int>").parquet(f"{self.root}/layout/batch={batch_id}")
+        rows = self.spark.read.schema("cubo int, base int, log array<int>").parquet(f"{self.root}/carpetas/batch={batch_id}")
         return {r.cubo: (r.base, list(r.log)) for r in rows.collect()}
 
     def last_batch(self) -> int:
-        found = self.spark.read.schema("cubo int, base int, log array<int>, batch int").parquet(f"{self.root}/layout")
+        found = self.spark.read.schema("cubo int, base int, log array<int>, batch int").parquet(f"{self.root}/carpetas")
         return found.agg(F.max("batch")).first()[0]
 
+    def _most(self, buckets: set[int] | dict) -> bool:
+        return 2 * len(buckets) > self.buckets
+
+    def _pieces(self, kind: str, held: list[tuple[int, int]], whole: bool) -> DataFrame:
+        """The rows of these (batch, bucket); ``whole`` reads a batch's folder as a table in buckets."""
+        if not whole:
+            return self._read([f"{self.root}/{kind}/batch={v}/cubo={b}" for v, b in held])
+        found = None
+        for version in sorted({v for v, _ in held}):
+            rows = read_bucketed(self.spark, f"{self.root}/{kind}/batch={version}", self.schema, self.key, self.buckets)
+            rows = rows.filter(F.col("cubo").isin([b for v, b in held if v == version])).withColumn("batch", F.lit(version))
+            found = rows if found is None else found.unionByName(rows)
+        return found
+
     def rows(self, layout: dict[int, tuple[int | None, list[int]]]) -> DataFrame:
         """The newest image of every row of these buckets."""
-        base = self._read([f"{self.root}/base/batch={v}/cubo={b}" for b, (v, _) in layout.items() if v is not None])
-        images = self._read([f"{self.root}/log/batch={v}/cubo={b}" for b, (_, log) in layout.items() for v in log])
+        bases = [(v, b) for b, (v, _) in layout.items() if v is not None]
+        logs = [(v, b) for b, (_, log) in layout.items() for v in log]
+        whole = self._most(layout) and len({v for v, _ in bases}) + len({v for v, _ in logs}) <= FOLDERS
+        base = self._pieces("base", bases, whole and bool(bases)).select(*self.schema.names)
+        if not logs:
+            return base
         newest = Window.partitionBy(self.key).orderBy(F.desc("batch"))
-        last = images.withColumn("_n", F.row_number().over(newest)).filter("_n = 1")
-        return (base.join(last.select(self.key), self.key, "left_anti").select(*self.schema.names)
-                .unionByName(last.select(*self.schema.names)))
+        last = self._pieces("log", logs, whole).withColumn("_n", F.row_number().over(newest)).filter("_n = 1")
+        return base.join(last.select(self.key), self.key, "left_anti").unionByName(last.select(*self.schema.names))
 
     def current(self, after: int | None = None) -> DataFrame:
         """The table after every batch, or after one of them."""
         return self.rows(self.layout(self.last_batch() if after is None else after))
 
+    def named(self, keys: DataFrame) -> set[int]:
+        """The buckets of these keys."""
+        return {r.c for r in keys.select(self.bucket(self.key).alias("c")).distinct().collect()}  # at most one row per bucket
+
     def aimed(self, keys: DataFrame, batch_id: int) -> DataFrame:
         """The rows that batch ``batch_id`` finds under ``keys``; only their buckets are read."""
-        named = keys.select(F.col(self.key)).distinct()
-        wanted = {r.c for r in named.select(self.bucket(self.key).alias("c")).distinct().collect()}  # at most one row per bucket
         layout = self.layout(batch_id - 1)
-        return self.rows({b: layout[b] for b in sorted(wanted & set(layout))}).join(named, self.key, "left_semi")
-
-    def commit(self, images: DataFrame, batch_id: int) -> None:
-        """Store the rows that a batch changed or added."""
+        found = self.rows({b: layout[b] for b in sorted(self.named(keys) & set(layout))})
+        return found.join(keys.select(F.col(self.key)).distinct(), self.key, "left_semi")
+
+    def beside(self, batch: DataFrame) -> DataFrame | None:
+        """``batch`` stored in parts that lie where the buckets of its keys are; None if it names few buckets."""
+        if not self._most(self.named(batch)):
+            return None
+        path = shared_dir(self.spark, "lote")
+        write_bucketed(batch.repartition(self.buckets, self.key), path, self.key, self.buckets)
+        return read_bucketed(self.spark, path, batch.schema, self.key, self.buckets)
+
+    def commit(self, images: DataFrame, batch_id: int, placed: bool = False) -> None:
+        """Store the rows that a batch changed or added; ``placed`` says that a bucket's rows are in one task already."""
         layout = self.layout(batch_id - 1)
-        for b in self._write(images, "log", batch_id):
+        for b in self._write(images, "log", batch_id, placed):
             base, log = layout.get(b, (None, []))
             layout[b] = (base, [*log, batch_id])
         full = {b: v for b, v in layout.items() if len(v[1]) > self.merge_after}
@@ -256,17 +319,22 @@ def change_step(log: ChangeLog, change: Callable[[DataFrame, DataFrame], tuple[D
 
     ``change(rows, requests)`` returns (new rows, answers).  Only the rows
     whose key occurs in the batch are read into the operator, so this form is
-    for changes that look at one row at a time.  Rows are told apart by the
-    hash of all their columns: those that a change leaves alone are not stored.
+    for changes that look at one row at a time.  Those that a change leaves
+    alone are not stored.  A batch that names most of the buckets moves to them,
+    once; the rows stay where they are and are read again where they are needed.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
-        aimed = materialize(log.aimed(batch, batch_id), "apuntadas")
-        new_rows, answers = change(aimed, batch)
+        moved = log.beside(batch)
+        asked = batch if moved is None else moved
+        aimed = log.aimed(asked, batch_id)
+        aimed = materialize(aimed, "apuntadas") if moved is None else aimed
+        new_rows, answers = change(aimed, asked)
         cells = [F.col(c) for c in log.schema.names]
         before = aimed.select(F.col(log.key).alias("_key"), F.struct(*cells).alias("_old"))
+        before = before if moved is None else before.hint("merge")  # keeps a bucket's rows in one task
         changed = new_rows.join(before, F.col(log.key) == F.col("_key"), "left").filter(
             ~F.struct(*cells).eqNullSafe(F.col("_old"))).select(*log.schema.names)
-        log.commit(changed, batch_id)
+        log.commit(changed, batch_id, placed=moved is not None)
         answers.write.mode("overwrite").parquet(f"{results}/batch={batch_id}")
     return step
 
