@@ -8,7 +8,8 @@ import json
 from pyspark.sql import functions as F
 
 from tests.conftest import at
-from turnero.operators import changes
+from turnero import session
+from turnero.operators import changes, joins
 
 NOW = "2026-06-01 12:00:00"
 
@@ -205,3 +206,37 @@ def test_purges_keep_rows_that_a_null_leaves_undecided(spark, make):
     left, counts = changes.limpiar_datos_expirados(
         undated, make("token_reset_password", []), make("email_verification_token", []), make("intento_login", []), "2026-06-01")
     assert left["token_refresh"].count() == 1 and counts.agg(F.sum("eliminadas")).first()[0] == 0
+
+
+def test_large_sides_of_a_join_do_not_pass_through_the_driver(spark, make, capsys, monkeypatch):
+    """However small their files are: services and weeks beyond ``FEW`` rows are met by key, and the answers are the same."""
+    services = make("servicio", [{"id_servicio": f"S{i}", "activo": i != 4} for i in range(6)])
+    week = make("horario_laboral", [{"id_empleado": f"E{i}", "dia_semana": "SABADO", "hora_inicio": 480, "hora_fin": 1080} for i in range(5)])
+    blocks = make("bloqueo_horario", [{"id_empleado": "E1", "fecha": dt.date(2026, 6, 20), "hora_inicio": 600, "hora_fin": 660}])
+    booked = make("reserva", [{"id_reserva": "r", "id_empleado": "E2", "estado": "PENDIENTE", "comentarios": "antes",
+                               "fecha_hora_inicio": at("2026-06-20 09:00"), "fecha_hora_fin": at("2026-06-20 09:30")}])
+    schema = ("id_solicitud string, orden int, id_cliente string, id_servicio string, id_empleado string, id_proveedor string, "
+              "fecha_hora_inicio timestamp_ntz, fecha_hora_fin timestamp_ntz, comentarios string")
+    cases = [("q1", "S4", "E0", 9), ("q2", None, "E0", 9), ("q3", "S9", "E0", 9), ("q4", "S1", "E1", 10), ("q5", "S1", "E2", 9),
+             ("q6", "S1", "E3", 9), ("q7", "S2", "E3", 9), ("q8", "S2", "E9", 9), ("q9", "S3", "E4", 12), ("q9", "S3", "E4", 12)]
+    requests = asked(spark, [(q, i, "C", s, e, "P", at(f"2026-06-20 {h:02}:00"), at(f"2026-06-20 {h:02}:45"), f"nota {q}")
+                             for i, (q, s, e, h) in enumerate(cases)], schema)
+
+    def made():
+        capsys.readouterr()
+        snapshot, results = changes.crear_reserva(booked, services.filter("activo"), week, blocks, requests, NOW)
+        snapshot, results = (x.drop("created_at", "updated_at") for x in (snapshot, results))
+        duty = joins._on_duty(week, spark.createDataFrame([("E1", "SABADO", 500, 600)], "id_empleado string, dia_semana string, hora_inicio int, hora_fin int"))
+        for frame in (snapshot, results, duty):
+            frame.explain()
+        return [sorted(map(tuple, x.collect()), key=str) for x in (snapshot, results, duty)], capsys.readouterr().out
+
+    few, plan = made()
+    assert "BroadcastHashJoin" in plan
+    monkeypatch.setattr(session, "FEW", 0)
+    many, plan = made()
+    assert many == few and "Broadcast" not in plan
+    assert {(r[0], r[2]) for r in few[1]} == {
+        ("q1", "SERVICIO"), ("q2", "SERVICIO"), ("q3", "SERVICIO"), ("q4", "DISPONIBILIDAD"), ("q5", "CONFLICTO"), ("q6", None),
+        ("q7", "SOLICITUD_ANTERIOR"), ("q8", "DISPONIBILIDAD"), ("q9", None)}
+    assert sorted(r[0] for r in few[0]) == ["N-q6", "N-q9", "N-q9", "r"]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import at
 from turnero.operators import joins
+from turnero.operators import overlap as sweep
 from turnero.operators.overlap import admit_in_order, count_overlaps, overlapping_pairs
 
 SLOT = "k string, id string, orden int, s timestamp_ntz, e timestamp_ntz"
@@ -138,3 +139,37 @@ def test_a_same_day_interval_moves_once(spark):
     assert {r.i: r.solapes for r in counted.collect()} == {"q1": 2, "q2": 1, "q3": 0, "q4": 0, "q5": None}
     plan = counted._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Window") < plan.index("Generate inline") < plan.index("RepartitionByExpression")
+
+
+def test_earlier_days_are_counted_only_for_keys_with_rows_over_midnight(spark, capsys, monkeypatch):
+    """Without such rows nothing is carried and two exchanges do; with few or many of them the counts are those of a plain check."""
+    rng, start = random.Random(5), dt.datetime(2026, 1, 1)
+    schema = "id string, k string, s timestamp_ntz, e timestamp_ntz"
+
+    def rows(kind, key, n, minutes):
+        found = []
+        for i in range(n):
+            begin = start + dt.timedelta(days=rng.randrange(4), minutes=rng.randrange(0, 1200, 30))
+            found.append((f"{kind}-{key}-{i}", key, begin, begin + dt.timedelta(minutes=rng.choice(minutes))))
+        return found
+
+    days, nights = [30, 90, 200], [30, 600, 3000]
+    calm = [rows(kind, "calm", 30, days) for kind in "bq"]
+    late = [rows(kind, "late", 30, nights) for kind in "bq"]
+    late[0].append(("b-late-m", "late", start + dt.timedelta(hours=20), start + dt.timedelta(days=1)))  # ends at midnight
+
+    def plain(booked, asked):
+        return {i: sum(k == other and x < e and y > s for _, other, x, y in booked) for i, k, s, e in asked}
+
+    def counted(booked, asked):
+        return sweep.count_overlaps(spark.createDataFrame(booked, schema), spark.createDataFrame(asked, schema), ["k"], "s", "e", "id", F.to_date)
+
+    alone = counted(*calm)
+    capsys.readouterr()
+    alone.explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 2
+    assert dict(alone.collect()) == plain(*calm)
+    both = [c + n for c, n in zip(calm, late)]
+    assert dict(counted(*both).collect()) == plain(*both)
+    monkeypatch.setattr(sweep, "FEW", 0)
+    assert dict(counted(*both).collect()) == plain(*both)

@@ -20,7 +20,7 @@ from turnero.operators.joins import empleado_disponible, validar_conflicto_horar
 from turnero.operators.lists import active_bookings
 from turnero.operators.overlap import admit_in_order
 from turnero.operators.sequence import granted_in_order
-from turnero.session import materialize
+from turnero.session import materialize, sized
 from turnero.sources.schemas import RESERVA_ACTIVA, RESERVA_CERRADA, TABLES
 from turnero.sources.tables import with_defaults
 
@@ -180,22 +180,27 @@ def crear_reserva(reservas: DataFrame, servicios: DataFrame, horarios: DataFrame
     slots = solicitudes.select("id_solicitud", "id_empleado", "fecha_hora_inicio", "fecha_hora_fin")
     busy = validar_conflicto_horario(reservas, slots).drop("conflictos")
     free = empleado_disponible(horarios, bloqueos, with_day_columns(slots))
-    # Admission and answers both read the checks; they are worked out once.
-    checked = materialize(solicitudes.join(known, "id_servicio", "left").join(busy, "id_solicitud").join(free, "id_solicitud")
-                          .select(*solicitudes.columns, "_servicio", "disponible", "conflicto"), "solicitudes")
-    possible = checked.filter(F.col("_servicio") & F.col("disponible") & ~F.col("conflicto"))
+    # Admission and answers both read the checks; they are worked out once, and stored without the requests' columns,
+    # of which each reader moves the few that it needs.
+    asked, offered = solicitudes.count(), known.count()
+    checked = materialize(busy.join(sized(free, asked), "id_solicitud"), "dictamenes")
+    fit = checked.filter(F.col("disponible") & ~F.col("conflicto")).select("id_solicitud")
+    possible = (solicitudes.select("id_servicio", "orden", *slots.columns).join(sized(fit), "id_solicitud")
+                .join(sized(known, offered), "id_servicio"))
     admitted = admit_in_order(possible, "id_empleado", "fecha_hora_inicio", "fecha_hora_fin", "orden",
                               "id_solicitud").withColumn("_ok", F.lit(True))
-    decided = checked.join(admitted, "id_solicitud", "left")
+    decided = (solicitudes.join(sized(known, offered), "id_servicio", "left").join(sized(checked, asked), "id_solicitud")
+               .join(sized(admitted), "id_solicitud", "left"))
     reason = (F.when(F.col("_servicio").isNull(), "SERVICIO")
               .when(~F.coalesce("disponible", F.lit(False)), "DISPONIBILIDAD")
               .when(F.coalesce("conflicto", F.lit(True)), "CONFLICTO")
               .when(F.col("_ok").isNull(), "SOLICITUD_ANTERIOR"))
     new_id = F.concat(F.lit("N-"), "id_solicitud")
-    answered = decided.select(*solicitudes.columns, new_id.alias("_nuevo"), reason.alias("motivo"))
-    inserted = with_defaults(
-        answered.filter("motivo IS NULL").withColumn("id_reserva", F.col("_nuevo")).withColumn(
-            "estado", F.lit("PENDIENTE")), "reserva", as_of)
+    answered = decided.select("id_solicitud", "fecha_hora_inicio", new_id.alias("_nuevo"), reason.alias("motivo"))
+    # A request without a reason is one that is admitted and whose service exists.
+    taken = solicitudes.join(sized(admitted), "id_solicitud").join(sized(known, offered), "id_servicio")
+    inserted = with_defaults(taken.select(*solicitudes.columns).withColumns(
+        {"id_reserva": new_id, "estado": F.lit("PENDIENTE")}), "reserva", as_of)
     made = F.col("motivo").isNull()
     results = answered.select("id_solicitud", made.alias("aplicado"), "motivo",
                               F.when(made, F.col("_nuevo")).alias("id_reserva"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from turnero.functions.clock import Instant, day, instant, minute_of_day, weekday_name, weekday_rank
 from turnero.operators.lists import Ids, active_bookings, pick
 from turnero.operators.overlap import count_mutual_overlaps, count_overlaps, overlapping_pairs
+from turnero.session import sized
 
 
 PARTES = 8  # tasks that an account's tokens are dealt over
@@ -172,11 +173,12 @@ def _on_duty(horarios: DataFrame, requests: DataFrame) -> DataFrame:
     blocks of a weekday come as one list, at most one block per opening minute.
     """
     keys = ["id_empleado", "dia_semana"]
-    longest = horarios.filter("activo").groupBy(*keys, "hora_inicio").agg(F.max("hora_fin").alias("hora_fin"))
+    active = horarios.filter("activo")
+    longest = active.groupBy(*keys, "hora_inicio").agg(F.max("hora_fin").alias("hora_fin"))
     week = longest.groupBy(*keys).agg(F.collect_list(F.struct("hora_inicio", "hora_fin")).alias("_blocks"))
     start, end = F.col("hora_inicio"), F.col("hora_fin")
     covered = F.exists("_blocks", lambda b: (b["hora_inicio"] <= start) & (b["hora_fin"] >= end))
-    return requests.join(week, keys, "left").withColumn("en_horario", F.coalesce(covered, F.lit(False))).drop("_blocks")
+    return requests.join(sized(week, active.count()), keys, "left").withColumn("en_horario", F.coalesce(covered, F.lit(False))).drop("_blocks")
 
 
 def empleado_disponible(horarios: DataFrame, bloqueos: DataFrame, solicitudes: DataFrame) -> DataFrame:

@@ -5,8 +5,8 @@ Intervals are half-open.  Bookings that touch do not overlap.
 *Counting* never builds pairs and looks nothing up.  For valid intervals the
 number that overlap [a, b) is (how many start before b) - (how many end by a).
 Starts, ends and the requests' own two instants stand in one stream; one window
-per key and day runs both counts over it, and what earlier days have counted
-comes in as the day's first row.  So a day of one key is sorted in one task,
+per key and day runs both counts over it.  Where a key has rows over two days,
+what earlier days have counted comes in as the day's first row.  So a day of one key is sorted in one task,
 however long its intervals are, and a request's two rows are added up at the end.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnero.operators.sequence import granted_in_order
-from turnero.session import materialize
+from turnero.session import FEW, materialize
 
 # At one instant, ends count before the requests' instants and starts after them.
 _CARRY, _END, _ASK, _START = -1, 0, 1, 2
@@ -33,29 +33,39 @@ def _edges(rows: DataFrame, keys: Sequence[str], start: str, end: str, *more: st
     return rows.select(*keys, *more, F.array(_side(start, _START), _side(end, _END)).alias("_sides"))
 
 
+def _carried(rows: DataFrame, keys: list[str], period: Callable[[Column], Column], starts: Column, ends: Column) -> DataFrame:
+    """A row for each key and period of ``rows``, with how many starts ``_s`` and ends ``_e`` earlier periods have."""
+    earlier = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = rows.select(*keys, F.inline("_sides")).groupBy(*keys, period(F.col("_t")).alias("_p")).agg(
+        F.sum(starts).alias("_s"), F.sum(ends).alias("_e"))
+    return per_part.select(
+        *keys, "_p", F.array(F.struct(F.lit(None).cast(rows.schema["_sides"].dataType.elementType["_t"].dataType).alias("_t"),
+                                      F.lit(_CARRY).alias("_kind"), F.lit(None).cast("boolean").alias("_closes"))).alias("_sides"),
+        *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in ("_s", "_e")))
+
+
 def _swept(rows: DataFrame, keys: Sequence[str], period: Callable[[Column], Column] | None) -> DataFrame:
     """The ``_sides`` (_t, _kind, _closes) of ``rows``, one row each, plus how many starts and ends stand before and at each.
 
     ``period`` cuts time into parts that do not decrease; None when the keys already bound it.
-    A row moves once where both sides fall into one period, and is cut in two after that.
+    A row moves once where both sides fall into one period, and is cut in two after that.  Earlier periods are counted
+    for the keys that have a row over two of them: elsewhere what starts in a period also ends there.
     """
     group = list(keys)
     starts, ends = (F.when(F.col("_kind") == kind, 1).otherwise(0).cast("long") for kind in (_START, _END))
+    nothing = {"_s": F.lit(None).cast("long"), "_e": F.lit(None).cast("long")}
     if period is None:
-        rows = rows.withColumns({"_s": F.lit(None).cast("long"), "_e": F.lit(None).cast("long")})
+        rows = rows.withColumns(nothing)
     else:
         group.append("_p")
-        earlier = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-        per_part = rows.select(*keys, F.inline("_sides")).groupBy(*keys, period(F.col("_t")).alias("_p")).agg(
-            F.sum(starts).alias("_s"), F.sum(ends).alias("_e"))
-        carried = per_part.select(
-            *group, F.array(F.struct(F.lit(None).cast(rows.schema["_sides"].dataType.elementType["_t"].dataType).alias("_t"),
-                                     F.lit(_CARRY).alias("_kind"), F.lit(None).cast("boolean").alias("_closes"))).alias("_sides"),
-            *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in ("_s", "_e")))
         opens, closes = (period(F.col("_sides")[x]["_t"]) for x in (0, 1))
+        over = rows.filter(~opens.eqNullSafe(closes)).select(*keys)
+        crossing = over.count()
+        carried = _carried(rows.join(F.broadcast(over), keys, "left_semi") if crossing <= FEW else rows, keys, period, starts, ends)
         parts = F.when(opens.eqNullSafe(closes), F.array(F.struct(opens.alias("_p"), F.col("_sides").alias("_sides")))).otherwise(
             F.array(*(F.struct(p.alias("_p"), F.array(F.col("_sides")[x]).alias("_sides")) for x, p in enumerate((opens, closes)))))
-        rows = rows.select(*(c for c in rows.columns if c != "_sides"), F.inline(parts)).unionByName(carried, allowMissingColumns=True)
+        rows = rows.select(*(c for c in rows.columns if c != "_sides"), F.inline(parts))
+        rows = rows.unionByName(carried, allowMissingColumns=True) if crossing else rows.withColumns(nothing)
     points = rows.repartition(*group).select(*(c for c in rows.columns if c != "_sides"), F.inline("_sides")).withColumns(
         {"_s": F.coalesce("_s", starts), "_e": F.coalesce("_e", ends)})
     # Sorting compares a number first, which tells most groups apart at once; text keys share their beginnings.

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Runtime settings the operators rely on; all can be overridden by the caller.
@@ -60,6 +61,20 @@ def materialize(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+#: Rows that a join sends to every task, at most.
+FEW = 200_000
+
+
+def sized(rows: DataFrame, most: int | None = None) -> DataFrame:
+    """``rows`` as the right side of a join: sent to every task if they are few, else met by key.
+
+    Spark's own check goes by the bytes of compressed files, however many rows
+    follow from them, and what it sends passes through the driver.  ``most`` is
+    a number of rows that they do not exceed; without it they are counted.
+    """
+    return F.broadcast(rows) if (rows.count() if most is None else most) <= FEW else rows.hint("merge")
+
+
 _STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
