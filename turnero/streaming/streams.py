@@ -193,7 +193,8 @@ class ChangeLog:
     A bucket is sorted in one task, so a larger table is laid out in more of
     them; without ``buckets`` a log has as many as it was created with.  They
     are Spark's own buckets of the key, so a batch that names most of them
-    reads them as such and joins their rows where they are.
+    reads them as such and joins their rows where they are; no list of their
+    keys is sent to every task then.
     """
 
     def __init__(self, spark: SparkSession, root: str, key: str, schema: T.StructType, buckets: int | None = None, merge_after: int = 8):
@@ -276,7 +277,8 @@ class ChangeLog:
             return base
         newest = Window.partitionBy(self.key).orderBy(F.desc("batch"))
         last = self._pieces("log", logs, whole).withColumn("_n", F.row_number().over(newest)).filter("_n = 1")
-        return base.join(last.select(self.key), self.key, "left_anti").unionByName(last.select(*self.schema.names))
+        changed = last.select(self.key)
+        return base.join(changed.hint("merge") if whole else changed, self.key, "left_anti").unionByName(last.select(*self.schema.names))
 
     def current(self, after: int | None = None) -> DataFrame:
         """The table after every batch, or after one of them."""
@@ -288,9 +290,10 @@ class ChangeLog:
 
     def aimed(self, keys: DataFrame, batch_id: int) -> DataFrame:
         """The rows that batch ``batch_id`` finds under ``keys``; only their buckets are read."""
-        layout = self.layout(batch_id - 1)
-        found = self.rows({b: layout[b] for b in sorted(self.named(keys) & set(layout))})
-        return found.join(keys.select(F.col(self.key)).distinct(), self.key, "left_semi")
+        layout, wanted = self.layout(batch_id - 1), self.named(keys)
+        named = keys.select(F.col(self.key)).distinct()
+        found = self.rows({b: layout[b] for b in sorted(wanted & set(layout))})
+        return found.join(named.hint("merge") if self._most(wanted) else named, self.key, "left_semi")
 
     def beside(self, batch: DataFrame) -> DataFrame | None:
         """``batch`` stored in parts that lie where the buckets of its keys are; None if it names few buckets."""
